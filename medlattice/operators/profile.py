@@ -70,7 +70,7 @@ def top_per_group(df: DataFrame, by: str, column: str, n: int = 3) -> DataFrame:
     """
     counts = df.groupBy(by, F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
     order = Window.partitionBy(by).orderBy(F.col("n").desc(), F.col("value"))
-    return counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
+    return counts.withColumn("rank", F.row_number().over(order).cast("bigint")).filter(F.col("rank") <= n)
 
 
 def group_profile(df: DataFrame, by: str, measures: Sequence[str], column: str, n: int = 3) -> DataFrame:

@@ -7,13 +7,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medlattice import schema as S
 from medlattice.functions.hashing import draw, key_hash, normal, uniform
 from medlattice.functions.rules import with_plans
 from medlattice.functions.scalar import clip, cumulative_pick, pick
+from medlattice.operators.profile import column_value_counts
 from medlattice.plans.profiles import DIET_TYPE_PERCENT, PROFILES, SLOTS
-from medlattice.session import read_table
+from medlattice.session import read_table, scratch_path
 
 # Multiplier and offset of every fixture draw.
 DRAWS = {
@@ -84,12 +86,31 @@ def features_from_keys(keys: DataFrame, key: str) -> DataFrame:
     return base.select("patient_id", *[columns[c].alias(c) for c in order])
 
 
-def scored_patients(spark: SparkSession, folder: str) -> DataFrame:
-    """Patients with the three scores and both plans, one per customer."""
+def derive_patients(spark: SparkSession, folder: str) -> DataFrame:
+    """Patients with the three scores and both plans, one per customer: scan and project."""
     keys = read_table(spark, folder, "customer").select("c_custkey")
     return with_plans(features_from_keys(keys, "c_custkey"))
 
 
+_STORED: dict[tuple[str, str], tuple[str, T.StructType]] = {}
+
+
+def scored_patients(spark: SparkSession, folder: str) -> DataFrame:
+    """The derived patients as a stored table, written once per session and folder.
+
+    Everything downstream scans Parquet, so column pruning and filters reach the files instead
+    of re-running the derivation, and a lost executor re-reads its split.
+    """
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _STORED:
+        path = scratch_path(spark, "patients")
+        derived = derive_patients(spark, folder)
+        derived.write.parquet(path)
+        _STORED[key] = (path, derived.schema)
+    path, schema = _STORED[key]
+    return spark.read.schema(schema).parquet(path)
+
+
 def patients(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled patients derived from the customer table."""
     return scored_patients(spark, folder).select("patient_id", *S.REQUIRED)
@@ -154,8 +175,6 @@ def build_patients(spark: SparkSession, rows: int, seed: int = 42, partitions: i
 
 def label_summary(df: DataFrame) -> DataFrame:
     """Row count and share of every class of the three targets, in one pass."""
-    from medlattice.operators.profile import column_value_counts
-
     return column_value_counts(df, list(S.TARGETS.values()))
 
 

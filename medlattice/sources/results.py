@@ -56,8 +56,7 @@ def nested_document(results: DataFrame, tasks=tuple(TARGETS)) -> DataFrame:
     per_task = results.filter(F.col("task").isin(*tasks)).groupBy("task").agg(
         F.struct(F.max("num_classes").alias("num_classes"), _models(F.struct(*fields)).alias("models")).alias("body")
     )
-    bodies = [F.max_by("body", F.col("task") == t).alias(t) for t in tasks]
-    kept = [F.when(F.max(F.when(F.col("task") == t, 1)) == 1, b).alias(t) for t, b in zip(tasks, bodies, strict=True)]
+    kept = [F.first(F.when(F.col("task") == t, F.col("body")), ignorenulls=True).alias(t) for t in tasks]
     return per_task.agg(F.to_json(F.struct(*kept)).alias("value"))
 
 
