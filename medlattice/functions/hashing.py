@@ -20,15 +20,16 @@ def _long(value: int) -> Column:
     return F.lit(value).cast("bigint")
 
 
-def key_hash(key: Column | str, seed: int = 42) -> Column:
+def key_hash(key: Column | str, seed: Column | int = 42) -> Column:
     """Hash of an integer key in ``[0, MODULUS)``: linear step, squaring step, linear step.
 
     The squaring step breaks the lattice a purely linear hash leaves on consecutive keys.
     """
     key = F.col(key) if isinstance(key, str) else key
+    seed = _long(seed) if isinstance(seed, int) else seed.cast("bigint")
     modulus = _long(MODULUS)
-    first = F.pmod(F.pmod(key.cast("bigint"), modulus) * _long(48271) + _long(seed * 16807 + 11), modulus)
-    second = F.pmod(first * first + first * _long(3) + _long(seed), modulus)
+    first = F.pmod(F.pmod(key.cast("bigint"), modulus) * _long(48271) + seed * _long(16807) + _long(11), modulus)
+    second = F.pmod(first * first + first * _long(3) + seed, modulus)
     return F.pmod(second * _long(69621) + _long(7), modulus)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from medlattice.functions.scalar import rounded
-from medlattice.operators.quantiles import exact_quantiles
+from medlattice.operators.quantiles import quantiles_of_counts, value_counts_long
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -95,27 +95,18 @@ def group_profile(df: DataFrame, by: str, measures: Sequence[str], column: str,
 def box_summary(df: DataFrame, by: str, columns: Sequence[str], reach: float = 1.5) -> DataFrame:
     """Five-number summary per (group, column); whiskers are the extreme values within
     ``reach`` interquartile ranges of the box."""
+    counts = value_counts_long(df, columns, [by])
+    names = ("q1", "median", "q3")
     quartiles = (
-        exact_quantiles(df, columns, [0.25, 0.5, 0.75], [by])
-        .groupBy(by, "column")
-        .agg(*[F.max(F.when(F.col("p") == p, F.col("quantile"))).alias(name)
-               for p, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
+        quantiles_of_counts(counts, (0.25, 0.5, 0.75), [by])
+        .groupBy(F.col(by).alias("_by"), F.col("column").alias("_column"))
+        .agg(*[F.max(F.when(F.col("p") == p, F.col("quantile"))).alias(n) for p, n in zip((0.25, 0.5, 0.75), names, strict=True)])
     )
     spread = F.col("q3") - F.col("q1")
-    fences = quartiles.withColumns(
-        {"low_fence": F.col("q1") - reach * spread, "high_fence": F.col("q3") + reach * spread}
-    )
-    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
-    values = (
-        df.select(F.col(by).alias("_by"), F.explode(entries).alias("e"))
-        .select("_by", F.col("e.column").alias("_column"), "e.value")
-        .filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    )
-    inside = values.join(
-        fences, values["_by"].eqNullSafe(fences[by]) & (values["_column"] == fences["column"])
-    ).filter(F.col("value").between(F.col("low_fence"), F.col("high_fence")))
-    names = ("q1", "median", "q3")
-    whiskers = inside.groupBy(by, "column", *names).agg(
+    inside = F.col("value").between(F.col("q1") - reach * spread, F.col("q3") + reach * spread)
+    # Whiskers are values, so they come from the merged values, not from the rows again.
+    joined = counts.join(quartiles, F.col(by).eqNullSafe(F.col("_by")) & (F.col("column") == F.col("_column")))
+    whiskers = joined.filter(inside).groupBy(by, "column", *names).agg(
         F.min("value").alias("whisker_low"), F.max("value").alias("whisker_high")
     )
     return whiskers.select(by, "column", *[rounded(c).alias(c) for c in (*names, "whisker_low", "whisker_high")])

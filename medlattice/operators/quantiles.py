@@ -34,15 +34,25 @@ def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Linearly interpolated quantiles: one row per (group, column, p) with ``quantile``."""
+    return quantiles_of_counts(value_counts_long(df, columns, by), probs, by)
+
+
+def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """The same from already merged values (group, column, value, n).
+
+    The joins below are with one row per (group, column). Without groups that is one row per
+    column, small enough to broadcast by construction; with groups the size is left to the
+    adaptive planner, which measures it.
+    """
     keys = [*by, "column"]
-    counts = value_counts_long(df, columns, by)
+    small = F.broadcast if not by else (lambda table: table)
     span = counts.groupBy(*keys).agg(
         F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum("n").alias("total")
     )
     width = F.col("hi") - F.col("lo")
     cell = F.when(width > 0, F.least(F.floor((F.col("value") - F.col("lo")) / width * BUCKETS), F.lit(BUCKETS - 1)))
     # Null groups must meet themselves again, hence the null-safe comparisons.
-    placed = _join_null_safe(counts, span, keys).withColumn("cell", F.coalesce(cell, F.lit(0)).cast("bigint"))
+    placed = _join_null_safe(counts, small(span), keys).withColumn("cell", F.coalesce(cell, F.lit(0)).cast("bigint"))
 
     running = Window.partitionBy(*keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = (
@@ -65,7 +75,7 @@ def exact_quantiles(
         .groupBy(*keys, "cell", "before")
         .agg(F.collect_list(F.struct("p", "rank", "w")).alias("targets"))
     )
-    inside = _join_null_safe(placed.select(*keys, "cell", "value", "n"), wanted, [*keys, "cell"])
+    inside = _join_null_safe(placed.select(*keys, "cell", "value", "n"), small(wanted), [*keys, "cell"])
     upto = Window.partitionBy(*keys, "cell").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     end = F.col("before") + F.sum("n").over(upto)
     hits = (
@@ -79,7 +89,7 @@ def exact_quantiles(
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    renamed = right.select(*[F.col(k).alias(f"_r_{k}") if k in keys else F.col(k) for k in right.columns])
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     condition = [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys]
     return left.join(renamed, condition).drop(*[f"_r_{k}" for k in keys])
 

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medlattice.functions.hashing import MODULUS, key_hash
+from medlattice.session import cut_lineage
 
-#: ranges the hash space is cut into when ranking; a hot label is spread over all of them
-RANK_RANGES = 4096
+#: ranges the hash space is cut into; a hot label is spread over all of them
+HASH_RANGES = 4096
+
+#: labels whose cut points are held by the driver and broadcast; more labels are joined instead
+BROADCAST_LABELS = 10_000
 
 
 def hash_split(df: DataFrame, key: str = "patient_id", train_share: float = 0.8, seed: int = 42) -> DataFrame:
@@ -19,53 +24,113 @@ def hash_split(df: DataFrame, key: str = "patient_id", train_share: float = 0.8,
     return df.withColumn("is_train", key_hash(key, seed) % 10000 < bound)
 
 
-def rank_by_hash(df: DataFrame, by: Sequence[str], key: str = "patient_id", seed: int = 42) -> DataFrame:
-    """Append ``rank`` (1-based position inside the group in hash order) and ``group_rows``.
+def _hash_range(hashed: Column) -> Column:
+    return F.floor(hashed * HASH_RANGES / MODULUS).cast("int")
+
+
+@dataclass(frozen=True)
+class HashCuts:
+    """Per label, the (hash, key) points that part its rows into exact shares.
+
+    ``transform`` only compares each row with its label's points: no rows move.
+    """
 
-    Exact, yet no task ever holds a whole group: rows are cut into hash ranges, the range
-    counts give each range its start position, and only single ranges are sorted.
+    points: DataFrame
+    small: bool
+    label: str
+    key: str
+    seed: int
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Append ``part``: how many cut points lie before the row."""
+        points = F.broadcast(self.points) if self.small else self.points
+        joined = df.join(points, F.col(self.label).eqNullSafe(F.col("_label")), "left")
+        at = F.struct(key_hash(self.key, self.seed).alias("hash"), F.col(self.key).cast("bigint").alias("key"))
+        beyond = F.filter("_cuts", lambda c: at > F.struct(c["hash"].alias("hash"), c["key"].alias("key")))
+        return joined.withColumn("part", F.size(beyond).cast("int")).drop("_label", "_cuts")
+
+
+def fit_cuts(
+    df: DataFrame, label: str, last_rank: Callable[[Column], Sequence[Column]], key: str = "patient_id", seed: int = 42
+) -> HashCuts:
+    """Find the cut points of every label.
+
+    ``last_rank`` maps the label's row count to the rank of the last row before each cut. Rows
+    are counted per (label, hash range); only the ranges that hold a cut, a few thousandths of
+    a label, are ranked. A label with a third of all rows costs no task more than that.
     """
-    hashed = df.withColumn("_hash", key_hash(key, seed)).withColumn(
-        "_range", F.floor(F.col("_hash") * RANK_RANGES / MODULUS).cast("int")
+    keyed = df.select(
+        F.col(label).alias("_label"), F.col(key).cast("bigint").alias("_key"), key_hash(key, seed).alias("_hash")
+    ).withColumn("_range", _hash_range(F.col("_hash")))
+    counts = keyed.groupBy("_label", "_range").agg(F.count(F.lit(1)).alias("_n"))
+    per_label = Window.partitionBy("_label")
+    upto = per_label.orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
+    located = counts.select(
+        "_label", "_range", "_n", F.sum("_n").over(upto).alias("_end"), F.sum("_n").over(per_label).alias("_total")
     )
-    keys = [*by, "_range"]
-    counts = hashed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    # At most RANK_RANGES rows per group reach this window.
-    group = Window.partitionBy(*(by or [F.lit(0)]))
-    starts = counts.select(
-        *[F.col(k).alias(f"_s_{k}") for k in keys],
-        F.coalesce(
-            F.sum("_n").over(group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_before"),
-        F.sum("_n").over(group).alias("group_rows"),
+    ranks = F.array(*[r.cast("bigint") for r in last_rank(F.col("_total"))])
+    wanted = (
+        located.select("_label", "_range", "_n", "_end", F.posexplode(ranks).alias("_cut", "_rank"))
+        .filter((F.col("_rank") <= F.col("_end")) & (F.col("_rank") > F.col("_end") - F.col("_n")))
+        .select(
+            F.col("_label").alias("_w_label"), F.col("_range").alias("_w_range"), "_cut",
+            (F.col("_rank") - F.col("_end") + F.col("_n")).alias("_local"),
+        )
     )
-    joined = hashed.join(starts, [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys])
-    within = Window.partitionBy(*keys).orderBy("_hash", key)
-    return joined.withColumn("rank", F.col("_before") + F.row_number().over(within)).drop(
-        "_hash", "_range", "_before", *[f"_s_{k}" for k in keys]
+    near = keyed.join(
+        wanted, F.col("_label").eqNullSafe(F.col("_w_label")) & (F.col("_range") == F.col("_w_range"))
     )
+    order = Window.partitionBy("_label", "_range", "_cut").orderBy("_hash", "_key")
+    cuts = (
+        near.withColumn("_rn", F.row_number().over(order))
+        .filter(F.col("_rn") == F.col("_local"))
+        .groupBy("_label")
+        .agg(F.collect_list(F.struct(F.col("_hash").alias("hash"), F.col("_key").alias("key"))).alias("_cuts"))
+    )
+    stored = cut_lineage(cuts, "cuts")
+    small = stored.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS
+    return HashCuts(stored, small, label, key, seed)
 
 
 def stratified_split(
     df: DataFrame, label: str, key: str = "patient_id", train_share: float = 0.8, seed: int = 42
 ) -> DataFrame:
-    """Append ``is_train`` so that every label keeps the same share, to within one row."""
-    ranked = rank_by_hash(df, [label], key, seed)
+    """Append ``is_train``: in hash order, the first share of every label's rows, to the row."""
     share = round(train_share * 10000)
-    return ranked.withColumn("is_train", F.col("rank") * 10000 <= F.col("group_rows") * share).drop(
-        "rank", "group_rows"
-    )
+    cuts = fit_cuts(df, label, lambda n: [F.floor(n * share / 10000)], key, seed)
+    # A label too small to give one row to training has no cut point and stays in the test part.
+    placed = cuts.transform(df)
+    return placed.withColumn("is_train", F.col("part") == 0).drop("part")
 
 
 def stratified_folds(
     df: DataFrame, label: str, folds: int = 3, key: str = "patient_id", seed: int = 42
 ) -> DataFrame:
-    """Append ``fold`` 0..folds-1, each label spread evenly."""
-    ranked = rank_by_hash(df, [label], key, seed)
-    return ranked.withColumn("fold", ((F.col("rank") - 1) % folds).cast("int")).drop("rank", "group_rows")
+    """Append ``fold`` 0..folds-1: consecutive equal shares of every label in hash order."""
+    cuts = fit_cuts(df, label, lambda n: [F.floor(n * i / folds) for i in range(1, folds)], key, seed)
+    return cuts.transform(df).withColumnRenamed("part", "fold")
+
+
+def rank_by_hash(df: DataFrame, key: str = "patient_id", seed: int = 42) -> DataFrame:
+    """Append ``position``: the 1-based place of every row in hash order.
+
+    No task ever holds all rows: hash ranges are counted, the counts give each range its start
+    position, and only single ranges are sorted.
+    """
+    hashed = df.withColumn("_hash", key_hash(key, seed)).withColumn("_range", _hash_range(F.col("_hash")))
+    counts = hashed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    # At most HASH_RANGES rows reach this window, and as many are broadcast.
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(
+        F.col("_range").alias("_start_range"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
+    )
+    joined = hashed.join(F.broadcast(starts), F.col("_range") == F.col("_start_range"))
+    within = Window.partitionBy("_range").orderBy("_hash", key)
+    return joined.withColumn("position", F.col("_before") + F.row_number().over(within)).drop(
+        "_hash", "_range", "_before", "_start_range"
+    )
 
 
 def seeded_shuffle(df: DataFrame, key: str = "patient_id", seed: int = 42) -> DataFrame:
-    """Rows in hash order with their 1-based ``position``; for export only."""
-    ranked = rank_by_hash(df, [], key, seed)
-    return ranked.withColumnRenamed("rank", "position").drop("group_rows").orderBy("position")
+    """Rows in hash order with their position; for export only."""
+    return rank_by_hash(df, key, seed).orderBy("position")

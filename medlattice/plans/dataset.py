@@ -251,22 +251,28 @@ def grid_predictions(spark: SparkSession, folder: str) -> DataFrame:
 
     This is the shape a model grid leaves behind after scoring a test table.
     """
-    cells = []
-    for t, (task, target) in enumerate(S.TARGETS.items()):
-        for a, (algorithm, (skill, cost)) in enumerate(ALGORITHM_SKILL.items()):
-            chance = key_hash("patient_id", 1000 + 10 * t + a) % 100
-            label = F.col(target)
-            cells.append(
-                F.struct(
-                    F.lit(task).alias("task"),
-                    F.lit(algorithm).alias("algorithm"),
-                    label.alias("label"),
-                    F.when(chance < skill - 2 * t, label).otherwise(FALLBACK_CLASS[task]).alias("prediction"),
-                    (F.lit(cost * (t + 1)) + chance % 5).cast("bigint").alias("cost_ms"),
-                )
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(task).alias("task"), F.lit(algorithm).alias("algorithm"), F.lit(1000 + 10 * t + a).alias("seed"),
+                F.lit(skill - 2 * t).alias("skill"), F.lit(cost * (t + 1)).alias("cost"),
             )
+            for t, task in enumerate(S.TARGETS)
+            for a, (algorithm, (skill, cost)) in enumerate(ALGORITHM_SKILL.items())
+        ]
+    )
+    truth, fallback = F.lit(None), F.lit(None)
+    for task, target in S.TARGETS.items():
+        truth = F.when(F.col("task") == task, F.col(target)).otherwise(truth)
+        fallback = F.when(F.col("task") == task, F.lit(FALLBACK_CLASS[task])).otherwise(fallback)
     return (
         patients(spark, folder)
-        .select("patient_id", F.explode(F.array(*cells)).alias("cell"))
-        .select("patient_id", "cell.*")
+        .select("patient_id", *S.TARGETS.values(), F.explode(cells).alias("cell"))
+        .select("patient_id", *S.TARGETS.values(), "cell.*")
+        .select("*", (key_hash("patient_id", F.col("seed")) % 100).alias("chance"), truth.alias("label"))
+        .select(
+            "patient_id", "task", "algorithm", "label",
+            F.when(F.col("chance") < F.col("skill"), F.col("label")).otherwise(fallback).alias("prediction"),
+            (F.col("cost") + F.col("chance") % 5).cast("bigint").alias("cost_ms"),
+        )
     )

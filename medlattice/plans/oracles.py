@@ -396,7 +396,7 @@ LEFT JOIN (SELECT disease AS name, row_number() OVER (ORDER BY disease) - 1 AS c
     out["hash_split"] = p(f"SELECT patient_id, {order_hash} % 10000 < 8000 AS is_train FROM patients")
     ranked = f"SELECT patient_id, disease, row_number() OVER (PARTITION BY disease ORDER BY {order_hash}, patient_id) AS r, COUNT(*) OVER (PARTITION BY disease) AS n FROM patients"
     out["stratified_split"] = p(f"SELECT patient_id, disease, r * 10000 <= n * 8000 AS is_train FROM ({ranked}) s")
-    out["kfold_assign"] = p(f"SELECT patient_id, disease, CAST((r - 1) % 3 AS INTEGER) AS fold FROM ({ranked}) s")
+    out["kfold_assign"] = p(f"SELECT patient_id, disease, CAST(CASE WHEN r > n * 2 // 3 THEN 2 WHEN r > n // 3 THEN 1 ELSE 0 END AS INTEGER) AS fold FROM ({ranked}) s")
 
     # models with a closed form
     dist = [" + ".join(f"({c} - {v}) * ({c} - {v})" for c, v in zip(("age", "bmi", "glucose"), pt, strict=True)) for pt in CENTROIDS]
