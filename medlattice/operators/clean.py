@@ -45,6 +45,10 @@ def _missing(df: DataFrame, column: str) -> Column:
     return test | F.isnan(column) if kind in ("double", "float") else test
 
 
+def _complete(df: DataFrame, columns: Sequence[str]) -> Column:
+    return reduce(and_, [~_missing(df, c) for c in columns])
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN becomes null, so one notion of missing holds everywhere."""
     floats = [c for c, kind in df.dtypes if kind in ("double", "float")]
@@ -64,13 +68,14 @@ def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def drop_critical_nulls(df: DataFrame, columns: Sequence[str] = S.CRITICAL) -> DataFrame:
-    return df.dropna("any", subset=list(columns))
+    """Rows with all of the columns present. Plain null tests reach the Parquet reader, which
+    ``dropna`` does not."""
+    return df.filter(_complete(df, columns))
 
 
 def retention_report(df: DataFrame, critical: Sequence[str] = S.CRITICAL, minimum: int = 1000) -> DataFrame:
     """Rows before and after dropping incomplete rows, percent kept, small-result flag."""
-    complete = reduce(and_, [~_missing(df, c) for c in critical])
-    report = df.agg(F.count(F.lit(1)).alias("rows_before"), F.count_if(complete).alias("rows_after"))
+    report = df.agg(F.count(F.lit(1)).alias("rows_before"), F.count_if(_complete(df, critical)).alias("rows_after"))
     share = F.when(F.col("rows_before") > 0, F.lit(100.0) * F.col("rows_after") / F.col("rows_before"))
     return report.select(
         "rows_before", "rows_after",

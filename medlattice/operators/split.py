@@ -36,18 +36,21 @@ class HashCuts:
     """
 
     points: DataFrame
+    cuts: int
     small: bool
     label: str
     key: str
     seed: int
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Append ``part``: how many cut points lie before the row."""
+        """Append ``part``: how many of the cuts lie before the row. A cut that leaves no row
+        before it has no point, so cuts not yet reached are counted instead."""
         points = F.broadcast(self.points) if self.small else self.points
         joined = df.join(points, F.col(self.label).eqNullSafe(F.col("_label")), "left")
         at = F.struct(key_hash(self.key, self.seed).alias("hash"), F.col(self.key).cast("bigint").alias("key"))
-        beyond = F.filter("_cuts", lambda c: at > F.struct(c["hash"].alias("hash"), c["key"].alias("key")))
-        return joined.withColumn("part", F.size(beyond).cast("int")).drop("_label", "_cuts")
+        ahead = F.filter("_cuts", lambda c: at <= F.struct(c["hash"].alias("hash"), c["key"].alias("key")))
+        part = F.lit(self.cuts) - F.coalesce(F.size(ahead), F.lit(0))
+        return joined.withColumn("part", part).drop("_label", "_cuts")
 
 
 def fit_cuts(
@@ -68,7 +71,8 @@ def fit_cuts(
     located = counts.select(
         "_label", "_range", "_n", F.sum("_n").over(upto).alias("_end"), F.sum("_n").over(per_label).alias("_total")
     )
-    ranks = F.array(*[r.cast("bigint") for r in last_rank(F.col("_total"))])
+    cut_ranks = last_rank(F.col("_total"))
+    ranks = F.array(*[r.cast("bigint") for r in cut_ranks])
     wanted = (
         located.select("_label", "_range", "_n", "_end", F.posexplode(ranks).alias("_cut", "_rank"))
         .filter((F.col("_rank") <= F.col("_end")) & (F.col("_rank") > F.col("_end") - F.col("_n")))
@@ -89,7 +93,7 @@ def fit_cuts(
     )
     stored = cut_lineage(cuts, "cuts")
     small = stored.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS
-    return HashCuts(stored, small, label, key, seed)
+    return HashCuts(stored, len(cut_ranks), small, label, key, seed)
 
 
 def stratified_split(
@@ -98,9 +102,7 @@ def stratified_split(
     """Append ``is_train``: in hash order, the first share of every label's rows, to the row."""
     share = round(train_share * 10000)
     cuts = fit_cuts(df, label, lambda n: [F.floor(n * share / 10000)], key, seed)
-    # A label too small to give one row to training has no cut point and stays in the test part.
-    placed = cuts.transform(df)
-    return placed.withColumn("is_train", F.col("part") == 0).drop("part")
+    return cuts.transform(df).withColumn("is_train", F.col("part") == 0).drop("part")
 
 
 def stratified_folds(
