@@ -73,10 +73,12 @@ def _by_level(value: Column, points: dict[str, int]) -> Column:
     return chain.otherwise(F.lit(0))
 
 
-def _cascade(rules: Sequence[tuple[Column, str]], default: str) -> Column:
+def _cascade(rules: Sequence[tuple[Column, str | Column]], default: str | Column) -> Column:
+    """First match wins; an outcome may be a cascade of its own, so that a shared condition is
+    tested once per row."""
     chain = F
-    for condition, label in rules:
-        chain = chain.when(condition, F.lit(label))
+    for condition, outcome in rules:
+        chain = chain.when(condition, F.lit(outcome))
     return chain.otherwise(F.lit(default))
 
 
@@ -147,25 +149,23 @@ def diet_plan(metabolic: Column | None = None, cardio: Column | None = None) ->
     diabetic = is_disease("Diabetes_Type2") | (c("glucose") >= 200)
     cardiac = is_disease("Heart_Disease") | (cardio >= 60)
     obese = is_disease("Obesity") | (c("bmi") >= 30)
+    default = _cascade([((c("age") < 40) & (c("bmi") < 25) & (metabolic < 20), "Balanced")], "Mediterranean")
     rules = [
-        (diabetic & (c("bmi") >= 30), "Low_Carb"),
-        (diabetic, "Mediterranean"),
-        (cardiac & (c("cholesterol") >= 240), "Heart_Healthy"),
-        (cardiac, "Mediterranean"),
+        (diabetic, _cascade([(c("bmi") >= 30, "Low_Carb")], "Mediterranean")),
+        (cardiac, _cascade([(c("cholesterol") >= 240, "Heart_Healthy")], "Mediterranean")),
         (is_disease("Hypertension") | (c("bp_systolic") >= 140), "DASH"),
-        ((metabolic >= 50) & (c("bmi") >= 35), "Weight_Loss"),
-        ((metabolic >= 50) & (c("glucose") >= 100), "Low_Carb"),
-        (metabolic >= 50, "Mediterranean"),
-        (obese & (c("activity_level") == "Sedentary"), "Weight_Loss"),
-        (obese, "Low_Carb"),
+        (
+            metabolic >= 50,
+            _cascade([(c("bmi") >= 35, "Weight_Loss"), (c("glucose") >= 100, "Low_Carb")], "Mediterranean"),
+        ),
+        (obese, _cascade([(c("activity_level") == "Sedentary", "Weight_Loss")], "Low_Carb")),
         (is_disease("Anxiety", "SleepDisorder") | (c("stress_level") == "High"), "Anti_Inflammatory"),
         (is_disease("NutritionalDeficiency") | (c("bmi") < 18.5), "Plant_Based"),
         (is_disease("Hyperlipidemia") | (c("cholesterol") >= 240), "Heart_Healthy"),
         (is_disease("Prediabetes") | ((c("glucose") >= 100) & (c("glucose") < 126)), "Low_Carb"),
-        ((c("age") < 40) & (c("bmi") < 25) & (metabolic < 20), "Balanced"),
     ]
     needed = [metabolic, cardio, c("stress_level")]
-    return F.when(_all_present(needed), _cascade(rules, "Mediterranean"))
+    return F.when(_all_present(needed), _cascade(rules, default))
 
 
 def lifestyle_plan(metabolic: Column | None = None, burden: Column | None = None) -> Column:
@@ -180,23 +180,20 @@ def lifestyle_plan(metabolic: Column | None = None, burden: Column | None = None
     stressed = is_disease("Anxiety") | (c("stress_level") == "High")
     needs_movement = is_disease("Obesity", "Diabetes_Type2", "Heart_Disease") | (burden >= 40)
     chronic = is_disease("Diabetes_Type2", "Heart_Disease", "Hypertension", "MetabolicSyndrome")
+    default = _cascade([((c("age") < 50) & (c("bmi") < 25) & (metabolic < 25), "Wellness_Focus")], "Maintenance")
     rules = [
         (c("smoking") == "Current", "Smoking_Cessation"),
         (is_disease("SleepDisorder") | (c("sleep_hours") < 5), "Sleep_Improvement"),
-        (stressed & (c("sleep_hours") < 6), "Sleep_Improvement"),
-        (stressed, "Stress_Management"),
+        (stressed, _cascade([(c("sleep_hours") < 6, "Sleep_Improvement")], "Stress_Management")),
         (c("alcohol_units") > 14, "Alcohol_Reduction"),
         ((c("activity_level") == "Sedentary") & needs_movement, "Active_Movement"),
-        (chronic & (metabolic >= 60), "Preventive_Care"),
-        (chronic, "Active_Movement"),
-        ((burden >= 35) & (c("sleep_hours") < 6.5), "Sleep_Improvement"),
-        (burden >= 35, "Active_Movement"),
+        (chronic, _cascade([(metabolic >= 60, "Preventive_Care")], "Active_Movement")),
+        (burden >= 35, _cascade([(c("sleep_hours") < 6.5, "Sleep_Improvement")], "Active_Movement")),
         (is_disease("Obesity") | (c("bmi") >= 30), "Active_Movement"),
         (is_disease("Prediabetes", "Hyperlipidemia"), "Preventive_Care"),
-        ((c("age") < 50) & (c("bmi") < 25) & (metabolic < 25), "Wellness_Focus"),
     ]
     needed = [metabolic, burden, c("disease")]
-    return F.when(_all_present(needed), _cascade(rules, "Maintenance"))
+    return F.when(_all_present(needed), _cascade(rules, default))
 
 
 def with_scores(df):

@@ -18,9 +18,19 @@ def clip(value: Column | str, low, high) -> Column:
     return F.when(value.isNotNull(), F.least(F.greatest(value, F.lit(low)), F.lit(high)))
 
 
+def literal_array(values: Sequence) -> Column:
+    """Array literal built in one call, however many values it has."""
+    def text(value) -> str:
+        if isinstance(value, str):
+            return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return f"{value!r}D" if isinstance(value, float) else repr(value)
+
+    return F.expr(f"array({', '.join(text(v) for v in values)})")
+
+
 def pick(values: Sequence, index: Column) -> Column:
     """Element of a literal list at a 0-based index: a lookup without a join."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + F.lit(1)).cast("int"))
+    return F.element_at(literal_array(values), (index + F.lit(1)).cast("int"))
 
 
 def decode(labels: Sequence[str], code: Column | str, unknown: str = "Unknown") -> Column:

@@ -220,10 +220,14 @@ def tree_shap_all_classes(
 
 def _scored(trained: Trained, df: DataFrame, keys: Sequence[str]) -> DataFrame:
     scored = with_probability(trained.model.transform(df))
-    return scored.select(
+    rows = scored.select(
         *keys, F.col("prediction").cast("int").alias("class"), F.col("predicted_class").alias("prediction"),
         "probability", vector_to_array("features").alias("vector"),
     )
+    # A few small files make a few tasks, and this work is bound by the processor: spread the
+    # rows when there are fewer files than cores. Large inputs are split by the scan already.
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if len(df.inputFiles()) < cores else rows
 
 
 def named(values, names: Sequence[str]):

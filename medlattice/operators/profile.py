@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from medlattice.functions.scalar import rounded
-from medlattice.operators.quantiles import quantiles_of_counts, value_counts_long
+from medlattice.operators.quantiles import exact_quantiles, values_long
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -95,17 +95,16 @@ def group_profile(df: DataFrame, by: str, measures: Sequence[str], column: str,
 def box_summary(df: DataFrame, by: str, columns: Sequence[str], reach: float = 1.5) -> DataFrame:
     """Five-number summary per (group, column); whiskers are the extreme values within
     ``reach`` interquartile ranges of the box."""
-    counts = value_counts_long(df, columns, [by])
     names = ("q1", "median", "q3")
     quartiles = (
-        quantiles_of_counts(counts, (0.25, 0.5, 0.75), [by])
+        exact_quantiles(df, columns, (0.25, 0.5, 0.75), [by])
         .groupBy(F.col(by).alias("_by"), F.col("column").alias("_column"))
         .agg(*[F.max(F.when(F.col("p") == p, F.col("quantile"))).alias(n) for p, n in zip((0.25, 0.5, 0.75), names, strict=True)])
     )
     spread = F.col("q3") - F.col("q1")
     inside = F.col("value").between(F.col("q1") - reach * spread, F.col("q3") + reach * spread)
-    # Whiskers are values, so they come from the merged values, not from the rows again.
-    joined = counts.join(quartiles, F.col(by).eqNullSafe(F.col("_by")) & (F.col("column") == F.col("_column")))
+    values = values_long(df, columns, [by])
+    joined = values.join(quartiles, F.col(by).eqNullSafe(F.col("_by")) & (F.col("column") == F.col("_column")))
     whiskers = joined.filter(inside).groupBy(by, "column", *names).agg(
         F.min("value").alias("whisker_low"), F.max("value").alias("whisker_high")
     )

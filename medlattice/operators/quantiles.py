@@ -1,9 +1,12 @@
-"""Exact quantiles without gathering a column or a group in one task.
+"""Exact quantiles without gathering or shuffling a column.
 
-Equal values are merged first (partial sums on the map side), so a value held by a third of
-all rows is one row after the first shuffle. Distinct values are then located in two steps:
-a histogram of at most ``BUCKETS`` cells per (group, column) finds the cells holding the wanted
-ranks, and only the values inside those cells are ordered.
+Three scans of the wanted columns, each with map-side partial aggregation:
+
+1. range and row count per (group, column),
+2. a histogram of at most ``CELLS`` cells per (group, column), which tells the cells that hold
+   the wanted ranks,
+3. the values inside those cells only; equal values are merged before they move, so a value
+   held by a third of all rows is a single row by then.
 """
 
 from __future__ import annotations
@@ -13,11 +16,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 2048
+CELLS = 8192
 
 
-def value_counts_long(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """(group, column, value, n) over the non-null, non-NaN values of numeric columns."""
+def values_long(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """(group, column, value) rows of the non-null, non-NaN values of numeric columns."""
     entries = F.array(
         *[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
     )
@@ -25,61 +28,58 @@ def value_counts_long(df: DataFrame, columns: Sequence[str], by: Sequence[str] =
         df.select(*by, F.explode(entries).alias("e"))
         .select(*by, "e.column", "e.value")
         .filter(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy(*by, "column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Linearly interpolated quantiles: one row per (group, column, p) with ``quantile``."""
-    return quantiles_of_counts(value_counts_long(df, columns, by), probs, by)
-
-
-def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
-    """The same from already merged values (group, column, value, n).
+    """Linearly interpolated quantiles: one row per (group, column, p) with ``quantile``.
 
-    The joins below are with one row per (group, column). Without groups that is one row per
-    column, small enough to broadcast by construction; with groups the size is left to the
-    adaptive planner, which measures it.
+    The joins are with a few rows per (group, column). Without groups that is bounded by the
+    number of columns and is broadcast; with groups the adaptive planner measures the size.
     """
     keys = [*by, "column"]
     small = F.broadcast if not by else (lambda table: table)
-    span = counts.groupBy(*keys).agg(
-        F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum("n").alias("total")
+    values = values_long(df, columns, by)
+    span = values.groupBy(*keys).agg(
+        F.min("value").alias("lo"), F.max("value").alias("hi"), F.count(F.lit(1)).alias("total")
     )
     width = F.col("hi") - F.col("lo")
-    cell = F.when(width > 0, F.least(F.floor((F.col("value") - F.col("lo")) / width * BUCKETS), F.lit(BUCKETS - 1)))
-    # Null groups must meet themselves again, hence the null-safe comparisons.
-    placed = _join_null_safe(counts, small(span), keys).withColumn("cell", F.coalesce(cell, F.lit(0)).cast("bigint"))
+    cell = F.least(F.floor((F.col("value") - F.col("lo")) / width * CELLS), F.lit(CELLS - 1))
+    placed = _join_null_safe(values, small(span), keys).withColumn(
+        "cell", F.when(width > 0, cell).otherwise(F.lit(0)).cast("bigint")
+    )
 
+    # At most CELLS rows per (group, column) reach this window.
     running = Window.partitionBy(*keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = (
         placed.groupBy(*keys, "cell")
-        .agg(F.sum("n").alias("cell_n"), F.first("total").alias("total"))
+        .agg(F.count(F.lit(1)).alias("cell_n"), F.first("total").alias("total"))
         .withColumn("before", F.coalesce(F.sum("cell_n").over(running), F.lit(0)))
     )
-    # The two ranks around p * (n - 1) and the weight of the upper one.
-    position = F.col("p") * (F.col("total") - 1)
+    # The two ranks around p * (n - 1) and their weights.
+    below = F.floor("position")
     ranks = F.array(
-        F.struct(F.floor("position").alias("rank"), (F.lit(1.0) - F.col("position") + F.floor("position")).alias("w")),
-        F.struct((F.floor("position") + 1).alias("rank"), (F.col("position") - F.floor("position")).alias("w")),
+        F.struct(below.alias("rank"), (F.lit(1.0) - F.col("position") + below).alias("w")),
+        F.struct((below + 1).alias("rank"), (F.col("position") - below).alias("w")),
     )
     wanted = (
         cells.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .withColumn("position", position)
+        .withColumn("position", F.col("p") * (F.col("total") - 1))
         .withColumn("r", F.explode(ranks))
         .select(*keys, "cell", "before", "cell_n", "p", F.col("r.rank").alias("rank"), F.col("r.w").alias("w"))
         .filter((F.col("w") > 0) & (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("cell_n")))
         .groupBy(*keys, "cell", "before")
         .agg(F.collect_list(F.struct("p", "rank", "w")).alias("targets"))
     )
-    inside = _join_null_safe(placed.select(*keys, "cell", "value", "n"), small(wanted), [*keys, "cell"])
+    inside = _join_null_safe(placed.select(*keys, "cell", "value"), small(wanted), [*keys, "cell"])
+    merged = inside.groupBy(*keys, "cell", "value").agg(
+        F.count(F.lit(1)).alias("n"), F.first("before").alias("before"), F.first("targets").alias("targets")
+    )
     upto = Window.partitionBy(*keys, "cell").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.col("before") + F.sum("n").over(upto)
     hits = (
-        inside.withColumn("end", end)
+        merged.withColumn("end", F.col("before") + F.sum("n").over(upto))
         .withColumn("t", F.explode("targets"))
         .filter((F.col("t.rank") < F.col("end")) & (F.col("t.rank") >= F.col("end") - F.col("n")))
     )

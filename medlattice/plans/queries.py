@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import numpy as np
 import pandas as pd
@@ -19,7 +20,7 @@ from medlattice.operators.quantiles import exact_quantiles
 from medlattice.plans import dataset
 from medlattice.plans.oracles import CENTROIDS, LINEAR_COEFFICIENTS, LINEITEM_MEASURES
 from medlattice.plans.profiles import PROFILES, SLOTS
-from medlattice.session import read_table, scratch_path
+from medlattice.session import read_table, scratch_path, tuned
 from medlattice.sources import files, store
 from medlattice.sources import results as documents
 from medlattice.streaming import patient_stream as streams
@@ -36,7 +37,15 @@ def query(function: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return dict(_REGISTRY)
+    return {name: _on_tuned_session(function) for name, function in _REGISTRY.items()}
+
+
+def _on_tuned_session(function: Query) -> Query:
+    @wraps(function)
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        return function(tuned(spark), d)
+
+    return run
 
 
 def _results(spark: SparkSession, d: str) -> DataFrame:
