@@ -198,31 +198,34 @@ def train(
     re-reading its input, nothing else.
     """
     started = time.perf_counter()
-    params = study_params(task, algorithm) if params is None else params
-    keep = [key] if folds > 1 else []
-    features, encoded = encode_training(df, task, kind, keep)
-    if folds > 1:
-        encoded = stratified_folds(encoded, "label", folds, key)
-    encoded = encoded.persist()
+    features, encoded = encode_training(df, task, kind, [key] if folds > 1 else [])
+    encoded = (stratified_folds(encoded, "label", folds, key) if folds > 1 else encoded).persist()
     try:
-        stages = _classifier(algorithm, encoded, len(S.CLASSES[task]), params)
-        mean = std = None
-        if folds > 1:
-            search = CrossValidator(
-                estimator=Pipeline(stages=stages), estimatorParamMaps=ParamGridBuilder().build(),
-                evaluator=MulticlassClassificationEvaluator(metricName="accuracy"), numFolds=folds,
-                foldCol="fold", seed=42,
-            ).fit(encoded)
-            fitted, mean, std = search.bestModel.stages, float(search.avgMetrics[0]), float(search.stdMetrics[0])
-        else:
-            fitted = Pipeline(stages=stages).fit(encoded).stages
+        return fit_encoded(features, encoded, task, algorithm, params, folds, started)
     finally:
         encoded.unpersist()
-    decoder = encode.label_decoder(S.CLASSES[task])
-    model = PipelineModel(stages=[*features.stages, *fitted, decoder])
-    return Trained(
-        task, algorithm, model, S.CLASSES[task], time.perf_counter() - started, mean, std
-    )
+
+
+def fit_encoded(
+    features: PipelineModel, encoded: DataFrame, task: str, algorithm: str, params: dict | None = None,
+    folds: int = 0, started: float | None = None,
+) -> Trained:
+    """Fit one algorithm on rows that are encoded (and cached) already."""
+    started = time.perf_counter() if started is None else started
+    params = study_params(task, algorithm) if params is None else params
+    stages = _classifier(algorithm, encoded, len(S.CLASSES[task]), params)
+    mean = std = None
+    if folds > 1:
+        search = CrossValidator(
+            estimator=Pipeline(stages=stages), estimatorParamMaps=ParamGridBuilder().build(),
+            evaluator=MulticlassClassificationEvaluator(metricName="accuracy"), numFolds=folds,
+            foldCol="fold", seed=42,
+        ).fit(encoded)
+        fitted, mean, std = search.bestModel.stages, float(search.avgMetrics[0]), float(search.stdMetrics[0])
+    else:
+        fitted = Pipeline(stages=stages).fit(encoded).stages
+    model = PipelineModel(stages=[*features.stages, *fitted, encode.label_decoder(S.CLASSES[task])])
+    return Trained(task, algorithm, model, S.CLASSES[task], time.perf_counter() - started, mean, std)
 
 
 def with_probability(scored: DataFrame) -> DataFrame:
@@ -238,14 +241,17 @@ def with_probability(scored: DataFrame) -> DataFrame:
 
 def evaluate(trained: Trained, test: DataFrame) -> Row:
     """Metrics of one model on labelled rows, from one pass over its predictions."""
-    target = S.TARGETS[trained.task]
-    scored = trained.model.transform(test).select(F.col(target).alias("label"), F.col("predicted_class").alias("prediction"))
-    return classification_metrics(scored).first()
+    return _metrics(trained.model.transform(test), S.TARGETS[trained.task])
+
 
+def _metrics(scored: DataFrame, target: str) -> Row:
+    pairs = scored.select(F.col(target).alias("label"), F.col("predicted_class").alias("prediction"))
+    return classification_metrics(pairs).first()
 
-def result_row(trained: Trained, test: DataFrame) -> tuple:
-    """A ``model_results`` row."""
-    m = evaluate(trained, test)
+
+def result_row(trained: Trained, scored: DataFrame, target: str | None = None) -> tuple:
+    """A ``model_results`` row from scored test rows."""
+    m = _metrics(scored, target or S.TARGETS[trained.task])
     return (
         trained.task, trained.algorithm, m["accuracy"], m["f1_score"], m["precision"], m["recall"],
         trained.seconds, trained.cv_mean, trained.cv_std, int(m["num_classes"]),
@@ -255,25 +261,33 @@ def result_row(trained: Trained, test: DataFrame) -> tuple:
 def train_grid(
     train_df: DataFrame, test_df: DataFrame, tasks: Sequence[str] = tuple(S.TARGETS),
     algorithms: Sequence[str] = ALGORITHMS, params: Callable[[str, str], dict] = study_params,
-    folds: int = 0, parallelism: int = 2,
+    folds: int = 0, parallelism: int = 2, key: str = "patient_id",
 ) -> DataFrame:
     """Every algorithm on every task as a ``model_results`` table.
 
-    Both tables are cached once for all fits. A few fits are submitted side by side, so one
-    model's short stages fill the gaps another leaves; every fit itself runs on the cluster.
+    A task's rows are encoded and cached once for all of its algorithms, and its test rows are
+    encoded once for all models. A few fits are submitted side by side, so one model's short
+    stages fill the gaps another leaves; every fit itself runs on the cluster.
     """
-    train_df, test_df = train_df.persist(), test_df.persist()
-    try:
-        jobs = [(t, a) for t in tasks for a in algorithms]
-        with ThreadPoolExecutor(parallelism) as pool:
-            rows = list(
-                pool.map(
-                    lambda job: result_row(train(train_df, *job, params=params(*job), folds=folds), test_df), jobs
-                )
-            )
-    finally:
-        train_df.unpersist()
-        test_df.unpersist()
+    rows: list[tuple] = []
+    for task in tasks:
+        features, encoded = encode_training(train_df, task, keep=[key] if folds > 1 else [])
+        encoded = (stratified_folds(encoded, "label", folds, key) if folds > 1 else encoded).persist()
+        target = S.TARGETS[task]
+        held_out = features.transform(test_df).select("features", F.col(target).alias("truth")).persist()
+
+        def run(algorithm: str, task=task, features=features, encoded=encoded, held_out=held_out) -> tuple:
+            fitted = fit_encoded(features, encoded, task, algorithm, params(task, algorithm), folds)
+            classifier = PipelineModel(stages=fitted.model.stages[len(features.stages) :])
+            return result_row(fitted, classifier.transform(held_out), "truth")
+
+        try:
+            encoded.count()
+            with ThreadPoolExecutor(parallelism) as pool:
+                rows += pool.map(run, algorithms)
+        finally:
+            encoded.unpersist()
+            held_out.unpersist()
     return train_df.sparkSession.createDataFrame(rows, S.MODEL_RESULTS)
 
 

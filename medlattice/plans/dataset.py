@@ -132,12 +132,17 @@ def dirty_patients(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def build_patients(spark: SparkSession, rows: int, seed: int = 42, partitions: int | None = None) -> DataFrame:
-    """Labelled patients of any size: clipped normal draws around the disease profiles.
+    """Labelled patients of any size, numbered from 0."""
+    ids = spark.range(0, rows, 1, partitions) if partitions else spark.range(rows)
+    return patients_from_profiles(ids, seed)
+
+
+def patients_from_profiles(ids: DataFrame, seed: int = 42) -> DataFrame:
+    """One labelled patient per ``id``: clipped normal draws around the disease profiles.
 
     Every draw hashes (id, seed), so the table is the same for any partitioning and a lost
     task rebuilds identical rows. Measures are rounded before they are labelled.
     """
-    ids = spark.range(0, rows, 1, partitions) if partitions else spark.range(rows)
     index = F.col("_profile")
     base = ids.select(
         F.col("id").alias("patient_id"),

@@ -389,7 +389,7 @@ LEFT JOIN (SELECT disease AS name, row_number() OVER (ORDER BY disease) - 1 AS c
     out["one_hot_ignore_unknown"] = p(f"SELECT patient_id, {_one_hot()} FROM dirty", DIRTY)
     out["assemble_skip"] = p("SELECT patient_id, " + ", ".join(f"{c} AS {c}" for c in _NUM7) + " FROM dirty WHERE "
                              + " AND ".join(f"{c} IS NOT NULL" for c in _NUM7), DIRTY)
-    out["standard_scale"] = p(_scaled("patients", _NUM7, "stddev_samp", "patient_id"))
+    out["standard_scale"] = out["scaler_reload"] = p(_scaled("patients", _NUM7, "stddev_samp", "patient_id"))
     out["standard_scale_pop"] = _scaled("lineitem", LINEITEM_MEASURES, "stddev_pop", "l_orderkey, l_linenumber")
 
     # splits

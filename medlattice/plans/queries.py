@@ -344,6 +344,16 @@ def standard_scale(spark, d):
     return _tidy(_slots(fitted.transform(data), "features", [f"{c}_scaled" for c in S.NUMERIC], ["patient_id"], "double"))
 
 
+@query
+def scaler_reload(spark, d):
+    """A scaler that was fitted, saved and loaded, applied to the rows."""
+    data = dataset.patients(spark, d)
+    path = scratch_path(spark, "scaler")
+    encode.fit_features([encode.assembler(S.NUMERIC), encode.scaler()], data).write().save(path)
+    scaled = store.apply_saved(spark, path, data)
+    return _tidy(_slots(scaled, "features", [f"{c}_scaled" for c in S.NUMERIC], ["patient_id"], "double"))
+
+
 @query
 def standard_scale_pop(spark, d):
     data = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *LINEITEM_MEASURES)
@@ -389,7 +399,7 @@ def _split(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _report(spark: SparkSession, fitted: models.Trained, test: DataFrame) -> DataFrame:
-    return spark.createDataFrame([models.result_row(fitted, test)], S.MODEL_RESULTS)
+    return spark.createDataFrame([models.result_row(fitted, fitted.model.transform(test))], S.MODEL_RESULTS)
 
 
 def _forest_query(task: str) -> Query:
@@ -871,6 +881,13 @@ def weighted_assign(spark, d):
     return keys.select("patient_id", pick([p.disease for p in PROFILES], slot).alias("disease"))
 
 
+@query
+def built_patients(spark, d):
+    """Clipped normal draws around the disease profiles, one patient per customer key."""
+    keys = read_table(spark, d, "customer").select(F.col("c_custkey").alias("id"))
+    return dataset.patients_from_profiles(keys)
+
+
 @query
 def patients(spark, d):
     """The derivation itself, not the stored table."""

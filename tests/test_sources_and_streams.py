@@ -112,6 +112,15 @@ def test_fallback_without_model(spark, patients):
     assert tuple(row) == (0, 1500, 1500)
 
 
+def test_interval_trigger(spark, patients):
+    source, sink, log = (scratch_path(spark, n) for n in ("feed", "out", "log"))
+    write_feed(patients, source, 2)
+    query = streams.write_stream(streams.read_patient_stream(spark, source, None), sink, log, once=False, every="1 second")
+    query.processAllAvailable()
+    assert streams.run_for(query, 0.1) is False
+    assert spark.read.parquet(sink).count() == 1500
+
+
 def test_console_and_timed_run(spark, patients, capfd):
     source = scratch_path(spark, "feed")
     write_feed(patients.limit(5), source, 1)
