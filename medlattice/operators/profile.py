@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from medlattice.functions.scalar import rounded
-from medlattice.operators.quantiles import exact_quantiles, values_long
+from medlattice.operators.quantiles import BROADCAST_ROWS, exact_quantiles, values_long
+from medlattice.session import broadcast_if_small
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -101,6 +102,7 @@ def box_summary(df: DataFrame, by: str, columns: Sequence[str], reach: float = 1
         .groupBy(F.col(by).alias("_by"), F.col("column").alias("_column"))
         .agg(*[F.max(F.when(F.col("p") == p, F.col("quantile"))).alias(n) for p, n in zip((0.25, 0.5, 0.75), names, strict=True)])
     )
+    quartiles, _ = broadcast_if_small(quartiles, "quartiles", BROADCAST_ROWS)
     spread = F.col("q3") - F.col("q1")
     inside = F.col("value").between(F.col("q1") - reach * spread, F.col("q3") + reach * spread)
     values = values_long(df, columns, [by])

@@ -16,8 +16,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from medlattice.session import broadcast_if_small
+
 CELLS = 8192
 
+#: (group, column) rows that are broadcast; more are joined
+BROADCAST_ROWS = 20_000
+
 
 def values_long(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """(group, column, value) rows of the non-null, non-NaN values of numeric columns."""
@@ -37,17 +42,17 @@ def exact_quantiles(
     """Linearly interpolated quantiles: one row per (group, column, p) with ``quantile``.
 
     The joins are with a few rows per (group, column). Without groups that is bounded by the
-    number of columns and is broadcast; with groups the adaptive planner measures the size.
+    number of columns and is broadcast; with groups the number is checked first.
     """
     keys = [*by, "column"]
-    small = F.broadcast if not by else (lambda table: table)
     values = values_long(df, columns, by)
     span = values.groupBy(*keys).agg(
         F.min("value").alias("lo"), F.max("value").alias("hi"), F.count(F.lit(1)).alias("total")
     )
+    span, small = broadcast_if_small(span, "span", BROADCAST_ROWS) if by else (F.broadcast(span), True)
     width = F.col("hi") - F.col("lo")
     cell = F.least(F.floor((F.col("value") - F.col("lo")) / width * CELLS), F.lit(CELLS - 1))
-    placed = _join_null_safe(values, small(span), keys).withColumn(
+    placed = _join_null_safe(values, span, keys).withColumn(
         "cell", F.when(width > 0, cell).otherwise(F.lit(0)).cast("bigint")
     )
 
@@ -73,7 +78,9 @@ def exact_quantiles(
         .groupBy(*keys, "cell", "before")
         .agg(F.collect_list(F.struct("p", "rank", "w")).alias("targets"))
     )
-    inside = _join_null_safe(placed.select(*keys, "cell", "value"), small(wanted), [*keys, "cell"])
+    # At most two cells per (group, column, p).
+    wanted = F.broadcast(wanted) if small else wanted
+    inside = _join_null_safe(placed.select(*keys, "cell", "value"), wanted, [*keys, "cell"])
     merged = inside.groupBy(*keys, "cell", "value").agg(
         F.count(F.lit(1)).alias("n"), F.first("before").alias("before"), F.first("targets").alias("targets")
     )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medlattice.functions.hashing import MODULUS, key_hash
-from medlattice.session import cut_lineage
+from medlattice.session import broadcast_if_small
 
 #: ranges the hash space is cut into; a hot label is spread over all of them
 HASH_RANGES = 4096
@@ -45,8 +45,7 @@ class HashCuts:
     def transform(self, df: DataFrame) -> DataFrame:
         """Append ``part``: how many of the cuts lie before the row. A cut that leaves no row
         before it has no point, so cuts not yet reached are counted instead."""
-        points = F.broadcast(self.points) if self.small else self.points
-        joined = df.join(points, F.col(self.label).eqNullSafe(F.col("_label")), "left")
+        joined = df.join(self.points, F.col(self.label).eqNullSafe(F.col("_label")), "left")
         at = F.struct(key_hash(self.key, self.seed).alias("hash"), F.col(self.key).cast("bigint").alias("key"))
         ahead = F.filter("_cuts", lambda c: at <= F.struct(c["hash"].alias("hash"), c["key"].alias("key")))
         part = F.lit(self.cuts) - F.coalesce(F.size(ahead), F.lit(0))
@@ -81,6 +80,7 @@ def fit_cuts(
             (F.col("_rank") - F.col("_end") + F.col("_n")).alias("_local"),
         )
     )
+    wanted, _ = broadcast_if_small(wanted, "cut-ranges", BROADCAST_LABELS * len(cut_ranks))
     near = keyed.join(
         wanted, F.col("_label").eqNullSafe(F.col("_w_label")) & (F.col("_range") == F.col("_w_range"))
     )
@@ -91,9 +91,8 @@ def fit_cuts(
         .groupBy("_label")
         .agg(F.collect_list(F.struct(F.col("_hash").alias("hash"), F.col("_key").alias("key"))).alias("_cuts"))
     )
-    stored = cut_lineage(cuts, "cuts")
-    small = stored.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS
-    return HashCuts(stored, len(cut_ranks), small, label, key, seed)
+    points, small = broadcast_if_small(cuts, "cuts", BROADCAST_LABELS)
+    return HashCuts(points, len(cut_ranks), small, label, key, seed)
 
 
 def stratified_split(

@@ -363,10 +363,10 @@ LEFT JOIN (SELECT * FROM model_results WHERE algorithm = 'RandomForest' AND task
     out["lifestyle_burden"] = p("SELECT patient_id, lifestyle_burden FROM patients")
     out["diet_plan"] = p("SELECT patient_id, diet_plan FROM patients")
     out["lifestyle_plan"] = p("SELECT patient_id, lifestyle_plan FROM patients")
-    out["health_risk_index"] = p("SELECT patient_id, round(hri, 6) AS health_risk_index FROM hri", probs)
+    out["health_risk_index"] = p("SELECT patient_id, round(hri, 10) AS health_risk_index FROM hri", probs)
     out["risk_band"] = p(
         """SELECT patient_id, CASE WHEN hri < 0.3 THEN 'Low' WHEN hri < 0.6 THEN 'Medium' ELSE 'High' END AS risk_band,
-  round(hri * 100, 4) AS risk_percent, hri * 100 >= 90 AS alert FROM hri""", probs)
+  round(hri * 100, 8) AS risk_percent, hri * 100 >= 90 AS alert FROM hri""", probs)
     out["ordinal_encode"] = p(f"SELECT patient_id, {_ORD} FROM dirty", DIRTY)
     out["decode_labels"] = p(
         """SELECT patient_id, COALESCE(name, 'Unknown') AS class_name FROM patients p

@@ -266,13 +266,13 @@ def _index(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def health_risk_index(spark, d):
-    return _index(spark, d).select("patient_id", rounded("hri").alias("health_risk_index"))
+    return _index(spark, d).select("patient_id", rounded("hri", 10).alias("health_risk_index"))
 
 
 @query
 def risk_band(spark, d):
     return _index(spark, d).select(
-        "patient_id", rules.risk_band("hri").alias("risk_band"), rounded(rules.risk_percent("hri"), 4).alias("risk_percent"),
+        "patient_id", rules.risk_band("hri").alias("risk_band"), rounded(rules.risk_percent("hri"), 8).alias("risk_percent"),
         rules.risk_alert("hri").alias("alert"),
     )
 

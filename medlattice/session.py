@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
 _METHOD_LIMIT_CONF = "spark.sql.codegen.hugeMethodLimit"
@@ -55,6 +56,18 @@ def cut_lineage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if_small(df: DataFrame, label: str, limit: int) -> tuple[DataFrame, bool]:
+    """``df`` written once, marked for broadcast when it has at most ``limit`` rows.
+
+    The size is known before the join with the large side is planned. Left to the adaptive
+    planner, the large side would already be on its way through a shuffle by the time the
+    small side is measured. Beyond the limit the plain join remains.
+    """
+    stored = cut_lineage(df, label)
+    small = stored.limit(limit + 1).count() <= limit
+    return (F.broadcast(stored) if small else stored), small
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the supplied Parquet tables."""
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")

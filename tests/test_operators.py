@@ -96,6 +96,15 @@ def test_grouped_quantiles_with_null_group(spark):
     assert got == {"a": 2.0, None: 5.0}
 
 
+def test_many_groups_are_joined(spark, monkeypatch):
+    from medlattice.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "BROADCAST_ROWS", 5)
+    df = spark.range(3000).select((F.col("id") % 100).alias("g"), F.col("id").cast("double").alias("x"))
+    got = {r["g"]: r["quantile"] for r in exact_quantiles(df, ["x"], [0.5], ["g"]).collect()}
+    assert got == {g: 1450.0 + g for g in range(100)}
+
+
 # --- splits ---------------------------------------------------------------------------------
 
 
