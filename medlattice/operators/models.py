@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from medlattice import schema as S
 from medlattice.functions.hashing import key_hash
+from medlattice.functions.scalar import literal_array
 from medlattice.operators import encode
 from medlattice.operators.evaluate import classification_metrics
 from medlattice.operators.kernel import RandomFourierFeatures, scale_gamma
@@ -213,7 +214,10 @@ def fit_encoded(
     """Fit one algorithm on rows that are encoded (and cached) already."""
     started = time.perf_counter() if started is None else started
     params = study_params(task, algorithm) if params is None else params
-    stages = _classifier(algorithm, encoded, len(S.CLASSES[task]), params)
+    classes = S.CLASSES[task]
+    if algorithm == "SVM":
+        encoded, classes = _present_classes(encoded, classes)
+    stages = _classifier(algorithm, encoded, len(classes), params)
     mean = std = None
     if folds > 1:
         search = CrossValidator(
@@ -224,8 +228,20 @@ def fit_encoded(
         fitted, mean, std = search.bestModel.stages, float(search.avgMetrics[0]), float(search.stdMetrics[0])
     else:
         fitted = Pipeline(stages=stages).fit(encoded).stages
-    model = PipelineModel(stages=[*features.stages, *fitted, encode.label_decoder(S.CLASSES[task])])
-    return Trained(task, algorithm, model, S.CLASSES[task], time.perf_counter() - started, mean, std)
+    model = PipelineModel(stages=[*features.stages, *fitted, encode.label_decoder(classes)])
+    return Trained(task, algorithm, model, classes, time.perf_counter() - started, mean, std)
+
+
+def _present_classes(encoded: DataFrame, classes: tuple[str, ...]) -> tuple[DataFrame, tuple[str, ...]]:
+    """Codes closed up over the classes that occur: a linear machine needs rows on both sides.
+
+    The model then predicts, and its decoder names, the occurring classes only.
+    """
+    codes = sorted(r[0] for r in encoded.select("label").distinct().collect())
+    if len(codes) == len(classes):
+        return encoded, classes
+    position = F.array_position(literal_array(codes), F.col("label")) - 1
+    return encoded.withColumn("label", position.cast("double")), tuple(classes[int(c)] for c in codes)
 
 
 def with_probability(scored: DataFrame) -> DataFrame:

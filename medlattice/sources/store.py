@@ -6,7 +6,6 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from medlattice.operators.models import Trained
-from medlattice.schema import CLASSES
 
 
 def save_model(trained: Trained, path: str) -> None:
@@ -26,11 +25,11 @@ def load_model(spark: SparkSession, path: str) -> PipelineModel | None:
 
 
 def load_trained(spark: SparkSession, path: str, task: str, algorithm: str) -> Trained:
-    """A stored pipeline with its task's class names."""
+    """A stored pipeline with the class names its decoder holds."""
     model = load_model(spark, path)
     if model is None:
         raise FileNotFoundError(path)
-    return Trained(task, algorithm, model, CLASSES[task], 0.0)
+    return Trained(task, algorithm, model, tuple(model.stages[-1].getLabels()), 0.0)
 
 
 def apply_saved(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:

@@ -40,6 +40,15 @@ def test_every_algorithm_learns_and_reloads(spark, parts, algorithm):
     assert changed.filter("a != b").count() == 0
 
 
+def test_kernel_machine_without_a_class(parts):
+    """A class that is absent from training is not predicted and does not stop the fit."""
+    train, test = (p.filter("lifestyle_plan not in ('Alcohol_Reduction', 'Maintenance')") for p in parts)
+    fitted = models.train(train, "lifestyle", "SVM", {"maxIter": 3, "components": 32})
+    assert fitted.classes == tuple(c for c in S.LIFESTYLE_PLANS if c not in ("Alcohol_Reduction", "Maintenance"))
+    assert {r[0] for r in fitted.predict(test).select("predicted_class").distinct().collect()} <= set(fitted.classes)
+    assert models.evaluate(fitted, test)["accuracy"] > 0.5
+
+
 def test_cross_validation(parts):
     fitted = models.train(parts[0], "lifestyle", "RandomForest", {"numTrees": 5, "maxDepth": 4}, folds=3)
     assert 0.5 < fitted.cv_mean <= 1.0 and fitted.cv_std >= 0.0
