@@ -7,10 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medlattice.llm import quality_classifier, quality_rules
+from medlattice.llm import html_extract, license_scan, mixing, quality_classifier, quality_rules, secret_scan, simhash
 from medlattice.llm.common import documents, read_table, remainder
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir, "doc_id", "text"))
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.spans(documents(spark, sf_dir, "doc_id", "text"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.components(documents(spark, sf_dir, "doc_id", "text"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = quality_rules.ledger(documents(spark, sf_dir, "doc_id", "text"))
     return book.select(
@@ -26,5 +40,17 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = mixing.mixed(documents(spark, sf_dir, "doc_id", "text", "source"))
+    return taken.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "copies")
+
+
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extracted(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_quality_rules, op8_quality_classifier)}
+    found = (
+        op1_license_scan, op5_secret_scan, op6_simhash, op7_quality_rules, op8_quality_classifier, op9_mixing, op10_html_extract,
+    )
+    return {f.__name__: f for f in found}
