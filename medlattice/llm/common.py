@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from medlattice.session import cut_lineage, read_table
 
-__all__ = ["cut_lineage", "documents", "in_slices", "lower_words", "n_words", "read_table", "remainder", "utf8", "words"]
+__all__ = ["cut_lineage", "documents", "in_slices", "lower_words", "n_words", "packed", "read_table", "remainder", "utf8", "words"]
 
 #: a word is a run of anything but these bytes
 SPACE = r"[\x20\x09-\x0D]+"
@@ -33,6 +33,11 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def packed(docs: DataFrame, *columns: str) -> DataFrame:
+    """The named columns beside the whole row as struct ``row``, so that no other column can clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *columns)
+
+
 def remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``. A null id counts as the empty text (remainder 0)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % divisor

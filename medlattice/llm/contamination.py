@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medlattice.llm.common import cut_lineage
+from medlattice.llm.common import cut_lineage, packed
 
 WORDS, CONTAINED, SLOTS, BLOCK = 5, 0.8, 64, 4 << 20
 _WORD = re.compile(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
@@ -176,6 +176,6 @@ def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without those that contain a test item. A document without an id is kept or dropped with
     the others that have none and the same text."""
-    keyed = docs.withColumn("row_h", F.xxhash64("text"))
-    leaked = matches(keyed.select(F.col("row_h").alias("doc_id"), "text"), items).select(F.col("doc_id").alias("leaked_h")).distinct()
-    return keyed.join(leaked, F.col("row_h") == F.col("leaked_h"), "left_anti").select(*docs.columns)
+    keyed = packed(docs, F.xxhash64("text").alias("h"), "text")
+    leaked = matches(keyed.select(F.col("h").alias("doc_id"), "text"), items).select(F.col("doc_id").alias("leaked_h")).distinct()
+    return keyed.join(leaked, F.col("h") == F.col("leaked_h"), "left_anti").select("row.*")

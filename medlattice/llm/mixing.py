@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medlattice.llm.common import cut_lineage, n_words
+from medlattice.llm.common import cut_lineage, n_words, packed
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE, MOST = 1.5, 2.0
@@ -130,8 +130,8 @@ def mixed(docs: DataFrame) -> DataFrame:
 def with_copies(docs: DataFrame) -> DataFrame:
     """The documents the mix takes, with ``copies``; repeated rows come once with the sum of their copies."""
     taken = mixed(docs).groupBy("doc_id", "h").agg(F.sum("copies").cast("long").alias("copies")).where("copies > 0")
-    taken = taken.select(F.col("doc_id").alias("taken_id"), F.col("h").alias("taken_h"), "copies")
-    keyed = docs.withColumn("row_h", F.xxhash64(F.coalesce("text", F.lit("")), F.coalesce("doc_id", F.lit(-1))))
-    same = F.col("doc_id").eqNullSafe(F.col("taken_id")) & (F.col("row_h") == F.col("taken_h"))
-    once = keyed.dropDuplicates(["doc_id", "row_h"])
-    return once.join(taken, same).select(*docs.columns, "copies")
+    taken = taken.select(F.col("doc_id").alias("taken_id"), F.col("h").alias("taken_h"), F.col("copies").alias("taken_copies"))
+    hashed = F.xxhash64(F.coalesce("text", F.lit("")), F.coalesce("doc_id", F.lit(-1))).alias("h")
+    keyed = packed(docs, F.col("doc_id").cast("long").alias("id"), hashed).dropDuplicates(["id", "h"])
+    same = F.col("id").eqNullSafe(F.col("taken_id")) & (F.col("h") == F.col("taken_h"))
+    return keyed.join(taken, same).select("row.*", F.col("taken_copies").alias("copies"))

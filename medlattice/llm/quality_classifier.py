@@ -7,7 +7,7 @@ binary trees flattened into three arrays, walked for a whole batch at a time.
 Defined cases: a null or empty text has all statistics 0 and gets a score like any other; rows with a
 null label do not train, repeated labels of one id count once (the mean); without labelled rows, or
 with one class only, every score is the smoothed share of label 1; repeated rows are scored each;
-empty tables give empty results; other columns of ``docs`` are kept by ``with_score``.
+empty tables give empty results; other columns of ``docs`` are kept by ``accepted``.
 """
 
 from __future__ import annotations
@@ -174,12 +174,12 @@ def scored(stats: DataFrame, trees: Trees) -> DataFrame:
     return stats.mapInArrow(run, "doc_id long, score double, predicted int")
 
 
-def with_score(docs: DataFrame, trees: Trees, name: str = "quality_score") -> DataFrame:
-    """``docs`` with a score column computed from ``text``; every other column is kept."""
+def accepted(docs: DataFrame, trees: Trees, least: float = ACCEPT) -> DataFrame:
+    """The rows of ``docs`` whose text scores at least ``least``, with the columns of ``docs``."""
 
     @pandas_udf("double")
     def score(text: pd.Series) -> pd.Series:
         rows = np.array([statistics(t) for t in text], dtype=np.float64).reshape(-1, len(STATISTICS))
         return pd.Series(trees.probability(rows))
 
-    return docs.withColumn(name, score("text"))
+    return docs.where(score("text") >= least)

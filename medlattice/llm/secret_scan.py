@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medlattice.llm.common import cut_lineage
+from medlattice.llm.common import cut_lineage, packed
 from medlattice.session import broadcast_if_small
 
 #: candidates (an id and a list of rule numbers each, about 40 bytes) that are broadcast at most
@@ -222,12 +222,13 @@ def spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; overlapping spans become one."""
-    found = _scanned(docs, rules)
+    found = _scanned(packed(docs, "doc_id", "text"), rules)
     every = F.sort_array(F.concat(*[F.col(f"spans_{i}") for i in range(len(rules))]))
-    rows = found.withColumn("every", every).drop(*[f"spans_{i}" for i in range(len(rules))])
+    rows = found.select("row", "text", every.alias("every"))
     text = F.expr(
         "aggregate(every, struct(0 AS at, '' AS out), (s, x) -> CASE WHEN x.start >= s.at THEN"
         " struct(x.end AS at, concat(s.out, substring(text, s.at + 1, x.start - s.at), '[', x.kind, ']') AS out)"
         " ELSE struct(greatest(s.at, x.end) AS at, s.out AS out) END, s -> concat(s.out, substring(text, s.at + 1)))"
     )
-    return rows.withColumn("text", F.when(F.size("every") > 0, text).otherwise(F.col("text"))).select(*docs.columns)
+    new = F.when(F.size("every") > 0, text).otherwise(F.col("text"))
+    return rows.select(F.col("row").withField("text", new).alias("row")).select("row.*")

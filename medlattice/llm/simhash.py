@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medlattice.llm.common import cut_lineage, in_slices, lower_words, utf8
+from medlattice.llm.common import cut_lineage, in_slices, lower_words, packed, utf8
 
 WORDS, SEED, RADIUS, GROUPS, CELL = 4, 42, 4, 8, 16_384
 _LANES, _PAIRS = 0x0101010101010101, 0x5555555555555555
@@ -96,7 +96,8 @@ def with_fingerprint(docs: DataFrame, k: int = WORDS) -> DataFrame:
 
 def _counts(fp: str) -> str:
     """SQL of the 32 segment counts of ``fp``, two bits each."""
-    return f"(({fp} & {_PAIRS}L) + (shiftrightunsigned({fp}, 1) & {_PAIRS}L))"
+    other = f"shiftrightunsigned({fp}, 1)"
+    return f"((({fp} ^ {other}) & {_PAIRS}L) | shiftleft({fp} & {other} & {_PAIRS}L, 1))"
 
 
 def _signed(mask: int) -> int:
@@ -269,6 +270,6 @@ def deduplicated(docs: DataFrame, k: int = WORDS, radius: int = RADIUS) -> DataF
     stays = chosen.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("fp", "component_id")
     stays = stays.agg(F.min(F.struct("doc_id", "h")).alias("s"))
     stays = stays.groupBy(F.coalesce("component_id", "fp").alias("group")).agg(F.min("s").alias("s")).select(F.col("s.doc_id").alias("kept_id"), F.col("s.h").alias("kept_h"))
-    keyed = docs.withColumn("row_h", F.xxhash64("text"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")) & (F.col("row_h") == F.col("kept_h"))
-    return keyed.join(cut_lineage(stays, "simhash-kept"), same, "left_semi").dropDuplicates(["doc_id", "row_h"]).select(*docs.columns)
+    keyed = packed(docs, F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("h"))
+    same = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("h") == F.col("kept_h"))
+    return keyed.join(cut_lineage(stays, "simhash-kept"), same, "left_semi").dropDuplicates(["id", "h"]).select("row.*")
