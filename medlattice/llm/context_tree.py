@@ -41,6 +41,8 @@ _SLICE = 4 << 20
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 #: counted tokens a task holds before it passes them on
 _HELD = 500_000
+#: odd factor that spreads the two context bytes over the blocks
+_DEAL = 40_503
 
 
 # ---- bytes to grams ----------------------------------------------------------------------------
@@ -236,6 +238,12 @@ class Lookup:
         return out
 
 
+def _blocks_of(keys: np.ndarray, blocks: int) -> np.ndarray:
+    """Block of each gram: its two nearest context bytes, spread."""
+    low = (keys >> np.uint64(8)) & np.uint64(0xFFFF)
+    return ((low * np.uint64(_DEAL)) & np.uint64(0xFFFF)) % np.uint64(blocks)
+
+
 def _block_model(rows: DataFrame, top: Nodes, depth: int) -> tuple[Lookup, Nodes]:
     table = rows.toArrow()
     kind = table.column("kind").to_numpy()
@@ -317,31 +325,26 @@ def scores(docs: DataFrame, held_out_divisor: int = 10, depth: int = DEPTH) -> D
     blocks = max(1, -(-counted.count() // BLOCK))
     stored: list[DataFrame] = []
     for block in range(blocks):
-        # a gram's two nearest bytes are bits 8 to 23 of its key; so they are of a node's id
-        mine = F.pmod(F.xxhash64(F.col("id").bitwiseAND(F.lit(0xFFFF00).cast("long"))), F.lit(blocks)) == block
-        part = tree.where(mine) if blocks > 1 else tree
+        part = tree.where(F.expr(f"((id div 256) & 65535) * {_DEAL} % 65536 % {blocks}") == block) if blocks > 1 else tree
         model = spark.sparkContext.broadcast((*_block_model(part, top, depth), known if block == 0 else None))
-        lows = None
-        if blocks > 1:
-            lows = np.array([r[0] for r in part.select(F.col("id").bitwiseAND(F.lit(0xFFFF00).cast("long"))).distinct().collect()], np.int64)
 
-        def run(batches: Iterator[pa.RecordBatch], model=model, lows=lows, first=block == 0) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], model=model, block=block) -> Iterator[pa.RecordBatch]:
             table, nodes, known = model.value
             row = TaskContext.get().partitionId() << 33
             for batch in batches:
                 for part in in_slices(batch, "text", _SLICE):
                     raw, ends = utf8(part.column("text"))
                     keys, bounds = grams(raw, ends, depth)
-                    at = table.find(keys)
-                    value = table.values[at].astype(np.float64) if len(table.values) else np.zeros(len(keys))
-                    lost = np.flatnonzero(at < 0)
-                    if len(lost):
-                        fresh, back = np.unique(keys[lost], return_inverse=True)
-                        value[lost] = log_probability(fresh, nodes, depth)[back]
-                    if lows is not None:
-                        value[~np.isin((keys & np.uint64(0xFFFF00)).view(np.int64), lows)] = 0.0
+                    value = np.zeros(len(keys))
+                    mine = np.flatnonzero(_blocks_of(keys, blocks) == block) if blocks > 1 else np.arange(len(keys))
+                    if len(mine):
+                        at = table.find(keys[mine])
+                        seen = at >= 0
+                        value[mine[seen]] = table.values[at[seen]]
+                        fresh, back = np.unique(keys[mine[~seen]], return_inverse=True)
+                        value[mine[~seen]] = log_probability(fresh, nodes, depth)[back]
                     score = np.add.reduceat(value, bounds[:-1])
-                    columns = _base(raw.tobytes(), ends.tolist(), known, scale) if first else [[0] * len(score), [0] * len(score), [0.0] * len(score), [None] * len(score)]
+                    columns = _base(raw.tobytes(), ends.tolist(), known, scale) if block == 0 else [[0] * len(score), [0] * len(score), [0.0] * len(score), [None] * len(score)]
                     n_tokens, n_known, base, rare = columns
                     yield pa.RecordBatch.from_arrays(
                         [

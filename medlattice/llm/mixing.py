@@ -48,12 +48,21 @@ def targets(sizes: dict[str | None, int]) -> dict[str | None, float]:
     return out
 
 
-def _pivot(rows: pd.DataFrame, last: bool) -> pd.DataFrame:
+def draw(*parts: int) -> float:
+    """A number in [0, 1) that depends on the parts alone; each use names other parts."""
+    x = SEED
+    for part in parts:
+        x = (x + part + 0x9E3779B97F4A7C15) % 2**64
+        x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 % 2**64
+        x = (x ^ (x >> 27)) * 0x94D049BB133111EB % 2**64
+        x ^= x >> 31
+    return x / 2**64
+
+
+def _pivot(rows: pd.DataFrame, level: int, last: bool) -> pd.DataFrame:
     """Round the open rows of one bucket, largest first; at most one stays open unless ``last``."""
     rows = rows.sort_values(["size", "h", "doc_id"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
-    fraction, size = rows["fraction"].to_list(), rows["size"].to_list()
-    # 2**64 equally likely values, spread once more by the golden ratio so that levels do not repeat
-    draw = [((h * 0x9E3779B97F4A7C15 + SEED) % 2**64) / 2**64 for h in rows["h"].to_list()]
+    fraction, size, h = rows["fraction"].to_list(), rows["size"].to_list(), rows["h"].to_list()
     held = None
     for i, f in enumerate(fraction):
         if not 0.0 < f < 1.0:
@@ -63,7 +72,7 @@ def _pivot(rows: pd.DataFrame, last: bool) -> pd.DataFrame:
             continue
         a, ratio = fraction[held], size[i] / size[held]
         up, down = min(1.0 - a, f * ratio), min(a, (1.0 - f) * ratio)
-        move = up if draw[i] * (up + down) < down else -down
+        move = up if draw(level, h[held], h[i]) * (up + down) < down else -down
         # whichever bound was hit is set exactly
         if move > 0:
             a, f = (1.0, f - (1.0 - a) / ratio) if up == 1.0 - a else (a + move, 0.0)
@@ -73,7 +82,7 @@ def _pivot(rows: pd.DataFrame, last: bool) -> pd.DataFrame:
         if a in (0.0, 1.0):
             held = i if 0.0 < f < 1.0 else None
     if last and held is not None:
-        fraction[held] = float(draw[held] < fraction[held])
+        fraction[held] = float(draw(level, h[held]) < fraction[held])
     rows["fraction"] = fraction
     return rows
 
@@ -96,7 +105,7 @@ def mixed(docs: DataFrame) -> DataFrame:
     )
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor("rate")
-    level = (
+    dealt = (
         sized.join(F.broadcast(plan) if len(per_source) <= 100_000 else plan, F.col("source").eqNullSafe(F.col("name")))
         .withColumn("rate", rate)
         .select(
@@ -105,12 +114,12 @@ def mixed(docs: DataFrame) -> DataFrame:
             F.expr("pmod(xxhash64(h), buckets)").alias("bucket"),
         )
     )
-    open_, buckets, done = level, max([n for _, n in per_source.values()], default=0) // BUCKET + 1, []
+    open_, buckets, done = dealt, max([n for _, n in per_source.values()], default=0) // BUCKET + 1, []
     while True:
         last = buckets <= 1
 
-        def run(rows: pd.DataFrame, last: bool = last) -> pd.DataFrame:
-            return _pivot(rows, last)
+        def run(rows: pd.DataFrame, level: int = len(done), last: bool = last) -> pd.DataFrame:
+            return _pivot(rows, level, last)
 
         rounded = cut_lineage(open_.groupBy("source", "bucket").applyInPandas(run, _STATE), "mix-level")
         settled = (F.col("fraction") == 0) | (F.col("fraction") == 1)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medlattice.llm import html_extract, license_scan, mixing, quality_classifier, quality_rules, secret_scan, simhash
+from medlattice.llm import contamination, context_tree, html_extract, license_scan, mixing, quality_classifier, quality_rules, repeats, secret_scan, simhash
 from medlattice.llm.common import documents, read_table, remainder
 
 
@@ -15,6 +15,19 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op2_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = read_table(spark, sf_dir, "benchmark").select("item_id", "text")
+    return contamination.matches(documents(spark, sf_dir, "doc_id", "text"), items)
+
+
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removed(documents(spark, sf_dir, "doc_id", "text"))
+
+
+def op4_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.scores(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.spans(documents(spark, sf_dir, "doc_id", "text"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
@@ -51,6 +64,7 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
-        op1_license_scan, op5_secret_scan, op6_simhash, op7_quality_rules, op8_quality_classifier, op9_mixing, op10_html_extract,
+        op1_license_scan, op2_contamination, op3_repeats, op4_context_tree, op5_secret_scan, op6_simhash, op7_quality_rules,
+        op8_quality_classifier, op9_mixing, op10_html_extract,
     )
     return {f.__name__: f for f in found}
