@@ -18,7 +18,9 @@ empty result; a source of size 0 has target 0; other columns are ignored.
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,10 +61,9 @@ def draw(*parts: int) -> float:
     return x / 2**64
 
 
-def _pivot(rows: pd.DataFrame, level: int, last: bool) -> pd.DataFrame:
-    """Round the open rows of one bucket, largest first; at most one stays open unless ``last``."""
-    rows = rows.sort_values(["size", "h", "doc_id"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
-    fraction, size, h = rows["fraction"].to_list(), rows["size"].to_list(), rows["h"].to_list()
+def pivot(size: list[int], h: list[int], fraction: list[float], level: int, last: bool) -> list[float]:
+    """Round the open fractions of one bucket in the given order; at most one stays open unless ``last``."""
+    fraction = list(fraction)
     held = None
     for i, f in enumerate(fraction):
         if not 0.0 < f < 1.0:
@@ -83,8 +84,17 @@ def _pivot(rows: pd.DataFrame, level: int, last: bool) -> pd.DataFrame:
             held = i if 0.0 < f < 1.0 else None
     if last and held is not None:
         fraction[held] = float(draw(level, h[held]) < fraction[held])
-    rows["fraction"] = fraction
-    return rows
+    return fraction
+
+
+def _rounding(level: int, last: bool) -> Callable[[pa.Table], pa.Table]:
+    def run(rows: pa.Table) -> pa.Table:
+        # largest first, so that the last open document tends to be a small one
+        rows = rows.sort_by([("size", "descending"), ("h", "ascending"), ("doc_id", "ascending")])
+        rounded = pivot(*[rows.column(c).to_pylist() for c in ("size", "h", "fraction")], level, last)
+        return rows.set_column(rows.column_names.index("fraction"), "fraction", pa.array(rounded, pa.float64()))
+
+    return run
 
 
 def mixed(docs: DataFrame) -> DataFrame:
@@ -118,10 +128,7 @@ def mixed(docs: DataFrame) -> DataFrame:
     while True:
         last = buckets <= 1
 
-        def run(rows: pd.DataFrame, level: int = len(done), last: bool = last) -> pd.DataFrame:
-            return _pivot(rows, level, last)
-
-        rounded = cut_lineage(open_.groupBy("source", "bucket").applyInPandas(run, _STATE), "mix-level")
+        rounded = cut_lineage(open_.groupBy("source", "bucket").applyInArrow(_rounding(len(done), last), _STATE), "mix-level")
         settled = (F.col("fraction") == 0) | (F.col("fraction") == 1)
         done.append(rounded if last else rounded.where(settled))
         if last:
@@ -137,10 +144,11 @@ def mixed(docs: DataFrame) -> DataFrame:
 
 
 def with_copies(docs: DataFrame) -> DataFrame:
-    """The documents the mix takes, with ``copies``; repeated rows come once with the sum of their copies."""
+    """The documents the mix takes, with ``copies``; repeated rows come once with the sum of their copies.
+    A column ``copies`` of ``docs`` is replaced."""
     taken = mixed(docs).groupBy("doc_id", "h").agg(F.sum("copies").cast("long").alias("copies")).where("copies > 0")
     taken = taken.select(F.col("doc_id").alias("taken_id"), F.col("h").alias("taken_h"), F.col("copies").alias("taken_copies"))
     hashed = F.xxhash64(F.coalesce("text", F.lit("")), F.coalesce("doc_id", F.lit(-1))).alias("h")
     keyed = packed(docs, F.col("doc_id").cast("long").alias("id"), hashed).dropDuplicates(["id", "h"])
     same = F.col("id").eqNullSafe(F.col("taken_id")) & (F.col("h") == F.col("taken_h"))
-    return keyed.join(taken, same).select("row.*", F.col("taken_copies").alias("copies"))
+    return keyed.join(taken, same).select(*[f"row.`{c}`" for c in docs.columns if c != "copies"], F.col("taken_copies").alias("copies"))

@@ -7,6 +7,7 @@ from math import log10
 import numpy as np
 import pytest
 
+from llm_fixtures import awkward, nothing, small, small_docs  # noqa: F401
 from medlattice.llm import context_tree as c
 
 

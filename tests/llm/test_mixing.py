@@ -2,9 +2,9 @@ from __future__ import annotations
 
 from collections import defaultdict
 
-import pandas as pd
 import pytest
 
+from llm_fixtures import awkward, nothing, small, small_docs  # noqa: F401
 from medlattice.llm import mixing as m
 
 
@@ -41,23 +41,19 @@ def slow_pivot(rows):
 
 
 def test_pivot_keeps_the_sum_and_leaves_one_open():
-    rows = [(1 + 7919 * i, 3 + (i * i) % 50, 0.3) for i in range(200)]
-    frame = pd.DataFrame(rows, columns=["h", "size", "fraction"]).assign(doc_id=range(200))
-    out = m._pivot(frame, 0, last=False)
-    assert (out["fraction"] * out["size"]).sum() == pytest.approx(sum(s * f for _, s, f in rows))
-    assert ((out["fraction"] > 0) & (out["fraction"] < 1)).sum() <= 1
-    want = slow_pivot(rows)
-    assert dict(zip(out["h"], out["fraction"], strict=True)) == pytest.approx({h: float(v) for h, v in want.items()})
-    assert set(m._pivot(frame, 0, last=True)["fraction"]) == {0.0, 1.0}
+    rows = sorted([(1 + 7919 * i, 3 + (i * i) % 50, 0.3) for i in range(200)], key=lambda r: (-r[1], r[0]))
+    h, size, fraction = (list(c) for c in zip(*rows, strict=True))
+    out = m.pivot(size, h, fraction, 0, last=False)
+    assert sum(f * s for f, s in zip(out, size, strict=True)) == pytest.approx(sum(s * f for _, s, f in rows))
+    assert sum(0 < f < 1 for f in out) <= 1
+    assert dict(zip(h, out, strict=True)) == pytest.approx({k: float(v) for k, v in slow_pivot(rows).items()})
+    assert set(m.pivot(size, h, fraction, 0, last=True)) == {0.0, 1.0}
 
 
 def test_rounding_keeps_expectations():
-    hits = defaultdict(float)
-    for seed in range(3000):
-        frame = pd.DataFrame({"h": [seed * 977 + i * 131 for i in range(4)], "size": [5, 4, 3, 2], "fraction": [0.5, 0.25, 0.75, 0.4], "doc_id": range(4)})
-        for s, f in zip(*[m._pivot(frame, 0, last=True)[c] for c in ("size", "fraction")], strict=True):
-            hits[s] += f / 3000
-    assert [hits[s] for s in (5, 4, 3, 2)] == pytest.approx([0.5, 0.25, 0.75, 0.4], abs=0.05)
+    share = [0.5, 0.25, 0.75, 0.4]
+    runs = [m.pivot([5, 4, 3, 2], [seed * 977 + i * 131 for i in range(4)], share, 0, last=True) for seed in range(4000)]
+    assert [sum(c) / len(runs) for c in zip(*runs, strict=True)] == pytest.approx(share, abs=0.04)
 
 
 @pytest.mark.parametrize("bucket,fan_in", [(m.BUCKET, m.FAN_IN), (10, 2)])
@@ -84,6 +80,6 @@ def test_awkward_and_empty(awkward, nothing):
     rows = m.mixed(awkward).collect()
     assert len(rows) == awkward.count() and all(r["copies"] * r["size"] == 0 for r in rows if r["size"] == 0)
     assert m.mixed(nothing).count() == 0 and m.with_copies(nothing).count() == 0
-    taken = m.with_copies(awkward.drop("copies"))
+    taken = m.with_copies(awkward)
     assert taken.columns == [c for c in awkward.columns if c != "copies"] + ["copies"]
     assert taken.agg({"copies": "sum"}).first()[0] == sum(r["copies"] for r in rows)

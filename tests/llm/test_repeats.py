@@ -6,6 +6,7 @@ from hashlib import sha256
 
 import pytest
 
+from llm_fixtures import awkward, nothing, small, small_docs  # noqa: F401
 from medlattice.llm import repeats as r
 
 L = r.LENGTH

@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from llm_fixtures import awkward, nothing, small, small_docs  # noqa: F401
 from medlattice.llm import secret_scan as s
 
 TEXTS = [
