@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from medlattice.session import cut_lineage, read_table
 
-__all__ = ["cut_lineage", "documents", "in_slices", "lower_words", "n_words", "packed", "read_table", "remainder", "utf8", "words"]
+__all__ = ["cut_lineage", "documents", "in_slices", "in_small_batches", "lower_words", "n_words", "packed", "read_table", "remainder", "utf8", "words"]
+
+_BATCH_CONF, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+BATCH = 512
 
 #: a word is a run of anything but these bytes
 SPACE = r"[\x20\x09-\x0D]+"
@@ -56,6 +59,15 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[ends[0] : ends[-1]], ends - ends[0]
 
 
+def in_small_batches(docs: DataFrame) -> DataFrame:
+    """``docs``, with Arrow batches of ``BATCH`` rows for the session unless the user chose a size: at the
+    default of 10,000 rows a batch of long texts alone takes hundreds of megabytes of each task."""
+    conf = docs.sparkSession.conf
+    if conf.get(_BATCH_CONF) == _BATCH_DEFAULT:
+        conf.set(_BATCH_CONF, BATCH)
+    return docs
+
+
 def in_slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """The batch cut into runs of rows with at most ``limit`` bytes of text each (a longer row stands
     alone), so that work arrays stay small whatever the batch size is."""

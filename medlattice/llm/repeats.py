@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medlattice.llm.common import cut_lineage
+from medlattice.llm.common import cut_lineage, in_small_batches
 
 LENGTH, CORE, GRAM, CLASS = 400, 200, 16, 512
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93))
@@ -78,7 +78,7 @@ def _text(value: pa.Scalar) -> bytes:
 
 
 def _identified(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
+    return in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
 
 
 def anchored(docs: DataFrame) -> DataFrame:
