@@ -34,13 +34,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medlattice.llm.common import cut_lineage, in_slices, lower_words, remainder, utf8
+from medlattice.llm.common import cut_lineage, in_slices, in_small_batches, lower_words, remainder, utf8
 
-DEPTH, BLOCK, FREQUENT, END = 4, 2_000_000, 1_000_000, 0xFF
-_SLICE = 4 << 20
+DEPTH, BLOCK, FREQUENT, END = 4, 1_000_000, 500_000, 0xFF
+#: bytes of text whose positions are held at once
+_SLICE = 1 << 20
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 #: counted tokens a task holds before it passes them on
-_HELD = 500_000
+_HELD = 300_000
 #: odd factor that spreads the two context bytes over the blocks
 _DEAL = 40_503
 
@@ -80,7 +81,7 @@ def gram_counts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
                 first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
                 fresh = np.diff(np.concatenate((first, [len(found)])))
                 keys, counts = _merged(np.concatenate((keys, found[first])), np.concatenate((counts, fresh)))
-                if len(keys) > 8 * _HELD:
+                if len(keys) > 4 * _HELD:
                     yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["key", "n"])
                     keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["key", "n"])
@@ -245,17 +246,17 @@ def _blocks_of(keys: np.ndarray, blocks: int) -> np.ndarray:
 
 
 def _block_model(rows: DataFrame, top: Nodes, depth: int) -> tuple[Lookup, Nodes]:
-    table = rows.toArrow()
-    kind = table.column("kind").to_numpy()
-    ids, one, own = (table.column(c).to_numpy() for c in ("id", "one", "own"))
-    ids = ids.view(np.uint64)
-    grams_at = kind == -1
+    def column(kind: int, *names: str) -> list[np.ndarray]:
+        table = rows.where(F.col("kind") == kind).select(*names).toArrow()
+        return [table.column(name).to_numpy() for name in names]
+
     nodes = dict(top)
     for d in range(2, depth + 1):
-        at = np.flatnonzero(kind == d)
-        at = at[np.argsort(ids[at])]
-        nodes[d] = (ids[at], one[at], own[at])
-    return Lookup(ids[grams_at], one[grams_at]), nodes
+        ids, one, own = column(d, "id", "one", "own")
+        order = np.argsort(ids)
+        nodes[d] = (ids.view(np.uint64)[order], one[order], own[order])
+    ids, one = column(-1, "id", "one")
+    return Lookup(ids.view(np.uint64), one), nodes
 
 
 # ---- the unigram base --------------------------------------------------------------------------
@@ -311,7 +312,7 @@ def scores(docs: DataFrame, held_out_divisor: int = 10, depth: int = DEPTH) -> D
     """Per row: ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` (log10
     probability of the text) and ``bits_per_byte``."""
     spark = docs.sparkSession
-    split = docs.select(
+    split = in_small_batches(docs).select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", (remainder(F.col("doc_id"), held_out_divisor) == 0).alias("held_out")
     )
     training = split.where("NOT held_out")
