@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medlattice.llm.common import cut_lineage, packed
+from medlattice.llm.common import cut_lineage, in_small_batches, packed
 
 WORDS, CONTAINED, SLOTS, BLOCK = 5, 0.8, 64, 4 << 20
 _WORD = re.compile(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
@@ -167,7 +167,7 @@ def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
                 columns = list(zip(*rows, strict=True)) or [()] * 4
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "item_id", "shared", "n_shingles"])
 
-        part = cut_lineage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema), "benchmark-matches")
+        part = cut_lineage(in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema), "benchmark-matches")
         shared.destroy()
         found = part if found is None else found.unionByName(part)
     return spark.createDataFrame([], schema) if found is None else found

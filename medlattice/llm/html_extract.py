@@ -24,6 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from medlattice.llm.common import in_small_batches
+
 #: smoothing (in lines) and the share of the selected text that a region must hold
 SIGMA, RADIUS, HOLDS = 1.0, 2, 0.8
 
@@ -178,5 +180,5 @@ def extracted(pages: DataFrame) -> DataFrame:
                 names=["page_id", "url", "text", "n_chars"],
             )
 
-    wanted = pages.selectExpr("cast(page_id AS long) AS page_id", "url", "html")
+    wanted = in_small_batches(pages).selectExpr("cast(page_id AS long) AS page_id", "url", "html")
     return wanted.mapInArrow(run, "page_id long, url string, text string, n_chars long")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from medlattice.llm.common import cut_lineage, remainder
+from medlattice.llm.common import cut_lineage, in_small_batches, remainder
 
 #: rows, trees, depth, bins and step of the production model
 MAX_ROWS, TREES, DEPTH, BINS, RATE, SMOOTH = 40_000, 60, 4, 64, 0.15, 1.0
@@ -145,7 +145,7 @@ def measured(docs: DataFrame) -> DataFrame:
             )
 
     schema = "doc_id long, " + ", ".join(f"{name} double" for name in STATISTICS)
-    return cut_lineage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema), "quality-statistics")
+    return cut_lineage(in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema), "quality-statistics")
 
 
 def train(stats: DataFrame, labels: DataFrame, held_out_divisor: int = 5, max_rows: int = MAX_ROWS) -> Trees:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medlattice.llm.common import cut_lineage, in_slices, lower_words, packed, utf8
+from medlattice.llm.common import cut_lineage, in_slices, in_small_batches, lower_words, packed, utf8
 
 WORDS, SEED, RADIUS, GROUPS, CELL = 4, 42, 4, 8, 16_384
 _LANES, _PAIRS = 0x0101010101010101, 0x5555555555555555
@@ -90,7 +90,7 @@ def with_fingerprint(docs: DataFrame, k: int = WORDS) -> DataFrame:
                 fp = fingerprints([_hashes(data[a:b], k) for a, b in zip(ends, ends[1:], strict=False)])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("h"), pa.array(fp.view(np.int64))], names=["doc_id", "h", "fp"])
 
-    wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
+    wanted = in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
     return wanted.mapInArrow(run, "doc_id long, h long, fp long")
 
 
