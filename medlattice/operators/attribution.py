@@ -189,7 +189,8 @@ def add_contributions(df: DataFrame, tables: Sequence[LeafTable], all_classes: b
 def tree_shap(
     trained: Trained, df: DataFrame, names: Sequence[str], keys: Sequence[str] = ("patient_id",)
 ) -> DataFrame:
-    """Contributions to the predicted class for every row of ``df``.
+    """Contributions to the predicted class for every row of ``df``, in the partitions ``df`` has: the work
+    is bound by the processor, so a table of few files is best spread by its caller.
 
     Columns: keys, ``class``, ``prediction``, ``probability`` (array), ``base_value``,
     ``explained_value`` and ``contributions`` as array of (feature, value). The base value and
@@ -220,14 +221,10 @@ def tree_shap_all_classes(
 
 def _scored(trained: Trained, df: DataFrame, keys: Sequence[str]) -> DataFrame:
     scored = with_probability(trained.model.transform(df))
-    rows = scored.select(
+    return scored.select(
         *keys, F.col("prediction").cast("int").alias("class"), F.col("predicted_class").alias("prediction"),
         "probability", vector_to_array("features").alias("vector"),
     )
-    # A few small files make a few tasks, and this work is bound by the processor: spread the
-    # rows when there are fewer files than cores. Large inputs are split by the scan already.
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if len(df.inputFiles()) < cores else rows
 
 
 def named(values, names: Sequence[str]):

@@ -48,9 +48,21 @@ def task_frame(df: DataFrame, tasks: Sequence[str] = TASKS) -> DataFrame:
     return df.sparkSession.createDataFrame([(t,) for t in tasks], "task string")
 
 
+def all_tasks(results: DataFrame, tasks: Sequence[str]) -> DataFrame:
+    """The listed tasks and every other one that has results (one row per model: small)."""
+    return task_frame(results, tasks).unionByName(results.select("task")).where("task IS NOT NULL").distinct()
+
+
+def require_listed(results: DataFrame, tasks: Sequence[str]) -> None:
+    """A matrix has a column per listed task, so results of another one are an error, not a loss."""
+    strange = results.where(~F.col("task").isin(list(tasks))).select("task").limit(1).collect()
+    if strange:
+        raise ValueError(f"results of a task that is not listed: {strange[0]['task']}")
+
+
 def default_zero(results: DataFrame, tasks: Sequence[str] = TASKS) -> DataFrame:
     """One row per task; metrics are 0 for a task without results."""
-    return task_frame(results, tasks).join(results, "task", "left").select(
+    return all_tasks(results, tasks).join(results, "task", "left").select(
         "task", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in METRICS]
     )
 
@@ -67,7 +79,7 @@ def best_models(results: DataFrame, tasks: Sequence[str] = TASKS) -> DataFrame:
     best = results.groupBy("task").agg(
         F.min(F.struct((-F.col("accuracy")).alias("neg"), "algorithm", *fields)).alias("best")
     )
-    return task_frame(results, tasks).join(best, "task", "left").select(
+    return all_tasks(results, tasks).join(best, "task", "left").select(
         "task",
         F.coalesce("best.algorithm", F.lit("N/A")).alias("algorithm"),
         *[F.coalesce(f"best.{c}", F.lit(0.0)).alias(c) for c in fields],
@@ -80,6 +92,7 @@ def algorithms(results: DataFrame) -> DataFrame:
 
 def metric_matrix(results: DataFrame, metric: str = "accuracy", tasks: Sequence[str] = TASKS) -> DataFrame:
     """Algorithm by task matrix of one metric, 0 where an algorithm was not run."""
+    require_listed(results, tasks)
     return (
         results.groupBy("algorithm").pivot("task", list(tasks)).agg(F.first(metric)).na.fill(0.0).orderBy("algorithm")
     )
@@ -91,6 +104,7 @@ def metric_grid(results: DataFrame, tasks: Sequence[str] = TASKS) -> DataFrame:
     The pivoted matrix already holds every (algorithm, task) cell, so it is unpivoted instead
     of building all combinations.
     """
+    require_listed(results, tasks)
     wide = results.groupBy("algorithm").pivot("task", list(tasks)).agg(
         *[F.first(m).alias(m) for m in METRICS]
     )

@@ -100,7 +100,10 @@ def fit_population_scaler(df: DataFrame, columns: Sequence[str]) -> ColumnScaler
 
 
 def fill_stage(values: Mapping[str, float | str]) -> SQLTransformer:
-    """Fitted replacement values as a pipeline stage."""
+    """Fitted replacement values as a pipeline stage. A column without any value has none: that is an error."""
+    empty = [column for column, value in values.items() if value is None]
+    if empty:
+        raise ValueError(f"no value to fill with, all rows are null: {', '.join(empty)}")
     parts = []
     for column, value in values.items():
         literal = "'" + value.replace("'", "''") + "'" if isinstance(value, str) else f"{float(value)!r}D"

@@ -10,7 +10,8 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from statistics import mean, pstdev
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -22,9 +23,8 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -117,7 +117,7 @@ class Trained:
 
 def forest(**params) -> RandomForestClassifier:
     return RandomForestClassifier(
-        labelCol="label", featuresCol="features", seed=42, maxMemoryInMB=TREE_MEMORY_MB, **params
+        labelCol="label", featuresCol="features", seed=42, maxMemoryInMB=TREE_MEMORY_MB, cacheNodeIds=True, **params
     )
 
 
@@ -178,14 +178,24 @@ def _classifier(algorithm: str, encoded: DataFrame, classes: int, params: dict)
     raise ValueError(f"unknown algorithm {algorithm}")
 
 
+def spread(rows: DataFrame, key: str = "patient_id", partitions: int | None = None) -> DataFrame:
+    """Rows dealt by their key, as many partitions as the session shuffles to unless stated.
+
+    A fit reads its cached rows many times, and a table of few files would keep few cores busy each time.
+    """
+    if key not in rows.columns:
+        return rows
+    return rows.repartition(partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def encode_training(
-    train: DataFrame, task: str, kind: str | None = None, keep: Sequence[str] = ()
+    train: DataFrame, task: str, kind: str | None = None, keep: Sequence[str] = (), key: str = "patient_id"
 ) -> tuple[PipelineModel, DataFrame]:
     """Fitted feature stages and the encoded training table (label, features, kept columns)."""
     target = S.TARGETS[task]
     rows = train.filter(F.col(target).isNotNull())
     features = encode.fit_features(feature_stages(task, rows, kind), rows)
-    labelled = encode.label_indexer(target, S.CLASSES[task]).transform(features.transform(rows))
+    labelled = encode.label_indexer(target, S.CLASSES[task]).transform(features.transform(spread(rows, key)))
     return features, labelled.select("label", "features", *keep)
 
 
@@ -199,17 +209,37 @@ def train(
     re-reading its input, nothing else.
     """
     started = time.perf_counter()
-    features, encoded = encode_training(df, task, kind, [key] if folds > 1 else [])
-    encoded = (stratified_folds(encoded, "label", folds, key) if folds > 1 else encoded).persist()
+    features, encoded = encode_training(df, task, kind, key=key)
+    encoded = encoded.persist()
     try:
-        return fit_encoded(features, encoded, task, algorithm, params, folds, started)
+        fitted = fit_encoded(features, encoded, task, algorithm, params, started)
     finally:
         encoded.unpersist()
+    if folds < 2:
+        return fitted
+    scores = cross_validate(df, task, algorithm, params, kind, folds, key)
+    return replace(fitted, seconds=time.perf_counter() - started, cv_mean=mean(scores), cv_std=pstdev(scores))
+
+
+def cross_validate(
+    df: DataFrame, task: str, algorithm: str, params: dict | None = None, kind: str | None = None, folds: int = 3,
+    key: str = "patient_id",
+) -> list[float]:
+    """Accuracy on each stratified fold of a model, encoders and scaler included, that never saw it."""
+    target = S.TARGETS[task]
+    dealt = stratified_folds(df.filter(F.col(target).isNotNull()), target, folds, key)
+    scores = []
+    for fold in range(folds):
+        fitted = train(dealt.filter(F.col("fold") != fold).drop("fold"), task, algorithm, params, kind, key=key)
+        held_out = fitted.model.transform(dealt.filter(F.col("fold") == fold).drop("fold"))
+        right = F.avg((F.col("predicted_class") == F.col(target)).cast("double"))
+        scores.append(held_out.agg(right).first()[0])
+    return scores
 
 
 def fit_encoded(
     features: PipelineModel, encoded: DataFrame, task: str, algorithm: str, params: dict | None = None,
-    folds: int = 0, started: float | None = None,
+    started: float | None = None,
 ) -> Trained:
     """Fit one algorithm on rows that are encoded (and cached) already."""
     started = time.perf_counter() if started is None else started
@@ -217,19 +247,9 @@ def fit_encoded(
     classes = S.CLASSES[task]
     if algorithm == "SVM":
         encoded, classes = _present_classes(encoded, classes)
-    stages = _classifier(algorithm, encoded, len(classes), params)
-    mean = std = None
-    if folds > 1:
-        search = CrossValidator(
-            estimator=Pipeline(stages=stages), estimatorParamMaps=ParamGridBuilder().build(),
-            evaluator=MulticlassClassificationEvaluator(metricName="accuracy"), numFolds=folds,
-            foldCol="fold", seed=42,
-        ).fit(encoded)
-        fitted, mean, std = search.bestModel.stages, float(search.avgMetrics[0]), float(search.stdMetrics[0])
-    else:
-        fitted = Pipeline(stages=stages).fit(encoded).stages
+    fitted = Pipeline(stages=_classifier(algorithm, encoded, len(classes), params)).fit(encoded).stages
     model = PipelineModel(stages=[*features.stages, *fitted, encode.label_decoder(classes)])
-    return Trained(task, algorithm, model, classes, time.perf_counter() - started, mean, std)
+    return Trained(task, algorithm, model, classes, time.perf_counter() - started)
 
 
 def _present_classes(encoded: DataFrame, classes: tuple[str, ...]) -> tuple[DataFrame, tuple[str, ...]]:
@@ -287,13 +307,16 @@ def train_grid(
     """
     rows: list[tuple] = []
     for task in tasks:
-        features, encoded = encode_training(train_df, task, keep=[key] if folds > 1 else [])
-        encoded = (stratified_folds(encoded, "label", folds, key) if folds > 1 else encoded).persist()
+        features, encoded = encode_training(train_df, task, key=key)
+        encoded = encoded.persist()
         target = S.TARGETS[task]
         held_out = features.transform(test_df).select("features", F.col(target).alias("truth")).persist()
 
         def run(algorithm: str, task=task, features=features, encoded=encoded, held_out=held_out) -> tuple:
-            fitted = fit_encoded(features, encoded, task, algorithm, params(task, algorithm), folds)
+            fitted = fit_encoded(features, encoded, task, algorithm, params(task, algorithm))
+            if folds > 1:
+                scores = cross_validate(train_df, task, algorithm, params(task, algorithm), folds=folds, key=key)
+                fitted = replace(fitted, cv_mean=mean(scores), cv_std=pstdev(scores))
             classifier = PipelineModel(stages=fitted.model.stages[len(features.stages) :])
             return result_row(fitted, classifier.transform(held_out), "truth")
 
@@ -390,7 +413,11 @@ def fit_booster_early_stopping(
         }
     )
     booster = GBTClassifier(seed=42, validationIndicatorCol="held_out", maxMemoryInMB=TREE_MEMORY_MB, **params)
-    return PipelineModel(stages=[*features.stages, booster.fit(binary)])
+    binary = binary.persist()
+    try:
+        return PipelineModel(stages=[*features.stages, booster.fit(binary)])
+    finally:
+        binary.unpersist()
 
 
 # --- clustering -----------------------------------------------------------------------------

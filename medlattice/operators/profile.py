@@ -57,11 +57,14 @@ def group_means(df: DataFrame, by: str, columns: Sequence[str]) -> DataFrame:
 
 
 def contingency(df: DataFrame, by: str, column: str, values: Sequence[str]) -> DataFrame:
-    """One row per group, one count column per value, 0 where absent.
+    """One row per group, one count column per value, 0 where absent, and ``_other`` for the rows whose
+    value is none of them (or null), so the counts of a group always add up to its rows.
 
     The values are given, so no extra job looks for them and the pivot is one aggregation.
     """
-    return df.groupBy(by).pivot(column, list(values)).agg(F.count(F.lit(1))).na.fill(0)
+    known = F.when(F.col(column).isin(list(values)), F.col(column).cast("string")).otherwise(F.lit("_other"))
+    counted = df.select(by, known.alias("_value")).groupBy(by).pivot("_value", [*map(str, values), "_other"])
+    return counted.agg(F.count(F.lit(1))).na.fill(0)
 
 
 def top_per_group(df: DataFrame, by: str, column: str, n: int = 3) -> DataFrame:

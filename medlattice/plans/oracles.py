@@ -442,9 +442,21 @@ FROM (SELECT *, {order_hash} % 10000 < 8000 AS t FROM patients) s""")
     means = ", ".join(f"round(avg({c}), 6) AS avg_{c}" for c in _NUM7[:5])
     out["group_means"] = p(f"SELECT cluster, {means} FROM grouped GROUP BY cluster", GROUPED)
     out["contingency"] = p("SELECT cluster, " + ", ".join(
-        f"COUNT(*) FILTER (WHERE disease = '{d}') AS {d}" for d in S.DISEASES) + " FROM grouped GROUP BY cluster", GROUPED)
+        f"COUNT(*) FILTER (WHERE disease = '{d}') AS {d}" for d in S.DISEASES)
+        + ", 0::BIGINT AS _other FROM grouped GROUP BY cluster", GROUPED)
     out["contingency_orders"] = "SELECT o_orderpriority, " + ", ".join(
-        f"COUNT(*) FILTER (WHERE o_orderstatus = '{s}') AS {s}" for s in ("F", "O", "P")) + " FROM orders GROUP BY o_orderpriority"
+        f"COUNT(*) FILTER (WHERE o_orderstatus = '{s}') AS {s}" for s in ("F", "O", "P")) + ", 0::BIGINT AS _other FROM orders GROUP BY o_orderpriority"
+    out["contingency_unlisted"] = """SELECT o_orderpriority, COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS F,
+        COUNT(*) FILTER (WHERE o_orderstatus IS DISTINCT FROM 'F') AS _other FROM orders GROUP BY o_orderpriority"""
+    # invariants of the fitted models over every row
+    out["model_reload"] = p("SELECT COUNT(*) AS n, 0::BIGINT AS changed FROM patients")
+    out["stream_model_scoring"] = p("SELECT COUNT(*) AS n, 0::BIGINT AS different FROM patients")
+    out["labelled_scoring"] = p("SELECT patient_id, disease AS true_disease, true AS index_agrees FROM patients")
+    out["probability_check"] = p(f"SELECT patient_id, {len(S.DISEASES)}::INTEGER AS n_classes, true AS adds_up, true AS within FROM patients")
+    out["attribution_check"] = p("SELECT patient_id, true AS adds_up FROM patients")
+    out["importance_check"] = "SELECT 'disease' AS task, 1.0::DOUBLE AS total"
+    out["cluster_check"] = p("SELECT COUNT(*) AS n, 5::BIGINT AS clusters FROM patients")
+    out["fit_on_train_only"] = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", 0.0::DOUBLE AS mean, 1.0::DOUBLE AS sd" for c in S.NUMERIC)
     out["box_summary"] = p("SELECT * FROM (WITH " + _box("grouped", "cluster", _NUM7[:5]) + ") z", GROUPED)
     out["box_summary_orders"] = "WITH " + _box("orders", "o_orderpriority", ["o_totalprice"])
     top = """top AS (SELECT cluster, disease AS value, COUNT(*) AS n, row_number() OVER (PARTITION BY cluster ORDER BY COUNT(*) DESC, disease) AS rank FROM grouped GROUP BY cluster, disease)"""

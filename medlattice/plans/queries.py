@@ -493,6 +493,53 @@ def feature_importances(spark, d):
     return models.feature_importances(_surrogate(spark, d), dataset.patients(spark, d), top=5)
 
 
+@query
+def probability_check(spark, d):
+    """Per patient: one probability per class, all between 0 and 1 and adding up to 1."""
+    scored = _surrogate(spark, d).predict(dataset.patients(spark, d))
+    total = F.aggregate("probability", F.lit(0.0), lambda acc, v: acc + v)
+    within = F.forall("probability", lambda v: (v >= 0) & (v <= 1))
+    return scored.select(
+        "patient_id", F.size("probability").alias("n_classes"), (F.abs(total - 1) < 1e-9).alias("adds_up"), within.alias("within")
+    )
+
+
+@query
+def importance_check(spark, d):
+    """The importances of all features of the surrogate add up to 1."""
+    found = models.feature_importances(_surrogate(spark, d), dataset.patients(spark, d), top=None)
+    return found.agg(rounded(F.sum("importance")).alias("total")).select(F.lit("disease").alias("task"), "total")
+
+
+@query
+def attribution_check(spark, d):
+    """Per patient: base value and contributions add up to the probability of the predicted class."""
+    values = attribution.tree_shap(_surrogate(spark, d), _spread_patients(spark, d), S.ORDINAL_FEATURES)
+    total = F.aggregate("contributions", F.lit(0.0), lambda acc, e: acc + e["value"])
+    gap = F.abs(F.col("base_value") + total - F.get("probability", F.col("class")))
+    return values.select("patient_id", (gap < 1e-9).alias("adds_up"))
+
+
+@query
+def labelled_scoring(spark, d):
+    """A labelled table scored with the stored pipeline: the label is kept, and the risk index is the one
+    made of the model's own probability of ``Healthy``."""
+    fitted, data = _surrogate(spark, d), dataset.patients(spark, d)
+    scored = streams.score_patients(data.drop("diet_plan", "lifestyle_plan"), fitted.model)
+    healthy = F.get("probability", F.lit(fitted.classes.index("Healthy")))
+    own = fitted.predict(data).select("patient_id", (1 - healthy).alias("risk"))
+    index = rules.health_risk_index("risk", "diet_risk", "lifestyle_risk")
+    return scored.join(own, "patient_id").select("patient_id", "true_disease", (F.abs(index - F.col("health_risk_index")) < 1e-9).alias("index_agrees"))
+
+
+@query
+def cluster_check(spark, d):
+    """Every patient is in one of the five fitted clusters."""
+    data = _cluster_input(spark, d)
+    sizes = models.fit_clusters(data).transform(data).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("clusters"))
+
+
 def _cluster_input(spark: SparkSession, d: str) -> DataFrame:
     data = dataset.patients(spark, d)
     return encode.fit_features(encode.production_features(), data).transform(data)
@@ -633,6 +680,12 @@ def contingency_orders(spark, d):
     return profile.contingency(read_table(spark, d, "orders"), "o_orderpriority", "o_orderstatus", ("F", "O", "P"))
 
 
+@query
+def contingency_unlisted(spark, d):
+    """Order states that are not listed are counted together."""
+    return profile.contingency(read_table(spark, d, "orders"), "o_orderpriority", "o_orderstatus", ("F",))
+
+
 @query
 def box_summary(spark, d):
     return profile.box_summary(dataset.grouped(spark, d), "cluster", _MEASURES)
@@ -758,10 +811,15 @@ def explanation_text(spark, d):
     return dataset.contributions(spark, d).select("patient_id", explain.explanation_text("contributions").alias("explanation"))
 
 
+def _spread_patients(spark: SparkSession, d: str) -> DataFrame:
+    """The patients dealt by their key: attribution is bound by the processor, and the table is one file."""
+    return models.spread(dataset.patients(spark, d))
+
+
 @query
 def tree_shap(spark, d):
     """Contributions of every patient's predicted class; ``gap`` is base + contributions - probability."""
-    values = attribution.tree_shap(_surrogate(spark, d), dataset.patients(spark, d), S.ORDINAL_FEATURES)
+    values = attribution.tree_shap(_surrogate(spark, d), _spread_patients(spark, d), S.ORDINAL_FEATURES)
     total = F.aggregate("contributions", F.lit(0.0), lambda acc, e: acc + e["value"])
     return values.select(
         "patient_id", "prediction", rounded("base_value").alias("base_value"), rounded("explained_value").alias("explained_value"),
@@ -773,7 +831,7 @@ def tree_shap(spark, d):
 @query
 def tree_shap_importance(spark, d):
     """Mean magnitude of the contributions per class and feature."""
-    values = attribution.tree_shap_all_classes(_surrogate(spark, d), dataset.patients(spark, d), S.ORDINAL_FEATURES)
+    values = attribution.tree_shap_all_classes(_surrogate(spark, d), _spread_patients(spark, d), S.ORDINAL_FEATURES)
     named = values.withColumn("class", decode(S.DISEASES, "class"))
     return explain.long_importance(named, ["class"])
 
@@ -808,7 +866,7 @@ def tree_shap_two_features(spark, d):
 
 @query
 def explanation_record(spark, d):
-    record = explain.explain(_surrogate(spark, d), dataset.patients(spark, d))
+    record = explain.explain(_surrogate(spark, d), _spread_patients(spark, d))
     return record.select("patient_id", "prediction", rounded("confidence").alias("confidence"), rounded("base_value").alias("base_value"), "explanation")
 
 
@@ -881,13 +939,6 @@ def weighted_assign(spark, d):
     return keys.select("patient_id", pick([p.disease for p in PROFILES], slot).alias("disease"))
 
 
-@query
-def built_patients(spark, d):
-    """Clipped normal draws around the disease profiles, one patient per customer key."""
-    keys = read_table(spark, d, "customer").select(F.col("c_custkey").alias("id"))
-    return dataset.patients_from_profiles(keys)
-
-
 @query
 def patients(spark, d):
     """The derivation itself, not the stored table."""

@@ -17,7 +17,7 @@ from medlattice.functions import rules
 from medlattice.operators.clean import domain_check, nan_to_null
 from medlattice.operators.models import with_probability
 from medlattice.operators.ranking import confidence
-from medlattice.sources.files import read_patients_csv
+from medlattice.sources.files import CSV_OPTIONS, read_patients_csv
 from medlattice.sources.store import load_model
 
 MODEL_COLUMNS = {
@@ -33,10 +33,10 @@ def read_patient_stream(
 
     Producers add files and never append to one that was already picked up.
     """
-    reader = spark.readStream.schema(schema).option("header", True)
+    reader = spark.readStream.schema(schema).options(**CSV_OPTIONS)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.csv(path)
+    return nan_to_null(reader.csv(path))
 
 
 def score_rules(df: DataFrame) -> DataFrame:
@@ -53,13 +53,17 @@ def score_rules(df: DataFrame) -> DataFrame:
     )
 
 
-def score_patients(df: DataFrame, model: PipelineModel | None, classes=S.DISEASES) -> DataFrame:
+def score_patients(df: DataFrame, model: PipelineModel | None) -> DataFrame:
     """Rule scores plus the disease model, both plans and the health risk index.
 
+    A column of ``df`` that carries the name of a result, as in a labelled table, is kept as
+    ``true_<name>``. The disease risk is one minus the probability of ``Healthy``, whose position
+    is read from the model's own decoder; it is one for a model that never saw ``Healthy``.
+
     Rows the domain check rejects stay in the output with null predictions, so nothing is lost
     in the model's null handling. Without a model the model columns are null.
     """
-    scored = score_rules(df)
+    scored = score_rules(df.withColumnsRenamed({c: f"true_{c}" for c in df.columns if c in MODEL_COLUMNS}))
     if model is None:
         return scored.withColumns({c: F.lit(None).cast(kind) for c, kind in MODEL_COLUMNS.items()})
     inputs = [*S.NUMERIC, *S.CATEGORICAL]
@@ -68,13 +72,14 @@ def score_patients(df: DataFrame, model: PipelineModel | None, classes=S.DISEASE
     held = scored.withColumn("_raw", F.struct(*inputs)).withColumns(stand_ins)
     predicted = with_probability(model.transform(held))
     usable = F.col("verdict") == "accepted"
-    healthy = list(classes).index("Healthy")
+    labels = list(model.stages[-1].getLabels())
+    healthy = F.get("probability", F.lit(labels.index("Healthy"))) if "Healthy" in labels else F.lit(0.0)
     kept = [c for c in scored.columns if c not in inputs]
     out = predicted.select(
         *kept, *[F.col(f"_raw.{c}").alias(c) for c in inputs],
         F.when(usable, F.col("predicted_class")).alias("disease"),
         F.when(usable, confidence("probability", "prediction")).alias("confidence"),
-        F.when(usable, F.lit(1.0) - F.get("probability", F.lit(healthy))).alias("_disease_risk"),
+        F.when(usable, F.lit(1.0) - healthy).alias("_disease_risk"),
     )
     out = out.withColumn("cardio_risk", rules.cardio_risk())
     out = out.withColumns(

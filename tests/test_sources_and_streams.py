@@ -128,3 +128,51 @@ def test_console_and_timed_run(spark, patients, capfd):
     query.processAllAvailable()
     assert streams.run_for(query, 0.1) is False
     assert not query.isActive
+
+
+def test_labelled_rows_keep_their_label(spark, patients, surrogate):
+    scored = streams.score_patients(patients, surrogate.model)
+    assert {"true_disease", "disease", "true_diet_plan", "true_lifestyle_plan"} <= set(scored.columns)
+    assert scored.filter("true_disease IS NULL").count() == 0
+
+
+def test_risk_reads_the_class_order_from_the_model(spark, patients):
+    from medlattice.operators import models
+
+    train = patients.filter("disease != 'Cancer'")
+    fitted = models.train(train, "disease", "SVM", {"maxIter": 3, "components": 32})
+    healthy = fitted.model.stages[-1].getLabels().index("Healthy")
+    own = fitted.predict(patients).select("patient_id", F.get("probability", F.lit(healthy)).alias("p"))
+    scored = streams.score_patients(patients.select(*[f.name for f in S.STREAM.fields]), fitted.model).join(own, "patient_id")
+    index = 0.5 * (1 - F.col("p")) + 0.3 * F.col("lifestyle_risk") + 0.2 * F.col("diet_risk")
+    assert scored.filter(F.abs(F.col("health_risk_index") - index) > 1e-3).count() == 0
+
+
+def test_a_reordered_header_fails_in_a_stream_too(spark, tmp_path):
+    names = [f.name for f in S.STREAM.fields]
+    swapped = [*names[:2], names[3], names[2], *names[4:]]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text(",".join(swapped) + "\n" + ",".join("1" for _ in names) + "\n")
+    query = streams.write_stream(streams.read_patient_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "log"))
+    with pytest.raises(Exception, match="(?i)header"):
+        query.awaitTermination()
+
+
+def test_readers_turn_nan_into_null(spark, tmp_path):
+    df = spark.createDataFrame([(float("nan"), "x"), (1.0, "y")], "age double, gender string")
+    df.write.parquet(str(tmp_path / "p"))
+    assert files.read_patients(spark, str(tmp_path / "p"), required=("age",)).filter("age IS NULL").count() == 1
+
+
+def test_unlisted_values_and_tasks_are_not_lost(spark):
+    from medlattice.operators import compare, encode, profile
+
+    df = spark.createDataFrame([("a", "F"), ("a", "Z"), ("a", None), ("b", "O")], "g string, s string")
+    assert sorted(map(tuple, profile.contingency(df, "g", "s", ("F", "O")).collect())) == [("a", 1, 0, 2), ("b", 0, 1, 0)]
+    results = spark.createDataFrame([("sleep", "X", 0.5, 0.5, 0.5, 0.5, 1.0)], "task string, algorithm string, accuracy double, f1_score double, precision double, recall double, training_time_seconds double")
+    assert compare.default_zero(results).filter("task = 'sleep' AND accuracy = 0.5").count() == 1
+    assert compare.best_models(results).filter("task = 'sleep' AND algorithm = 'X'").count() == 1
+    with pytest.raises(ValueError, match="sleep"):
+        compare.metric_matrix(results)
+    with pytest.raises(ValueError, match="age"):
+        encode.fill_stage({"age": None})
