@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Wording of published licenses and license notes, normalised, as patterns.
-CUES = ("licen", "copyright", "permission is hereby", "redistribut", "warrant", "all rights reserved", "public domain", "as is")
+CUES = ("licen", "copyright", "permission is hereby", "redistribut", "warrant", "all rights reserved", "public domain")
 SENTENCES = (
     ("spdx", r"spdx license identifier .*"),
     ("apacheGrant", r"(this (file|work|project|software|text|document) is )?licensed under the apache license,? version 2( 0)?( the license)?"),

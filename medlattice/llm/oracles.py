@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from medlattice.llm import license_scan, secret_scan
+
 #: words, the windows of three words and the lines of every text, then the rules of policy ``v1``
 QUALITY_RULES = r"""
 WITH w AS (
@@ -39,5 +41,82 @@ FROM b
 """
 
 
+#: shingles of items and of documents, for every shingle length that an item has
+CONTAMINATION = r"""
+WITH i AS (
+  SELECT *, least(5, len(w)) AS k FROM (
+    SELECT row_number() OVER () AS r, item_id, regexp_extract_all(lower(text), '[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+') AS w FROM benchmark
+  ) WHERE len(w) > 0
+), items AS (
+  SELECT DISTINCT r, item_id, k, array_to_string(w[p : p + k - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS p FROM i)
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(text), '[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+') AS w FROM documents
+), held AS (
+  SELECT DISTINCT r, doc_id, k, array_to_string(w[p : p + k - 1], ' ') AS g
+  FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS p FROM d, (SELECT DISTINCT k FROM i))
+), sizes AS (SELECT r, count(*) AS n FROM items GROUP BY r)
+SELECT h.doc_id, i.item_id, count(*) AS shared, any_value(n) AS n_shingles
+FROM items i JOIN held h ON i.k = h.k AND i.g = h.g JOIN sizes s ON s.r = i.r
+GROUP BY h.r, h.doc_id, i.r, i.item_id HAVING count(*) >= 0.8 * any_value(n)
+"""
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def license_sql() -> str:
+    """Sentences, their identifiers, and the rules applied one after another to the sequence."""
+    low = "lower(sentence)"
+    speaks = " OR ".join(f"contains({low}, {_quoted(cue)})" for cue in license_scan.CUES)
+    arms = " ".join(f"WHEN regexp_full_match(norm, {_quoted(pattern)}) THEN {_quoted(name)}" for name, pattern in license_scan.SENTENCES)
+    trace = "coalesce('|' || array_to_string(list_transform(ids, lambda x: x || '|'), '|'), '')"
+    for name, wanted in license_scan.RULES:
+        trace = f"replace({trace}, {_quoted(''.join(f'|{i}|' for i in wanted))}, {_quoted(f'|<{name}>|')})"
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+), s AS (
+  SELECT r, unnest(string_split(regexp_replace(text, '([.!?;])\s+', '\1' || chr(10), 'g'), chr(10))) AS sentence,
+    generate_subscripts(string_split(regexp_replace(text, '([.!?;])\s+', '\1' || chr(10), 'g'), chr(10)), 1) AS pos FROM d
+), n AS (
+  SELECT r, pos, trim(regexp_replace(replace({low}, 'licence', 'license'), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS norm FROM s WHERE {speaks}
+), ids AS (SELECT r, list(CASE {arms} ELSE 'unknown' END ORDER BY pos) AS ids FROM n GROUP BY r)
+SELECT doc_id, coalesce(array_to_string(ids, ','), '') AS sentence_ids,
+  CASE WHEN ids IS NULL THEN '' ELSE array_to_string(regexp_extract_all({trace}, '<([^>]+)>', 1), ',') END AS licenses,
+  coalesce(len(list_filter(ids, lambda x: x = 'unknown')), 0)::BIGINT AS n_unknown
+FROM d LEFT JOIN ids USING (r)
+"""
+
+
+def secrets_sql() -> str:
+    """Every pattern over every text, with positions from the pieces between its matches."""
+    parts = []
+    for number, rule in enumerate(secret_scan.RULES):
+        pattern = _quoted(rule.pattern)
+        parts.append(f"""
+  SELECT r, start, {number} AS number, '{rule.kind}' AS kind, start + size AS stop FROM (
+    SELECT r, list_sum(list_transform(pieces[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0) AS start,
+      length(found[i]) AS size, length(kept[i]) AS own
+    FROM (
+      SELECT *, unnest(range(1, len(found) + 1)) AS i FROM (
+        SELECT r, regexp_extract_all(text, {pattern}) AS found, regexp_extract_all(text, {pattern}, {rule.group}) AS kept,
+          string_split_regex(text, {pattern}) AS pieces
+        FROM d WHERE regexp_matches(text, {pattern})))
+  ) WHERE own >= {rule.least}""")
+    spans = "list(kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) ORDER BY start, number)"
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = '{r.kind}') AS n_{r.kind}" for r in secret_scan.RULES if r.base)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+), s AS ({" UNION ALL ".join(parts)}
+), g AS (SELECT r, {counts}, array_to_string({spans} FILTER (WHERE number < 3), ',') AS base, array_to_string({spans}, ',') AS spans FROM s GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_quality_rules": QUALITY_RULES}
+    return {
+        "op1_license_scan": license_sql(), "op2_contamination": CONTAMINATION, "op5_secret_scan": secrets_sql(),
+        "op7_quality_rules": QUALITY_RULES,
+    }

@@ -21,7 +21,7 @@ CASES = [
     (MIT + "Released under the MIT License.", "mitPermission,mitNotice,asIs,mitGrant", "MIT,MIT", 0),
     ("Our license is odd.", "unknown", "", 1),
     ("Nothing here at all.", "", "", 0),
-    ("A tale of the as isle. With warranty? Nobody knew.", "unknown,unknown", "", 2),
+    ("A tale of the as isle. With warranty? Nobody knew.", "unknown", "", 1),
 ]
 
 
