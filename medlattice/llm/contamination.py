@@ -11,7 +11,7 @@ by exact containment of the item's shingles, as text, in those of the whole docu
 
 The documents are the searched side and are read in one narrow pass per block of items; a block is at
 most ``BLOCK`` bytes of items, which bounds what is sent to the tasks. All items are searched, in as
-many blocks as it takes.
+many blocks as it takes. Signatures are computed once per block and sent with it (about ten times its size).
 
 Words are runs of letters, digits and other non-ASCII characters, lower-cased. Shingles are five words;
 an item of fewer words is one shingle of all its words.
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from medlattice.llm.common import cut_lineage, in_small_batches, packed
 
-WORDS, CONTAINED, SLOTS, BLOCK = 5, 0.8, 64, 4 << 20
+WORDS, CONTAINED, SLOTS, BLOCK = 5, 0.8, 64, 2 << 20
 _WORD = re.compile(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 _SEED = np.random.default_rng(11)
 _MULTIPLY = _SEED.integers(1, 1 << 63, SLOTS, dtype=np.uint64) | np.uint64(1)
@@ -154,10 +154,10 @@ def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     found: DataFrame | None = None
     for block in _blocks(items):
-        shared = spark.sparkContext.broadcast(block)
+        shared = spark.sparkContext.broadcast(_Block(block))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            search = _Block(shared.value)
+            search = shared.value
             for batch in batches:
                 rows = [
                     (doc_id, *hit)
