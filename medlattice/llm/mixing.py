@@ -28,7 +28,7 @@ from medlattice.llm.common import cut_lineage, n_words, packed
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE, MOST = 1.5, 2.0
-BUCKET, FAN_IN, SEED = 20_000, 64, 7
+BUCKET, FAN_IN, SEED = 2_000, 64, 7
 
 _STATE = "doc_id long, h long, source string, size long, source_size long, target double, copies int, fraction double, bucket long"
 
