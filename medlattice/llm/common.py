@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from medlattice.session import cut_lineage, read_table
 
-__all__ = ["cut_lineage", "documents", "in_slices", "in_small_batches", "lower_words", "n_words", "packed", "read_table", "remainder", "utf8", "words"]
+__all__ = ["cut_lineage", "documents", "in_slices", "in_small_batches", "lower_words", "n_words", "packed", "read_table", "remainder", "row_key", "utf8", "words"]
 
 _BATCH_CONF, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
 BATCH = 512
@@ -41,6 +41,12 @@ def packed(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *columns)
 
 
+def row_key(doc_id: str, text_hash: Column | str) -> list[Column]:
+    """Plain equality columns that name a row by its id, null included, and the hash of its text. A join and a
+    removal of repeated rows by the same columns share one exchange."""
+    return [F.coalesce(F.col(doc_id).cast("long"), F.lit(0)).alias("key"), F.col(doc_id).isNull().alias("no_id"), (F.col(text_hash) if isinstance(text_hash, str) else text_hash).alias("h")]
+
+
 def remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``. A null id counts as the empty text (remainder 0)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % divisor

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medlattice.llm.common import cut_lineage, n_words, packed
+from medlattice.llm.common import cut_lineage, n_words, packed, row_key
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE, MOST = 1.5, 2.0
@@ -147,8 +147,8 @@ def with_copies(docs: DataFrame) -> DataFrame:
     """The documents the mix takes, with ``copies``; repeated rows come once with the sum of their copies.
     A column ``copies`` of ``docs`` is replaced."""
     taken = mixed(docs).groupBy("doc_id", "h").agg(F.sum("copies").cast("long").alias("copies")).where("copies > 0")
-    taken = taken.select(F.col("doc_id").alias("taken_id"), F.col("h").alias("taken_h"), F.col("copies").alias("taken_copies"))
-    hashed = F.xxhash64(F.coalesce("text", F.lit("")), F.coalesce("doc_id", F.lit(-1))).alias("h")
-    keyed = packed(docs, F.col("doc_id").cast("long").alias("id"), hashed).dropDuplicates(["id", "h"])
-    same = F.col("id").eqNullSafe(F.col("taken_id")) & (F.col("h") == F.col("taken_h"))
-    return keyed.join(taken, same).select(*[f"row.`{c}`" for c in docs.columns if c != "copies"], F.col("taken_copies").alias("copies"))
+    taken = taken.select(*row_key("doc_id", "h"), F.col("copies").alias("taken_copies"))
+    hashed = F.xxhash64(F.coalesce("text", F.lit("")), F.coalesce("doc_id", F.lit(-1)))
+    keyed = packed(docs, *row_key("doc_id", hashed))
+    once = keyed.join(taken, ["key", "no_id", "h"]).dropDuplicates(["key", "no_id", "h"])
+    return once.select(*[f"row.`{c}`" for c in docs.columns if c != "copies"], F.col("taken_copies").alias("copies"))

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medlattice.llm.common import cut_lineage, in_slices, in_small_batches, lower_words, packed, utf8
+from medlattice.llm.common import cut_lineage, in_slices, in_small_batches, lower_words, packed, row_key, utf8
 
 WORDS, SEED, RADIUS, GROUPS, CELL = 4, 42, 4, 8, 16_384
 _LANES, _PAIRS = 0x0101010101010101, 0x5555555555555555
@@ -252,14 +252,14 @@ def roots(edges: DataFrame) -> DataFrame:
 
 
 def components(docs: DataFrame, k: int = WORDS, radius: int = RADIUS, limit: int = CELL) -> DataFrame:
-    """``doc_id``, ``h``, ``fp`` and ``component_id`` (smallest id reachable) of every row."""
+    """``doc_id``, ``h``, ``fp``, ``root`` (a print of the component) and ``component_id`` (smallest id reachable) of every row."""
     printed = cut_lineage(with_fingerprint(docs, k), "simhash-fingerprints")
     points = cut_lineage(printed.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-points")
     rooted = cut_lineage(roots(links(points.select("fp"), radius, limit)), "simhash-roots")
     grouped = points.join(rooted, points.fp == rooted.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     grouped = cut_lineage(grouped, "simhash-grouped")
     smallest = cut_lineage(grouped.groupBy("root").agg(F.min("first_id").alias("component_id")), "simhash-smallest")
-    by_print = cut_lineage(grouped.join(smallest, "root").select("fp", "component_id"), "simhash-components")
+    by_print = cut_lineage(grouped.join(smallest, "root").select("fp", "root", "component_id"), "simhash-components")
     return printed.join(by_print, "fp")
 
 
@@ -267,9 +267,8 @@ def deduplicated(docs: DataFrame, k: int = WORDS, radius: int = RADIUS) -> DataF
     """``docs`` without the rows whose ``doc_id`` is not the smallest of its component. Repeated rows of
     the smallest id come once; where no row of a component has an id, the smallest text hash stays."""
     chosen = components(docs, k, radius)
-    stays = chosen.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("fp", "component_id")
-    stays = stays.agg(F.min(F.struct("doc_id", "h")).alias("s"))
-    stays = stays.groupBy(F.coalesce("component_id", "fp").alias("group")).agg(F.min("s").alias("s")).select(F.col("s.doc_id").alias("kept_id"), F.col("s.h").alias("kept_h"))
-    keyed = packed(docs, F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("h"))
-    same = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("h") == F.col("kept_h"))
-    return keyed.join(cut_lineage(stays, "simhash-kept"), same, "left_semi").dropDuplicates(["id", "h"]).select("row.*")
+    stays = chosen.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root")
+    stays = stays.agg(F.min(F.struct("doc_id", "h")).alias("s")).select("s.doc_id", "s.h")
+    stays = cut_lineage(stays.select(*row_key("doc_id", "h")), "simhash-kept")
+    keyed = packed(docs, *row_key("doc_id", F.xxhash64("text")))
+    return keyed.join(stays, ["key", "no_id", "h"], "left_semi").dropDuplicates(["key", "no_id", "h"]).select("row.*")
