@@ -13,8 +13,9 @@ suffixes that matter are found without sorting all of them:
 * For these, the suffixes of one core are sorted and scanned with a stack: every interval of common
   prefixes is split by common left extensions, scanned the same way. A pair (left, right) that no
   member can extend, neither to the left nor to the right, is a maximal repeat group with all its occurrences.
-* A core with more than ``CLASS`` different contexts is not gathered: each of its contexts lists its windows of
-  ``LENGTH`` bytes, which are counted by hash, again with partial counts.
+* A core with more than ``CLASS`` different contexts is not gathered. How far each of its contexts can agree with
+  another is bounded by counting hashes of prefixes of doubling length; each then lists its windows of ``LENGTH`` bytes
+  within that reach, which are counted by hash. Both counts are partial before they move.
 
 Texts are found again by (doc_id, hash of the text). Rows equal in both are copies of each other, so
 whatever is said of one holds for all. Core and context hashes together have 128 bits.
@@ -38,6 +39,8 @@ from pyspark.sql import functions as F
 from medlattice.llm.common import cut_lineage, in_small_batches
 
 LENGTH, CORE, GRAM, CLASS = 400, 200, 16, 512
+#: lengths at which the reach of a context is counted
+STEPS = (1, 2, 4, 8, 16, 32, 64, 128, CORE)
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93))
 _ID = "doc_id long, th long"
 
@@ -196,24 +199,66 @@ def _resolved(contexts: DataFrame) -> DataFrame:
     return cut_lineage(ordered.mapInArrow(run, schema), "repeat-groups")
 
 
+def _reaches(big: DataFrame) -> DataFrame:
+    """(n, left, right): bytes before and after the core of context ``n`` that no other context of its core can
+    share more of; off by less than a factor of two, since prefixes are counted at the lengths ``STEPS`` only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_64_intdigest
+        for batch in batches:
+            index, side, length, hashes = [], [], [], []
+            for i, (before, after) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("before", "after")], strict=True)):
+                backwards = before[::-1]
+                for which, text in ((0, backwards), (1, after[CORE:])):
+                    for step in STEPS:
+                        if step <= len(text):
+                            index.append(i), side.append(which), length.append(step), hashes.append(digest(text[:step], which))
+            take = pa.array(index, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("core").take(take), batch.column("n").take(take), pa.array(side, pa.int32()), pa.array(length, pa.int32()), pa.array(np.array(hashes, np.uint64).view(np.int64))],
+                names=["core", "n", "side", "length", "part"],
+            )
+
+    keys = ["core", "side", "length", "part"]
+    listed = cut_lineage(big.select("core", "n", "before", "after").mapInArrow(run, "core long, n long, side int, length int, part long"), "repeat-parts")
+    shared = listed.groupBy(*keys).agg(F.min("n").alias("a"), F.max("n").alias("b")).where("a < b").select(*keys)
+    longest = listed.join(cut_lineage(shared, "repeat-shared"), keys).groupBy("n").agg(
+        *[F.coalesce(F.max(F.when(F.col("side") == which, F.col("length"))), F.lit(0)).alias(name) for which, name in ((0, "left"), (1, "right"))]
+    )
+
+    def below_next(found: str):
+        out = F.lit(CORE)
+        for step in reversed(STEPS):
+            out = F.when(F.col(found) < step, F.lit(step - 1)).otherwise(out)
+        return out.alias(found)
+
+    return longest.select("n", below_next("left"), below_next("right"))
+
+
 def _windows(big: DataFrame) -> DataFrame:
-    """Repeated windows of crowded cores: (doc_id, th, lo, hi)."""
+    """Repeated windows of crowded cores: (doc_id, th, lo, hi). Only windows within reach of another context are listed."""
+    big = cut_lineage(big.withColumn("n", F.monotonically_increasing_id()), "repeat-crowded")
+    reach = big.join(cut_lineage(_reaches(big), "repeat-reaches"), "n")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
         for batch in batches:
             index, hashes, starts = [], [], []
-            for i, (at, before, after) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("at", "before", "after")], strict=True)):
+            columns = [batch.column(c).to_pylist() for c in ("at", "before", "after", "left", "right")]
+            for i, (at, before, after, left, right) in enumerate(zip(*columns, strict=True)):
                 text = before + after
-                for s in range(max(0, min(len(before) + 1, len(text) - LENGTH + 1))):
-                    index.append(i), hashes.append(digest(text[s : s + LENGTH])), starts.append(at - len(before) + s)
+                # a window starts ``ahead`` bytes before the anchor and ends inside the text
+                for ahead in range(max(0, LENGTH - CORE - right, LENGTH - len(after)), min(left, len(before)) + 1):
+                    s = len(before) - ahead
+                    index.append(i), hashes.append(digest(text[s : s + LENGTH])), starts.append(at - ahead)
             take = pa.array(index, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("core").take(take), pa.array(np.array(hashes, np.uint64).view(np.int64)), batch.column("doc_id").take(take), batch.column("th").take(take), pa.array(starts, pa.int64())],
                 names=["core", "window", "doc_id", "th", "lo"],
             )
 
-    listed = cut_lineage(big.select("core", "at", "before", "after", "doc_id", "th").mapInArrow(run, f"core long, window long, {_ID}, lo long"), "repeat-windows")
+    wanted = reach.select("core", "at", "before", "after", "doc_id", "th", "left", "right")
+    listed = cut_lineage(wanted.mapInArrow(run, f"core long, window long, {_ID}, lo long"), "repeat-windows")
     # one place may be listed by several anchors, so places are told apart rather than counted
     place = F.struct("doc_id", "th", "lo")
     often = listed.groupBy("core", "window").agg(F.min(place).alias("a"), F.max(place).alias("b"))
