@@ -158,25 +158,30 @@ def maximal_groups(contexts: list[tuple[bytes, bytes]]) -> Iterator[tuple[int, i
 
 def _resolved(contexts: DataFrame) -> DataFrame:
     """Scan the contexts of each core. Rows with ``big`` unset are members of maximal groups with the run (lo, hi)
-    that is repeated; rows with ``big`` set pass on the contexts of crowded cores."""
-    schema = f"core long, big boolean, {_ID}, at long, lo long, hi long, size int, before binary, after binary"
+    that their groups cover; rows with ``big`` set pass on the contexts of crowded cores."""
+    schema = f"core long, big boolean, {_ID}, at long, lo long, hi long, before binary, after binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def emit(rows: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows], schema=arrow)
+            columns = zip(*rows, strict=True) if rows else [()] * len(arrow)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
-        names = [c.split()[0] for c in schema.split(", ")]
-        kinds = {"long": pa.int64(), "boolean": pa.bool_(), "int": pa.int32(), "binary": pa.binary()}
+        kinds = {"long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}
         arrow = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in schema.split(", ")])
         key, held, crowded, out = None, [], False, []
 
         def close() -> None:
             if crowded or len(held) < 2:
                 return
+            # groups nest, so each member is passed on once, with the union of its runs: all hold the anchor
+            reach: dict[int, tuple[int, int]] = {}
             for left, right, members in maximal_groups([(h[4], h[5]) for h in held]):
                 for i in members:
-                    core, doc_id, th, at, _, _ = held[i]
-                    out.append((core, False, doc_id, th, at, at - left, at + right, len(members), None, None))
+                    a, b = reach.get(i, (0, 0))
+                    reach[i] = (left if left > a else a, right if right > b else b)
+            for i, (left, right) in reach.items():
+                core, doc_id, th, at, _, _ = held[i]
+                out.append((core, False, doc_id, th, at, at - left, at + right, None, None))
 
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("core", "doc_id", "th", "at", "before", "after")]
@@ -187,7 +192,7 @@ def _resolved(contexts: DataFrame) -> DataFrame:
                 held.append(r)
                 if len(held) > CLASS or crowded:
                     crowded = True
-                    out.extend((c, True, d, th, at, None, None, None, b, a) for c, d, th, at, b, a in held)
+                    out.extend((c, True, d, th, at, None, None, b, a) for c, d, th, at, b, a in held)
                     held = []
             if len(out) > 20_000:
                 yield emit(out)

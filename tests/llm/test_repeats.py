@@ -63,7 +63,7 @@ def test_equals_brute_force(spark, hard, crowd, monkeypatch):
         from pyspark.sql import functions as F
 
         def all_big(contexts):
-            n = [F.lit(None).cast(t).alias(c) for c, t in (("lo", "long"), ("hi", "long"), ("size", "int"))]
+            n = [F.lit(None).cast(t).alias(c) for c, t in (("lo", "long"), ("hi", "long"))]
             return contexts.select("core", F.lit(True).alias("big"), "doc_id", "th", "at", *n, "before", "after")
 
         monkeypatch.setattr(r, "_resolved", all_big)
