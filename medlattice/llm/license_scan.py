@@ -1,7 +1,7 @@
 """License scan by sentences and ordered rules.
 
-A text is cut into sentences; each is normalised (lower case, spelling, punctuation and spaces) and
-mapped to the identifier of a known license sentence. Identifier sequences are then matched against
+A text is cut into sentences, wrapped ones joined; each is normalised (lower case, spelling, punctuation
+and spaces) and mapped to the identifier of a known license sentence. Identifier sequences are then matched against
 ordered rules, longest first; what a rule has matched is replaced by its license, so later rules see
 only the rest. Sentences that speak of a license but are unknown stay visible as ``unknown``.
 
@@ -18,29 +18,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Wording of published licenses and license notes, normalised, as patterns.
-CUES = ("licen", "copyright", "permission is hereby", "redistribut", "warrant", "all rights reserved", "public domain")
+CUES = (
+    "licen", "copyright", "permission is hereby", "redistribut", "warrant", "all rights reserved", "public domain", "endorse or promote",
+    "no event shall", "cc0", "(c) 19", "(c) 20",
+)
 SENTENCES = (
     ("spdx", r"spdx license identifier .*"),
-    ("apacheGrant", r"(this (file|work|project|software|text|document) is )?licensed under the apache license,? version 2( 0)?( the license)?"),
+    ("apacheGrant", r"((this (file|work|project|software|text|document) is )?licensed|.*licenses this (file|work|project|software) to you) under the apache license,? version 2( 0)?( the license)?"),
     ("apacheUse", r"you may not use this file except in compliance with the license"),
-    ("apacheCopy", r"you may obtain a copy of the license at .*"),
+    ("apacheCopy", r"you may obtain a copy of the license at( .*)?"),
     ("apacheAsIs", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis .*"),
     ("apacheSee", r"see the license for the specific language governing permissions and limitations under the license"),
     ("mitGrant", r"((this|the) (file|work|project|software|text|document|code) is )?(released|licensed|distributed) under the (terms of the )?mit license"),
     ("mitPermission", r"permission is hereby granted free of charge to any person obtaining a copy of this software .*"),
     ("mitNotice", r"the above copyright notice and this permission notice shall be included in all copies .*"),
     ("asIs", r"the software is provided as is without warranty of any kind .*"),
-    ("noLiability", r"in no event shall the (authors|copyright) .*be liable .*"),
+    ("noLiability", r"in no event shall the (authors?|copyright|regents|contributors) .*be liable .*"),
     ("bsdGrant", r"(licensed|released|distributed) under the (3 clause |2 clause )?bsd license"),
     ("bsdPermission", r"redistribution and use in source and binary forms with or without modification are permitted provided .*"),
     ("bsdSource", r"redistributions of source code must retain the above copyright notice .*"),
     ("bsdBinary", r"redistributions in binary form must reproduce the above copyright notice .*"),
     ("bsdEndorse", r"neither the name of .* may be used to endorse or promote products .*"),
+    ("bsdAsIs", r"this software is provided by .* as is and any express or implied warranties .*"),
     ("gplGrant3", r"(this (file|work|project|software|text|document) is )?licensed under the gnu general public license version 3( or later| only)?"),
     ("gplGrant2", r"(this (file|work|project|software|text|document) is )?licensed under the gnu general public license version 2( or later| only)?"),
     ("gplFree", r"this program is free software you can redistribute it and or modify it under the terms of the gnu general public license .*"),
-    ("gplHope", r"this program is distributed in the hope that it will be useful but without any warranty .*"),
+    ("gplHope", r"this program is distributed in the hope that it will be useful but without any warranty( .*)?"),
+    ("gplImplied", r"without even the implied warranty of .*"),
+    ("gplSee", r"see the gnu (lesser |affero )?general public license for more details"),
     ("gplCopy", r"you should have received a copy of the gnu general public license .*"),
+    ("gplIfNot", r"if not see (http|https) www gnu org licenses.*"),
     ("lgplGrant", r".*licensed under the gnu lesser general public license.*"),
     ("mplGrant", r"this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("ccByNc", r"(this (file|work|project|text|document) is )?licensed under (a )?(cc by nc|creative commons attribution noncommercial)( 4 0)?( international)?( license)?"),
@@ -50,6 +57,18 @@ SENTENCES = (
     ("reserved", r"all rights reserved"),
     ("holder", r"(copyright|c) (c )?[0-9]{4}.*"),
 )
+#: sentences of one line: what follows on the next line is not part of them
+NOTES = ("spdx", "holder", "lgplGrant", "cc0")
+#: words that begin a sentence where a line before them has no stop
+STARTS = (
+    r"copyright[^\p{L}\p{N}\n]*(?:c[^\p{L}\p{N}\n]*)?[0-9]{4}", r"all\s+rights\s+reserved", r"permission\s+is\s+hereby\s+granted",
+    r"redistribution\s+and\s+use", r"redistributions\s+(?:of|in)\s", r"the\s+software\s+is\s+provided", r"(?:licensed|released)\s+under\s+the\s",
+    r"spdx-license",
+)
+#: where a sentence ends for certain: a stop, a colon before a line end, a line without letters or digits
+#: (but not before the address that completes a sentence), a line end before one of ``STARTS``
+_BLANK, _ADDRESS = r"[^\p{L}\p{N}\n]*", r"[^\p{L}\p{N}]{0,80}https?://"
+ENDS = r"(?<=[.!?;])\s+|(?<=:)[ \t\r]*\n|\n" + _BLANK + r"\n(?!" + _ADDRESS + r")|\n(?=[^\p{L}\p{N}\n]{0,80}(?i:" + "|".join(STARTS) + "))"
 #: license and the identifiers that show it, in order; a rule is tried after all above it
 RULES = (
     ("Apache-2.0", ("apacheGrant", "apacheUse", "apacheCopy", "apacheAsIs", "apacheSee")),
@@ -57,6 +76,8 @@ RULES = (
     ("BSD-3-Clause", ("bsdPermission", "bsdSource", "bsdBinary", "bsdEndorse")),
     ("MIT", ("mitPermission", "mitNotice", "asIs", "noLiability")),
     ("MIT", ("mitPermission", "mitNotice", "asIs")),
+    ("GPL", ("gplFree", "gplHope", "gplImplied", "gplSee", "gplCopy", "gplIfNot")),
+    ("GPL", ("gplFree", "gplHope", "gplImplied", "gplSee", "gplCopy")),
     ("GPL", ("gplFree", "gplHope", "gplCopy")),
     ("BSD-2-Clause", ("bsdPermission", "bsdSource", "bsdBinary")),
     ("MIT", ("mitPermission", "mitNotice")),
@@ -83,23 +104,6 @@ def normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(low, r"[^\p{L}\p{N}]+", " "))
 
 
-def sentences(text: Column) -> Column:
-    """Array of the sentences of a text that hold a cue, normalised, in order. A line end ends one."""
-    low = F.lower(text)
-    cue = F.lit(False)
-    for word in CUES:
-        cue = cue | F.contains(low, F.lit(word))
-    parts = F.split(text, r"\n|(?<=[.!?;])\s+", -1)
-
-    def speaks(sentence: Column) -> Column:
-        low, found = F.lower(sentence), F.lit(False)
-        for word in CUES:
-            found = found | F.contains(low, F.lit(word))
-        return found
-
-    return F.when(cue, F.transform(F.filter(parts, speaks), normalised)).otherwise(F.array().cast("array<string>"))
-
-
 def identifier(sentence: Column) -> Column:
     """Identifier of a normalised sentence, ``unknown`` if no pattern fits."""
     found = F.lit("unknown")
@@ -108,6 +112,35 @@ def identifier(sentence: Column) -> Column:
     return found
 
 
+def sentences(text: Column) -> Column:
+    """Array of the sentences of a text that hold a cue or are known, normalised, in order.
+
+    A piece of several lines is one sentence if it is known as one, as licenses are published wrapped;
+    otherwise, and after a note of one line, each of its lines is one.
+    """
+
+    def has(words: tuple[str, ...], part: Column) -> Column:
+        low, found = F.lower(part), F.lit(False)
+        for word in words:
+            found = found | F.contains(low, F.lit(word))
+        return found
+
+    def lines(piece: Column) -> Column:
+        return F.transform(F.filter(F.split(piece, "\n", -1), lambda line: has(CUES, line)), normalised)
+
+    def whole(piece: Column) -> Column:
+        """The piece as one sentence if it has several lines and is known, else its lines."""
+        held = F.struct(normalised(piece).alias("all"), lines(piece).alias("lines"), normalised(F.regexp_extract(piece, r"^\s*([^\n]*)", 1)).alias("first"))
+        wrapped = lambda x: (identifier(x["all"]) != "unknown") & ~identifier(x["first"]).isin(*NOTES)
+        return F.transform(F.array(held), lambda x: F.when(wrapped(x), F.array(x["all"])).otherwise(x["lines"]))[0]
+
+    # cues may be wrapped, so their last words tell which texts to look at
+    some = has(tuple(dict.fromkeys(word.split()[-1] if not word.startswith("(c)") else word for word in CUES)), text)
+    pieces = F.filter(F.split(text, ENDS, -1), lambda piece: F.contains(piece, F.lit("\n")) | has(CUES, piece))
+    found = F.flatten(F.transform(pieces, lambda piece: F.when(F.contains(piece, F.lit("\n")), whole(piece)).otherwise(F.array(normalised(piece)))))
+    return F.when(some, found).otherwise(F.array().cast("array<string>"))
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """Per row: ``doc_id``, ``sentence_ids``, ``licenses`` (rule names in text order) and ``n_unknown``."""
     ids = docs.select("doc_id", F.transform(sentences(F.coalesce("text", F.lit(""))), identifier).alias("ids"))
