@@ -3,8 +3,13 @@
 The standard library's streaming parser turns a page into lines, one per block, each with the number
 of tags met and the elements it lies in. Lines in menus, forms and the like count as tags without
 text. The ratios of text to tags are smoothed with a Gaussian and split by their standard deviation;
-the lines above it vote, with their lengths, for the innermost element that holds most of them. That
-element, or the article around it, is the content region, and all of its lines are the text.
+the lines above it vote, with their lengths, for the innermost element that holds most of them. The
+article around it, or without one the innermost element that holds all lines above the deviation
+and all prose, is the content region, and all of its lines are the text.
+
+A part is dropped for what it is (a menu, a form, hidden) or for its name. A name is a whole class or id
+(``sidebar``, ``site-footer``), not one word of it (``has-sidebar``, ``related-work``). A part that holds
+most of the page's text in several lines is never dropped for its name.
 
 One narrow pass over the pages, a page at a time: memory is bounded by the longest page of a batch.
 
@@ -28,6 +33,8 @@ from medlattice.llm.common import in_small_batches
 
 #: smoothing (in lines) and the share of the selected text that a region must hold
 SIGMA, RADIUS, HOLDS = 1.0, 2, 0.8
+#: characters a tag that make a line prose, whatever stands on the rest of the page
+PROSE = 60
 
 # Elements of the HTML standard by their role here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -46,50 +53,77 @@ NAMES = frozenset(
     "notices alert popup modal newsletter subscribe signup login sidebar widget menu nav navbar navigation breadcrumb breadcrumbs "
     "header footer masthead comment comments commentlist disqus reply replies share sharing social related search".split()
 )
+#: words that leave a name what it is; with any other word (has-sidebar, entry-header, social-impact) it is none
+NEUTRAL = frozenset(
+    "site page global main primary secondary top bottom left right sticky fixed box block bar container wrapper wrap inner outer area "
+    "section list item items link links button buttons icon icons form posts post media id js".split()
+)
+HEADERS = frozenset(("header", "masthead"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 _WORD = re.compile(r"[a-z]+")
 
 
 class _Lines(HTMLParser):
-    """Collects ``lines``: (text, tags, chain of open regions). A dropped line has no text."""
+    """Collects ``lines``: (text, tags, chain of open regions, open parts with a name to drop). A line that
+    is dropped for what it is has no text."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple[tuple[int, str], ...]]] = []
+        self.lines: list[tuple[str, int, tuple[tuple[int, str], ...], tuple[int, ...]]] = []
         self._parts: list[str] = []
         self._tags = 0
-        self._open: list[tuple[str, bool]] = []  # block elements, and whether each starts a dropped part
+        # block elements, and whether each starts a dropped part or a part with a name
+        self._open: list[tuple[str, bool, bool]] = []
         self._chain: tuple[tuple[int, str], ...] = ()
         self._dropped = 0
+        self._named: tuple[int, ...] = ()
         self._next = 0
 
     def end_line(self) -> None:
         text = " ".join("".join(self._parts).split())
         self._parts.clear()
         if text or self._tags:
-            if text or (self.lines and self.lines[-1][0]):
-                self.lines.append((text, self._tags, self._chain))
-            elif self.lines:
-                last = self.lines[-1]
-                self.lines[-1] = (last[0], last[1] + self._tags, last[2])
+            self.lines.append((text, self._tags, self._chain, self._named))
             self._tags = 0
 
+    def _in_article(self) -> bool:
+        return any(kind in ARTICLES for _, kind in self._chain)
+
     def _drops(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-        if tag in DROPPED or (tag == "header" and not any(kind in ARTICLES for _, kind in self._chain)):
+        if tag in DROPPED or (tag == "header" and not self._in_article()):
             return True
         if not attrs or tag in ("html", "body") or tag in ARTICLES:
             return False
         for name, value in attrs:
             if name == "hidden" or (name == "aria-hidden" and value == "true"):
                 return True
-            if name in ("class", "id") and value and not NAMES.isdisjoint(_WORD.findall(value.lower())):
-                return True
             if name == "role" and value in ROLES:
                 return True
             if name == "style" and value and _HIDDEN.search(value):
                 return True
         return False
 
+    def _has_name(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+        if not attrs or tag in ("html", "body") or tag in ARTICLES:
+            return False
+        names = NAMES - HEADERS if self._in_article() else NAMES
+        for name, value in attrs:
+            # ids of sections and headings are made from their titles
+            if value and (name == "class" or name == "id" and tag != "section" and tag not in HEADINGS):
+                for token in value.lower().split():
+                    words = _WORD.findall(token)
+                    if not names.isdisjoint(words) and all(word in names or word in NEUTRAL for word in words):
+                        return True
+        return False
+
+    def _pop(self) -> str:
+        name, dropped, named = self._open.pop()
+        self._dropped -= dropped
+        if named:
+            self._named = self._named[:-1]
+        return name
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self._tags += 1
         if tag in INLINE:
@@ -99,15 +133,17 @@ class _Lines(HTMLParser):
             return
         self.end_line()
         while self._open and (self._open[-1][0] == "p" or self._open[-1][0] == tag and tag in UNCLOSED):
-            self._dropped -= self._open.pop()[1]
-        drops = self._drops(tag, attrs)
+            self._pop()
+        drops, named = self._drops(tag, attrs), self._has_name(tag, attrs)
         # elements that may stay unclosed are kept only while they drop their content
-        if tag in UNCLOSED and not drops:
+        if tag in UNCLOSED and not drops and not named:
             return
-        self._open.append((tag, drops))
+        self._open.append((tag, drops, named))
         self._dropped += drops
+        self._next += 1
+        if named:
+            self._named += (self._next,)
         if tag in REGIONS:
-            self._next += 1
             self._chain += ((self._next, tag),)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -120,11 +156,10 @@ class _Lines(HTMLParser):
         if tag in INLINE or tag in VOID:
             return
         self.end_line()
-        if not any(name == tag for name, _ in self._open):
+        if not any(name == tag for name, _, _ in self._open):
             return
         while self._open:
-            name, dropped = self._open.pop()
-            self._dropped -= dropped
+            name = self._pop()
             if name in REGIONS:
                 self._chain = self._chain[:-1]
             if name == tag:
@@ -140,17 +175,48 @@ def _smoothed(ratio: np.ndarray) -> np.ndarray:
     return np.convolve(np.pad(ratio, RADIUS, mode="edge"), weight / weight.sum(), mode="valid")
 
 
+def _kept_lines(raw: list[tuple[str, int, tuple[tuple[int, str], ...], tuple[int, ...]]]) -> list[tuple[str, int, tuple[tuple[int, str], ...]]]:
+    """Lines without the text of parts dropped for their names; textless lines in a row are one."""
+    held: Counter[int] = Counter()
+    parts: Counter[int] = Counter()
+    for text, _, _, named in raw:
+        if text:
+            for part in named:
+                held[part] += len(text)
+                parts[part] += 1
+    total = sum(len(text) for text, _, _, _ in raw)
+    most = {part for part, n in held.items() if n >= HOLDS * total and parts[part] > 1}
+    lines: list[tuple[str, int, tuple[tuple[int, str], ...]]] = []
+    for text, tags, chain, named in raw:
+        if not most.issuperset(named):
+            text = ""
+        if text or (lines and lines[-1][0]):
+            lines.append((text, tags, chain))
+        elif lines:
+            last = lines[-1]
+            lines[-1] = (last[0], last[1] + tags, last[2])
+    return lines
+
+
+def _region_of_all(chains: list[tuple[tuple[int, str], ...]]) -> tuple[int, str] | None:
+    """The innermost region that all chains share."""
+    shared = set(chains[0]).intersection(*chains[1:])
+    return max(shared, default=None)
+
+
 def main_text(html: str | None) -> str:
     """The blocks of the content region of one page, joined by empty lines."""
     parser = _Lines()
     parser.feed(html or "")
     parser.close()
     parser.end_line()
-    lines = parser.lines
+    lines = _kept_lines(parser.lines)
     if not any(text for text, _, _ in lines):
         return ""
-    ratio = _smoothed(np.array([len(text) / max(1, tags) for text, tags, _ in lines]))
+    plain = np.array([len(text) / max(1, tags) for text, tags, _ in lines])
+    ratio = _smoothed(plain)
     chosen = ratio > ratio.std()
+    dense = chosen | (plain > min(ratio.std(), PROSE))
     votes: Counter[tuple[int, str]] = Counter()
     total = 0
     for (text, _, chain), take in zip(lines, chosen, strict=True):
@@ -165,7 +231,8 @@ def main_text(html: str | None) -> str:
     region = max(holding, default=None)
     if region:
         chain = next(chain for _, _, chain in lines if region in chain)
-        region = next((r for r in chain[: chain.index(region) + 1] if r[1] in ARTICLES), region)
+        article = next((r for r in chain[: chain.index(region) + 1] if r[1] in ARTICLES), None)
+        region = article or _region_of_all([chain for (text, _, chain), take in zip(lines, dense, strict=True) if take and text] or [chain])
     return "\n\n".join(text for text, _, chain in lines if text and (region is None or region in chain))
 
 
