@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medlattice.llm import contamination, context_tree, conversation_trie, html_extract, license_scan, mixing, quality_classifier, quality_rules, repeats, secret_scan, simhash
+from medlattice.llm import ball_codes, contamination, context_tree, conversation_trie, html_extract, license_scan, mixing, overlap_join, quality_classifier, quality_rules, repeats, secret_scan, simhash
 from medlattice.llm.common import documents, read_table, remainder
 
 
@@ -62,6 +62,14 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extracted(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op11_overlap_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap_join.components(documents(spark, sf_dir, "doc_id", "text"))
+
+
+def op12_ball_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_codes.codes(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.trie(read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
 
@@ -69,6 +77,7 @@ def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_license_scan, op2_contamination, op3_repeats, op4_context_tree, op5_secret_scan, op6_simhash, op7_quality_rules,
-        op8_quality_classifier, op9_mixing, op10_html_extract, op13_conversation_trie,
+        op8_quality_classifier, op9_mixing, op10_html_extract, op11_overlap_join,
+        op12_ball_codes, op13_conversation_trie,
     )
     return {f.__name__: f for f in found}
