@@ -9,8 +9,8 @@ more. Texts with equal sets are one *node*. A set of n shingles shares at least
   length of their lists. A partner is met in one of the ``n - T + 1`` shortest lists, unshared ones counted; of a pair, the
   smaller set meets the other within an even shorter prefix, because it shares more than 8/9 of itself.
 * A list is no source of all its pairs. Its most central node, whose shingles are in the longest lists, is the query
-  against the others (round 1), then its next two against what is left in other components, then four, until each pair
-  of a list was searched or is connected. Lists that hold one component are closed.
+  against the others, then its next ``MORE`` - 1 against what is left in other components, then ``MORE`` times as many, until
+  each pair of a list was searched or is connected. Lists that hold one component are closed.
 * T-occurrence search of one query against the nodes it meets, in blocks: the query's lists are divided (DivideSkip) into
   long ones and short ones; the short ones are merged with a heap, nodes that occur often enough are looked up in
   the long ones by binary search, and those that reach the overlap link. Counts are exact, so the search decides.
@@ -33,8 +33,9 @@ from math import log2
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medlattice.llm.common import cut_lineage, in_slices, in_small_batches, row_key, utf8
 from medlattice.llm.simhash import roots
@@ -45,6 +46,8 @@ WORDS, PERCENT = 5, 80
 EXTRA = 8
 #: lists longer than this count as equally long; nodes of one search block; lenders broadcast at most
 LONG, BLOCK, BROADCAST_ROWS = 4096, 2048, 200_000
+#: growth of the queries of a list from round to round; edges of forests merged in one step at most
+MORE, FEW_EDGES = 8, 1 << 20
 #: weight of a binary search against a step of the merge, when lists are divided
 MU = 0.01
 _SLICE = 1 << 20
@@ -323,56 +326,115 @@ def _searched(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return cut_lineage(grouped.mapInArrow(run, "a long, b long"), "overlap-edges")
 
 
-# ---- rounds ------------------------------------------------------------------------------------
+# ---- components --------------------------------------------------------------------------------
 
 
-def _queries(lists: DataFrame, hubs: int, percent: int) -> DataFrame:
-    """(hub, node) of the first ``hubs`` nodes of each list (token, score, node, n, inner, root) against all behind them
-    that are in other components and whose sizes allow a link."""
+def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, smallest node of its component) of every node of some edges that is not the smallest itself."""
+    names, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    root = np.arange(len(names))
+    one, other = ends[: len(a)], ends[len(a) :]
+    while True:
+        # hook the larger root below the smaller one, then shorten the paths
+        x, y = root[one], root[other]
+        open_ = x != y
+        if not open_.any():
+            break
+        one, other, x, y = one[open_], other[open_], x[open_], y[open_]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root[root] != root).any():
+            root = root[root]
+    child = root != np.arange(len(names))
+    return names[child], names[root[child]]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token, heads = None, []
-        seen: set[tuple[int, int]] = set()
-        for batch in batches:
-            a, b = [], []
-            for t, node, n, inner, root in zip(*[batch.column(c).to_pylist() for c in ("token", "node", "n", "inner", "root")], strict=True):
-                if t != token:
-                    token, heads = t, []
-                for hub, hub_n, hub_inner, hub_root in heads:
-                    small, large, met = (n, hub_n, inner) if n <= hub_n else (hub_n, n, hub_inner)
-                    if root != hub_root and met and 100 * small >= percent * large and (hub, node) not in seen:
-                        seen.add((hub, node)), a.append(hub), b.append(node)
-                if len(heads) < hubs:
-                    heads.append((node, n, inner, root))
-            if len(seen) > 1 << 18:
-                seen.clear()
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["hub", "node"])
 
-    ordered = lists.repartition("token").sortWithinPartitions("token", F.desc("score"), "node")
-    return ordered.select("token", "node", "n", "inner", "root").mapInArrow(run, "hub long, node long").distinct()
+def _merged_forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    held = 0
+    for batch in batches:
+        a, b = np.concatenate([a, batch.column(0).to_numpy()]), np.concatenate([b, batch.column(1).to_numpy()])
+        if len(a) > 2 * held + (1 << 16):
+            a, b = _forest(a, b)
+            held = len(a)
+    if len(a):
+        a, b = _forest(a, b)
+    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["node", "root"])
 
 
-def _rest(lists: DataFrame, hubs: int) -> DataFrame:
-    """``lists`` without the first ``hubs`` nodes of each."""
+def component_roots(edges: DataFrame) -> DataFrame:
+    """(node, root) of every node of ``edges`` (a, b): the smallest node of its component, written.
+
+    Each partition reduces its edges to a forest first. At most ``FEW_EDGES`` that are left, which is counted, are
+    merged in one step; more go through the rounds of star contraction.
+    """
+    forest = cut_lineage(edges.mapInArrow(_merged_forests, "node long, root long"), "overlap-forest")
+    if forest.limit(FEW_EDGES + 1).count() <= FEW_EDGES:
+        return cut_lineage(forest.coalesce(1).mapInArrow(_merged_forests, "node long, root long"), "overlap-roots")
+    return cut_lineage(roots(forest.select(F.col("node").alias("a"), F.col("root").alias("b"))), "overlap-roots")
+
+
+# ---- rounds ------------------------------------------------------------------------------------
+
+
+def ranked(lists: DataFrame) -> DataFrame:
+    """``lists`` with the ``place`` of each node in its list, the most central first, written."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, count = None, 0
         for batch in batches:
-            keep = []
-            for t in batch.column("token").to_pylist():
-                last, count = (t, count + 1) if t == last else (t, 1)
-                keep.append(count > hubs)
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            if not batch.num_rows:
+                continue
+            token = batch.column("token").to_numpy()
+            starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
+            sizes = np.diff(np.append(starts, len(token)))
+            place = np.arange(len(token)) - np.repeat(starts, sizes)
+            if token[0] == last:
+                place[: sizes[0]] += count
+            last, count = token[-1], int(place[-1]) + 1
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(place)], names=[*batch.schema.names, "place"])
+
+    ordered = lists.repartition("token").sortWithinPartitions("token", F.desc("score"), "node")
+    return cut_lineage(ordered.mapInArrow(run, T.StructType([*ordered.schema.fields, T.StructField("place", T.LongType())])), "overlap-ranked")
 
-    ordered = lists.drop("root").repartition("token").sortWithinPartitions("token", F.desc("score"), "node")
-    return ordered.mapInArrow(run, ordered.schema)
 
+def _queries(lists: DataFrame, least: int, hubs: int, percent: int) -> DataFrame:
+    """(hub, node) of the nodes at places ``least`` to ``hubs`` - 1 of each list against all behind them that are in other
+    components and whose sizes allow a link."""
 
-def _open(lists: DataFrame, rooted: DataFrame | None) -> DataFrame:
-    """The lists that hold more than one component, with the component of each node."""
-    if rooted is None:
-        return lists.withColumn("root", F.col("node"))
-    placed = lists.join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token, heads = None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            tokens, node, n, place, root = (batch.column(c).to_numpy() for c in ("token", "node", "n", "place", "root"))
+            inner = batch.column("inner").to_numpy(zero_copy_only=False)
+            starts = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
+            a, b = [], []
+            for s, e in zip(starts.tolist(), np.append(starts[1:], len(tokens)).tolist(), strict=True):
+                if tokens[s] != token:
+                    token, heads = tokens[s], []
+                old = len(heads)
+                heads += [(node[i], n[i], inner[i], root[i], place[i]) for i in range(s, min(e, s + hubs)) if place[i] < hubs]
+                rows = slice(s, e)
+                for k, (hub, hub_n, hub_inner, hub_root, hub_place) in enumerate(heads):
+                    if k >= old and e - s == 1:
+                        continue
+                    small, large = np.minimum(n[rows], hub_n), np.maximum(n[rows], hub_n)
+                    met = np.where(n[rows] <= hub_n, inner[rows], hub_inner)
+                    good = np.flatnonzero((root[rows] != hub_root) & met & (100 * small >= percent * large) & (place[rows] > hub_place))
+                    if len(good):
+                        a.append(np.full(len(good), hub)), b.append(node[rows][good])
+            a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+            pairs = np.unique(np.stack([a, b], axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["hub", "node"])
+
+    ordered = lists.where(F.col("place") >= least).repartition("token").sortWithinPartitions("token", "place")
+    return ordered.select("token", "node", "n", "inner", "place", "root").mapInArrow(run, "hub long, node long").distinct()
+
+
+def _open(lists: DataFrame, rooted: DataFrame, least: int) -> DataFrame:
+    """The lists that hold more than one component from place ``least`` on, with the component of each node."""
+    placed = lists.where(F.col("place") >= least).drop("root").join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
     placed = cut_lineage(placed, "overlap-placed")
     mixed = placed.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("token")
     mixed, _ = broadcast_if_small(mixed, "overlap-mixed", BROADCAST_ROWS)
@@ -380,29 +442,34 @@ def _open(lists: DataFrame, rooted: DataFrame | None) -> DataFrame:
 
 
 def connected(lists: DataFrame, nodes: DataFrame, percent: int, split: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Edges (a, b) that connect all linked nodes which meet in a list of ``lists`` (token, score, node, n, inner).
+    """(node, root) of all linked nodes which meet in a list of ``lists`` (token, score, node, n, inner).
 
-    ``nodes`` (node, n, tokens) holds the shingles to compare. ``split`` may deal the lists anew that one round of
-    queries has left open.
+    ``nodes`` (node, n, tokens) holds the shingles to compare. ``split`` may deal the lists anew that the first query of
+    each has left open.
     """
-    edges = lists.sparkSession.createDataFrame([], "a long, b long")
-    rooted, hubs = None, 1
+    lists = ranked(lists).withColumn("root", F.col("node"))
+    edges, rooted = None, None
+    least, hubs = 0, 1
     while True:
-        lists = _open(lists, rooted)
-        pairs = cut_lineage(_queries(lists, hubs, percent), "overlap-pairs")
-        if pairs.limit(1).count():
-            edges = edges.unionByName(_searched(pairs, nodes, percent))
-            rooted = cut_lineage(roots(edges), "overlap-roots")
-        elif not lists.limit(1).count():
-            return edges
-        lists = cut_lineage(_rest(lists, hubs), "overlap-rest")
-        if split and hubs == 1:
-            lists = split(_open(lists, rooted).drop("root"))
-        hubs *= 2
+        pairs = cut_lineage(_queries(lists, least, hubs, percent), "overlap-pairs")
+        found = _searched(pairs, nodes, percent) if pairs.limit(1).count() else None
+        if found is not None:
+            edges = found if edges is None else edges.unionByName(found)
+            rooted = component_roots(edges)
+        if rooted is None:
+            rooted = component_roots(pairs.select(F.col("hub").alias("a"), F.col("node").alias("b")))
+        lists = _open(lists, rooted, hubs)
+        if not lists.limit(1).count():
+            return rooted
+        if split:
+            lists, split = ranked(split(lists.drop("root", "place"))), None
+            lists, least, hubs = _open(lists, rooted, 0), 0, MORE
+            continue
+        least, hubs = hubs, hubs * MORE
 
 
 def links(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(``doc_id``, ``h``, ``node``, ``n`` of every row, edges (a, b) that connect all linked nodes)."""
+    """(``doc_id``, ``h``, ``node``, ``n`` of every row, (node, root) of all linked nodes)."""
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
     found = cut_lineage(_sets(named, k, percent, False), "overlap-sets")
     rows = found.drop("tokens")
@@ -433,8 +500,7 @@ def links(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tuple[Data
 
 def components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` (the smallest id reachable by links) of every row."""
-    rows, edges = links(docs, k, percent)
-    rooted = roots(edges)
+    rows, rooted = links(docs, k, percent)
     nodes = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_id")).join(rooted, "node", "left")
     nodes = cut_lineage(nodes.select("node", "first_id", F.coalesce("root", "node").alias("root")), "overlap-nodes")
     smallest = nodes.groupBy("root").agg(F.min("first_id").alias("component_id"))
