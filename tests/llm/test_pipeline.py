@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from llm_fixtures import awkward, nothing  # noqa: F401
 from medlattice.llm import contamination, mixing, secret_scan
+from test_near_copies import survivors
 from test_secret_scan import brute as secret_brute
-from test_simhash import slow_components, slow_fingerprint
 
 import corpus_pipeline as p
 
@@ -42,12 +42,10 @@ def test_quality_keeps_the_labelled_good_and_drops_the_bad(spark, stages):
 
 
 def test_one_of_each_group_stays(stages):
-    rows = {r["doc_id"]: slow_fingerprint(r["text"], 5) for r in stages[1].collect()}
-    root = slow_components(sorted(set(rows.values())), 4)
-    first: dict[int, int] = {}
-    for i, f in rows.items():
-        first[root[f]] = min(i, first.get(root[f], i))
-    assert {r["doc_id"] for r in stages[2].collect()} == set(first.values())
+    """Groups are those of all pairs with an exact similarity of 0.8 or more of their five-word shingles."""
+    before = [(r["doc_id"], r["text"]) for r in stages[1].collect()]
+    want = survivors(before)
+    assert {r["doc_id"] for r in stages[2].collect()} == want and len(want) < len(before)
 
 
 def test_no_item_is_left(spark, stages):
