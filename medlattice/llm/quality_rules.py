@@ -4,8 +4,9 @@ Every rule is evaluated once per document. The ledger row keeps the measurements
 failed rule. A policy is a versioned set of rules: whether a document passes is one bitwise AND, so
 policies can be changed, compared and ablated without reading a text again.
 
-Main path: column expressions only, no shuffle. Ablation: counts per bit pattern (combined before
-they move), then bitwise tests on the patterns.
+Main path: column expressions only, no shuffle. The ledger is a written table: a filter on its bits would otherwise be
+pushed below the measurements and have them taken again, text by text. Ablation: counts per bit pattern (combined
+before they move), then bitwise tests on the patterns.
 
 Defined cases: a null or empty text has no words and fails ``few_words``; a null ``doc_id`` is kept;
 repeated rows give repeated ledger rows; an empty table gives an empty ledger; other columns are
@@ -19,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medlattice.llm.common import words
+from medlattice.llm.common import cut_lineage, words
 
 SYMBOLS = r"[^#*$%&|<>]+"
 
@@ -116,11 +117,11 @@ def _measured(docs: DataFrame) -> DataFrame:
 
 
 def ledger(docs: DataFrame) -> DataFrame:
-    """``doc_id``, the measurements and ``fail_bits`` (long) of every row of ``docs``."""
+    """``doc_id``, the measurements and ``fail_bits`` (long) of every row of ``docs``, written and read back."""
     bits = F.lit(0).cast("long")
     for rule in RULES:
         bits = bits.bitwiseOR(F.when(F.expr(rule.sql), F.lit(BIT[rule.name]).cast("long")).otherwise(F.lit(0).cast("long")))
-    return _measured(docs).select("doc_id", *MEASURES, bits.alias("fail_bits"))
+    return cut_lineage(_measured(docs).select("doc_id", *MEASURES, bits.alias("fail_bits")), "rule-ledger")
 
 
 def passes(policy: str, bits: Column | str = "fail_bits") -> Column:
