@@ -148,15 +148,25 @@ def measured(docs: DataFrame) -> DataFrame:
     return cut_lineage(in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema), "quality-statistics")
 
 
+def _share_of_hashes(share: float) -> int:
+    """The signed 64-bit value that about this share of all hashes lie at or below."""
+    return min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63))
+
+
 def train(stats: DataFrame, labels: DataFrame, held_out_divisor: int = 5, max_rows: int = MAX_ROWS) -> Trees:
     """Fit on labelled rows outside the held-out remainder; at most ``max_rows`` of them reach the driver."""
     known = (
         labels.where(F.col("quality").isNotNull() & (remainder(F.col("doc_id"), held_out_divisor) != 0))
         .groupBy("doc_id").agg(F.avg("quality").alias("label"))
     )
-    sample = (
-        stats.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", *STATISTICS).limit(max_rows).toPandas()
-    )
+    rows = cut_lineage(stats.join(known, "doc_id").withColumn("order", F.xxhash64("doc_id")), "quality-known")
+    n, share = rows.count(), 1.0
+    if n > max_rows:
+        # only about as many rows as wanted are sorted and sent: those of the smallest hashes
+        share = min(1.0, 1.1 * max_rows / n)
+        while rows.where(F.col("order") <= _share_of_hashes(share)).count() < max_rows:
+            share = min(1.0, 2 * share)
+    sample = rows.where(F.col("order") <= _share_of_hashes(share)).orderBy("order", "doc_id", *STATISTICS).limit(max_rows).toPandas()
     return boost(sample[list(STATISTICS)].to_numpy(np.float64), (sample["label"].to_numpy(np.float64) >= 0.5).astype(float))
 
 
