@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 from math import log, log10, pi
 
 import numpy as np
@@ -34,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medlattice.llm.common import cut_lineage, in_slices, in_small_batches, lower_words, remainder, utf8
+from medlattice.llm.common import cut_lineage, in_slices, in_small_batches, lower_words, remainder, row_key, utf8
 
 DEPTH, BLOCK, FREQUENT, END = 4, 1_000_000, 500_000, 0xFF
 #: bytes of text whose positions are held at once
@@ -305,7 +306,7 @@ def _frequent(counts: DataFrame) -> DataFrame:
 
 # ---- scores ------------------------------------------------------------------------------------
 
-_SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long, rare array<long>"
+_SCORED = "row long, doc_id long, h long, held_out boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long, rare array<long>"
 
 
 def scores(docs: DataFrame, held_out_divisor: int = 10, depth: int = DEPTH) -> DataFrame:
@@ -313,7 +314,7 @@ def scores(docs: DataFrame, held_out_divisor: int = 10, depth: int = DEPTH) -> D
     probability of the text) and ``bits_per_byte``."""
     spark = docs.sparkSession
     split = in_small_batches(docs).select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text", (remainder(F.col("doc_id"), held_out_divisor) == 0).alias("held_out")
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text", (remainder(F.col("doc_id"), held_out_divisor) == 0).alias("held_out")
     )
     training = split.where("NOT held_out")
     tokens = token_counts(training)
@@ -349,19 +350,22 @@ def scores(docs: DataFrame, held_out_divisor: int = 10, depth: int = DEPTH) -> D
                     n_tokens, n_known, base, rare = columns
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(np.arange(row, row + len(score))), part.column("doc_id"), part.column("held_out"), pa.array(n_tokens, pa.int64()),
+                            pa.array(np.arange(row, row + len(score))), part.column("doc_id"), part.column("h"), part.column("held_out"), pa.array(n_tokens, pa.int64()),
                             pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(score), pa.array(np.diff(ends)), pa.array(rare, pa.list_(pa.int64())),
                         ],
-                        names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "n_bytes", "rare"],
+                        names=["row", "doc_id", "h", "held_out", "n_tokens", "n_known", "base_score", "score", "n_bytes", "rare"],
                     )
                     row += len(score)
 
         stored.append(cut_lineage(split.mapInArrow(run, _SCORED), "context-scores"))
         model.destroy()
+    # the row numbers of the first pass are stored; the others are found by id and text, and rows equal in both score alike
     main = stored[0]
-    for more in stored[1:]:
-        # the same scan in the same order numbers the rows alike
-        main = main.join(more.select("row", F.col("score").alias("more")), "row").withColumn("score", F.col("score") + F.col("more")).drop("more")
+    if len(stored) > 1:
+        later = [x.select(*row_key("doc_id", "h"), F.lit(i).alias("block"), "score") for i, x in enumerate(stored[1:])]
+        once = reduce(DataFrame.unionByName, later).groupBy("key", "no_id", "h", "block").agg(F.first("score").alias("score"))
+        more = once.groupBy("key", "no_id", "h").agg(F.sum("score").alias("more"))
+        main = main.select(*main.columns, *row_key("doc_id", "h")[:2]).join(more, ["key", "no_id", "h"]).withColumn("score", F.col("score") + F.col("more")).drop("more", "key", "no_id")
     rare = main.select("row", F.explode("rare").alias("token")).join(tokens, "token", "left")
     rare = rare.groupBy("row").agg(
         F.count("c").alias("rare_known"), F.sum(F.log10((F.coalesce("c", F.lit(0)) + 0.1) / F.lit(scale))).alias("rare_score")
