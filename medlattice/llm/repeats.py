@@ -13,7 +13,7 @@ suffixes that matter are found without sorting all of them:
 * For these, the suffixes of one core are sorted and scanned with a stack: every interval of common
   prefixes is split by common left extensions, scanned the same way. A pair (left, right) that no
   member can extend, neither to the left nor to the right, is a maximal repeat group with all its occurrences.
-* A core with more than ``CLASS`` different contexts is not gathered. How far each of its contexts can agree with
+* A core with more than ``CLASS`` different contexts is not scanned, nor gathered. How far each of its contexts can agree with
   another is bounded by counting hashes of prefixes of doubling length; each then lists its windows of ``LENGTH`` bytes
   within that reach, which are counted by hash. Both counts are partial before they move.
 
@@ -156,52 +156,59 @@ def maximal_groups(contexts: list[tuple[bytes, bytes]]) -> Iterator[tuple[int, i
                 yield left, right, [order[i] for i in members]
 
 
-def _resolved(contexts: DataFrame) -> DataFrame:
-    """Scan the contexts of each core. Rows with ``big`` unset are members of maximal groups with the run (lo, hi)
-    that their groups cover; rows with ``big`` set pass on the contexts of crowded cores."""
-    schema = f"core long, big boolean, {_ID}, at long, lo long, hi long, before binary, after binary"
+_RUNS = f"core long, {_ID}, lo long, hi long"
+_GROUPS = "core long, context long, grp long, left long, right long"
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    names = [c.split()[0] for c in schema.split(", ")]
+    columns = zip(*rows, strict=True) if rows else [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def emit(rows: list[tuple]) -> pa.RecordBatch:
-            columns = zip(*rows, strict=True) if rows else [()] * len(arrow)
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
-        kinds = {"long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}
-        arrow = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in schema.split(", ")])
-        key, held, crowded, out = None, [], False, []
+def _resolved(contexts: DataFrame, groups: bool = False) -> DataFrame:
+    """The scan of the contexts of each core, at most ``CLASS`` of them. Rows are the members of maximal groups with the
+    run (lo, hi) that all their groups cover, or with ``groups`` every maximal group with each of its contexts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = _GROUPS if groups else _RUNS
+        key, held, out = None, [], []
 
         def close() -> None:
-            if crowded or len(held) < 2:
+            if len(held) < 2:
+                return
+            found = maximal_groups([(h[5], h[6]) for h in held])
+            if groups:
+                for left, right, members in found:
+                    names = sorted(held[i][1] for i in members)
+                    name = int.from_bytes(xxhash.xxh3_64_digest(np.array([key, left, right, *names], np.int64).tobytes()), "little", signed=True)
+                    out.extend((key, context, name, left, right) for context in names)
                 return
             # groups nest, so each member is passed on once, with the union of its runs: all hold the anchor
             reach: dict[int, tuple[int, int]] = {}
-            for left, right, members in maximal_groups([(h[4], h[5]) for h in held]):
+            for left, right, members in found:
                 for i in members:
                     a, b = reach.get(i, (0, 0))
                     reach[i] = (left if left > a else a, right if right > b else b)
             for i, (left, right) in reach.items():
-                core, doc_id, th, at, _, _ = held[i]
-                out.append((core, False, doc_id, th, at, at - left, at + right, None, None))
+                core, _, doc_id, th, at, _, _ = held[i]
+                out.append((core, doc_id, th, at - left, at + right))
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("core", "doc_id", "th", "at", "before", "after")]
+            columns = [batch.column(c).to_pylist() for c in ("core", "context", "doc_id", "th", "at", "before", "after")]
             for r in zip(*columns, strict=True):
                 if r[0] != key:
                     close()
-                    key, held, crowded = r[0], [], False
+                    key, held = r[0], []
                 held.append(r)
-                if len(held) > CLASS or crowded:
-                    crowded = True
-                    out.extend((c, True, d, th, at, None, None, b, a) for c, d, th, at, b, a in held)
-                    held = []
             if len(out) > 20_000:
-                yield emit(out)
+                yield _batch(out, schema)
                 out.clear()
         close()
-        yield emit(out)
+        yield _batch(out, schema)
 
     ordered = contexts.repartition("core").sortWithinPartitions("core")
-    return cut_lineage(ordered.mapInArrow(run, schema), "repeat-groups")
+    return cut_lineage(ordered.mapInArrow(run, _GROUPS if groups else _RUNS), "repeat-groups")
 
 
 def _reaches(big: DataFrame) -> DataFrame:
@@ -241,7 +248,8 @@ def _reaches(big: DataFrame) -> DataFrame:
 
 
 def _windows(big: DataFrame) -> DataFrame:
-    """Repeated windows of crowded cores: (doc_id, th, lo, hi). Only windows within reach of another context are listed."""
+    """Repeated windows of crowded cores: (core, window, doc_id, th, lo, hi). Only windows within reach of another context are
+    listed."""
     big = cut_lineage(big.withColumn("n", F.monotonically_increasing_id()), "repeat-crowded")
     reach = big.join(cut_lineage(_reaches(big), "repeat-reaches"), "n")
 
@@ -268,20 +276,27 @@ def _windows(big: DataFrame) -> DataFrame:
     place = F.struct("doc_id", "th", "lo")
     often = listed.groupBy("core", "window").agg(F.min(place).alias("a"), F.max(place).alias("b"))
     often = cut_lineage(often.where(~F.col("a").eqNullSafe(F.col("b"))).select("core", "window"), "repeat-often")
-    return listed.join(often, ["core", "window"]).select("doc_id", "th", "lo", (F.col("lo") + LENGTH).alias("hi"))
+    return listed.join(often, ["core", "window"]).select("core", "window", "doc_id", "th", "lo", (F.col("lo") + LENGTH).alias("hi"))
 
 
-def repeated_runs(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, lo, hi): runs whose every window of ``LENGTH`` bytes starts elsewhere too, together all such windows."""
+def _edges(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(all anchors of repeated cores, their contexts with counts, contexts to scan, contexts of crowded cores). Contexts
+    are counted per core first, so a crowded core is never gathered."""
     found = anchored(docs)
     often = cut_lineage(found.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core"), "repeat-cores")
     members = cut_lineage(found.join(often, "core"), "repeat-members")
     kinds = members.groupBy("core", "context").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "th", "at")).alias("one"))
     kinds = cut_lineage(kinds, "repeat-contexts")
-    whole = members.join(kinds.where("n > 1").select("core", "context"), ["core", "context"]).where(f"hi - lo >= {LENGTH}").select("doc_id", "th", "lo", "hi")
-    mixed = kinds.groupBy("core").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).where("kinds > 1 AND least = 1").select("core")
-    edge = kinds.join(cut_lineage(mixed, "repeat-mixed"), "core").select("core", "one.*")
-    wanted = edge.groupBy("doc_id", "th").agg(F.collect_list(F.struct("core", "at")).alias("wanted"))
+    return members, kinds, *_read_contexts(docs, kinds)
+
+
+def _read_contexts(docs: DataFrame, kinds: DataFrame, all_kinds: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(contexts of cores with at most ``CLASS`` of them, those of the others), read from the texts. A core whose contexts all
+    occur twice has nothing to scan for its runs: they are repeated as far as they reach."""
+    mixed = kinds.groupBy("core").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least"))
+    mixed = mixed.where("kinds > 1" if all_kinds else "kinds > 1 AND least = 1").select("core", (F.col("kinds") > CLASS).alias("crowded"))
+    edge = kinds.join(cut_lineage(mixed, "repeat-mixed"), "core").select("core", "context", "crowded", "one.*")
+    wanted = edge.groupBy("doc_id", "th").agg(F.collect_list(F.struct("core", "context", "at", "crowded")).alias("wanted"))
     wanted = wanted.select(F.col("doc_id").alias("wanted_id"), F.col("th").alias("wanted_h"), "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,19 +304,51 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
             rows = []
             for doc_id, th, text, listed in zip(batch.column("doc_id").to_pylist(), batch.column("th").to_pylist(), batch.column("text"), batch.column("wanted").to_pylist(), strict=True):
                 data = _text(text)
-                rows += [(w["core"], doc_id, th, w["at"], *_context(data, w["at"])) for w in listed]
-            columns = list(zip(*rows, strict=True)) or [()] * 6
-            kinds = [pa.int64()] * 4 + [pa.binary()] * 2
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["core", "doc_id", "th", "at", "before", "after"])
+                rows += [(w["core"], w["context"], doc_id, th, w["at"], w["crowded"], *_context(data, w["at"])) for w in listed]
+            columns = list(zip(*rows, strict=True)) or [()] * 8
+            kinds = [pa.int64()] * 5 + [pa.bool_()] + [pa.binary()] * 2
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["core", "context", "doc_id", "th", "at", "crowded", "before", "after"])
 
     texts = _identified(docs)
     same = texts.doc_id.eqNullSafe(F.col("wanted_id")) & (texts.th == F.col("wanted_h"))
     contexts = texts.join(cut_lineage(wanted, "repeat-wanted"), same).select("doc_id", "th", "text", "wanted")
-    contexts = contexts.mapInArrow(run, f"core long, {_ID}, at long, before binary, after binary")
-    resolved = _resolved(contexts)
-    runs = whole.unionByName(resolved.where("NOT big").select("doc_id", "th", "lo", "hi"))
-    big = resolved.where("big")
-    return runs.unionByName(_windows(big)) if big.limit(1).count() else runs
+    contexts = cut_lineage(contexts.mapInArrow(run, f"core long, context long, {_ID}, at long, crowded boolean, before binary, after binary"), "repeat-edges")
+    return contexts.where("NOT crowded"), contexts.where("crowded")
+
+
+def repeated_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, th, lo, hi): runs whose every window of ``LENGTH`` bytes starts elsewhere too, together all such windows."""
+    members, kinds, plain, crowded = _edges(docs)
+    whole = members.join(kinds.where("n > 1").select("core", "context"), ["core", "context"]).where(f"hi - lo >= {LENGTH}").select("doc_id", "th", "lo", "hi")
+    runs = whole.unionByName(_resolved(plain).select("doc_id", "th", "lo", "hi"))
+    return runs.unionByName(_windows(crowded).select("doc_id", "th", "lo", "hi")) if crowded.limit(1).count() else runs
+
+
+def groups(docs: DataFrame) -> DataFrame:
+    """Maximal repeat groups with all occurrences: (grp, doc_id, th, lo, hi), a row for each place of a group.
+
+    The members of a group are equal in (lo, hi), and no longer run around their anchor is shared by all of them.
+    What repeats beyond the context of an anchor, ``CORE`` bytes before and ``LENGTH`` bytes from it on, shows up as several
+    groups, one for each anchor. Groups of cores with more than ``CLASS`` contexts are the repeated windows of ``LENGTH``
+    bytes instead of maximal runs. A place is listed once for each of its groups.
+    """
+    members, kinds, _, _ = _edges(docs)
+    plain, crowded = _read_contexts(docs, kinds, all_kinds=True)
+    scanned = _resolved(plain, groups=True).join(members, ["core", "context"])
+    scanned = scanned.select("grp", "doc_id", "th", (F.col("at") - F.col("left")).alias("lo"), (F.col("at") + F.col("right")).alias("hi"))
+    equal = members.join(kinds.where("n > 1").select("core", "context"), ["core", "context"]).where(f"hi - lo >= {LENGTH}")
+    equal = equal.select(F.xxhash64("core", "context").alias("grp"), "doc_id", "th", "lo", "hi")
+    out = scanned.unionByName(equal)
+    if crowded.limit(1).count():
+        windows = _windows(crowded).select(F.xxhash64("core", "window").alias("grp"), "core", "doc_id", "th", "lo", "hi")
+        # a context that occurs more than once was listed at one place: the others repeat its windows
+        one = kinds.select("core", "context", F.col("one.doc_id").alias("doc_id"), F.col("one.th").alias("th"), F.col("one.at").alias("one_at"))
+        same = (windows.core == one.core) & windows.doc_id.eqNullSafe(one.doc_id) & (windows.th == one.th) & (windows.lo >= F.col("one_at") - CORE) & (windows.hi <= F.col("one_at") + LENGTH)
+        placed = windows.join(one, same).select("grp", one.core, "context", (windows.lo - F.col("one_at")).alias("lo_off"))
+        spread = placed.join(members.select("core", "context", "doc_id", "th", "at"), ["core", "context"])
+        lo = F.col("at") + F.col("lo_off")
+        out = out.unionByName(spread.select("grp", "doc_id", "th", lo.alias("lo"), (lo + LENGTH).alias("hi")).distinct())
+    return out
 
 
 def removed(docs: DataFrame) -> DataFrame:

@@ -55,21 +55,37 @@ def hard():
     return texts
 
 
-@pytest.mark.parametrize("crowd", [r.CLASS, 0])
-def test_equals_brute_force(spark, hard, crowd, monkeypatch):
-    original = r._resolved
-    if crowd == 0:
-        # send every context down the path of crowded cores
-        from pyspark.sql import functions as F
-
-        def all_big(contexts):
-            n = [F.lit(None).cast(t).alias(c) for c, t in (("lo", "long"), ("hi", "long"))]
-            return contexts.select("core", F.lit(True).alias("big"), "doc_id", "th", "at", *n, "before", "after")
-
-        monkeypatch.setattr(r, "_resolved", all_big)
+@pytest.mark.parametrize("limit", [r.CLASS, 1, 3])
+def test_equals_brute_force(spark, hard, limit, monkeypatch):
+    # from few contexts on, cores go down the path of crowded ones
+    monkeypatch.setattr(r, "CLASS", limit)
     docs = spark.createDataFrame(list(enumerate(hard)), "doc_id long, text string")
     assert got(docs) == sorted(brute(hard))
-    assert original is not None
+
+
+@pytest.mark.parametrize("limit", [r.CLASS, 3])
+def test_groups_hold_all_occurrences(spark, hard, limit, monkeypatch):
+    monkeypatch.setattr(r, "CLASS", limit)
+    data = [(t or "").encode() for t in hard]
+    groups: dict[int, set[tuple[int, int, int]]] = {}
+    for row in r.groups(spark.createDataFrame(list(enumerate(hard)), "doc_id long, text string")).collect():
+        groups.setdefault(row["grp"], set()).add((row["doc_id"], row["lo"], row["hi"]))
+    for places in groups.values():
+        assert len(places) > 1 and len({data[d][lo:hi] for d, lo, hi in places}) == 1
+    # each repeated window has a group that covers every place of it at the same offset
+    where: dict[bytes, set[tuple[int, int]]] = {}
+    for d, text in enumerate(data):
+        for i in range(len(text) - L + 1):
+            where.setdefault(text[i : i + L], set()).add((d, i))
+    covered: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for name, places in groups.items():
+        for d, lo, hi in places:
+            for i in range(lo, hi - L + 1):
+                covered.setdefault((d, i), []).append((name, i - lo))
+    for places in where.values():
+        if len(places) > 1:
+            shared = set.intersection(*[set(covered.get(p, [])) for p in places])
+            assert shared
 
 
 def test_supplied_texts(small, small_docs):
