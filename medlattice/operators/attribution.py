@@ -5,9 +5,18 @@ The path-dependent Shapley value of feature j in one leaf with value v is
     v (o_j - z_j) * integral over t in [0, 1] of prod_{i != j} (z_i (1 - t) + o_i t)
 
 where z_i is the share of training rows that follow feature i's splits on the path and o_i says
-whether the explained row does. The integrand is a polynomial, so Gauss-Legendre quadrature
-with half as many nodes as features is exact, and the whole computation is dense array work on
-(rows, leaves, features) blocks inside each task. Only the compact leaf table travels.
+whether the explained row does. The product runs over the features of the path only. It is kept as
+its values at the nodes of a Gauss-Legendre quadrature, which is exact for it:
+
+* Down a tree each edge multiplies the product of its parent: the factor of its feature replaces the
+  one that an earlier edge with the same feature has put in. The factors are a table of three cases
+  per edge: the row fails both edges, this one only, or none.
+* Up the tree the leaves' products times values are summed, so an edge holds the sum over its leaves.
+  What feature j gets from an edge is this sum times (o_j - z_j) over its factor, less the same of
+  the earlier edge with j, whose leaves these are too.
+
+A level of a tree is one block of (rows, edges, nodes) arrays, so the cost of a row is linear in the
+edges and half their features, not in leaves times path lengths. Only compact edge tables travel.
 """
 
 from __future__ import annotations
@@ -24,88 +33,128 @@ from pyspark.sql import functions as F
 from medlattice.operators.models import Trained, forest_of, with_probability
 from medlattice.session import scratch_path
 
-#: leaf-table cells (leaves x features) broadcast at a time; larger forests are explained in
-#: several narrow passes that add up
-BROADCAST_CELLS = 4_000_000
+#: edges broadcast at a time; a single larger tree is broadcast alone
+BROADCAST_EDGES = 2_000_000
 
-#: cells of a (rows, leaves, features) block worked on at a time inside a task
-BLOCK_CELLS = 2_000_000
+#: cells of a tree's (rows, edges, nodes) block worked on at a time inside a task
+BLOCK_CELLS = 1_000_000
 
 
 @dataclass(frozen=True)
-class LeafTable:
-    """Leaves of a group of trees as boxes over the features.
+class TreeTable:
+    """One tree; position 0 is the root, the levels follow each other, siblings stand together.
 
-    ``low < x <= high`` holds for every feature on the leaf's path; ``share`` is the product of
-    the row shares of that feature's splits (1 when it is not on the path). ``value`` is the
-    leaf's class distribution divided by the number of trees in the forest.
+    An edge is named by its lower end. ``low < x <= high`` holds for all splits of its feature on the path so far,
+    ``share`` is the product of their row shares; ``prior`` is the earlier edge with the same feature, 0 if none.
+    ``leaf`` numbers the rows of ``value``, the leaves' class shares divided by the trees of the forest.
     """
 
+    parent: np.ndarray
+    feature: np.ndarray
     low: np.ndarray
     high: np.ndarray
     share: np.ndarray
+    prior: np.ndarray
+    leaf: np.ndarray
     value: np.ndarray
+    weight: np.ndarray
+    levels: np.ndarray
     depth: int
 
-    @property
-    def cells(self) -> int:
-        return self.low.size
-
     def base(self) -> np.ndarray:
-        return self.share.prod(axis=1) @ self.value
-
-    def explain(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(contributions[row, feature, class], probability[row, class])."""
-        leaves, features = self.low.shape
-        phi = np.zeros((len(rows), features, self.value.shape[1]))
-        out = np.zeros((len(rows), self.value.shape[1]))
-        nodes, weights = np.polynomial.legendre.leggauss(max(1, (self.depth + 1) // 2))
-        nodes, weights = (nodes + 1.0) / 2.0, weights / 2.0
-        step = max(1, BLOCK_CELLS // max(1, leaves * features))
-        for start in range(0, len(rows), step):
-            x = rows[start : start + step, None, :]
-            inside = ((x > self.low) & (x <= self.high)).astype(float)
-            total = np.zeros_like(inside)
-            for node, weight in zip(nodes, weights, strict=True):
-                terms = self.share * (1.0 - node) + inside * node
-                product = terms.prod(axis=2, keepdims=True)
-                total += weight * product / terms
-            total *= inside - self.share
-            phi[start : start + step] = total.transpose(0, 2, 1) @ self.value
-            out[start : start + step] = inside.prod(axis=2) @ self.value
+        return self.weight @ self.value
+
+    def explain(self, rows: np.ndarray, chosen: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """(contributions[row, feature, class], explained[row, class]) of the classes in ``chosen`` (row), or of all."""
+        n, width = rows.shape
+        edges, classes = len(self.parent), self.value.shape[1]
+        many = classes if chosen is None else 1
+        phi, out = np.zeros((n, width, many)), np.zeros((n, many))
+        if edges == 1:
+            out[:] = self.value[0] if chosen is None else self.value[0][chosen][:, None]
+            return phi, out
+        t, w = np.polynomial.legendre.leggauss(max(1, (self.depth + 1) // 2))
+        t, w = (t + 1.0) / 2.0, w / 2.0
+        z, z0 = self.share[:, None], self.share[self.prior][:, None]
+        both, one = z0 * (1 - t) + t, z * (1 - t) + t
+        factor = np.stack([np.broadcast_to(z / z0, both.shape), z * (1 - t) / both, one / both])
+        before = w * (1 - z0) / both
+        gain = np.stack([np.zeros_like(both), -w / (1 - t) - before, w * (1 - z) / one - before])
+        order = np.argsort(self.feature[1:], kind="stable") + 1
+        used, starts = np.unique(self.feature[order], return_index=True)
+        at_leaf = np.flatnonzero(self.leaf >= 0)
+        step = max(1, BLOCK_CELLS // (edges * len(t)))
+        for start in range(0, n, step):
+            x = rows[start : start + step]
+            seen = x[:, self.feature]
+            follows = (seen > self.low) & (seen <= self.high)
+            follows[:, 0] = True
+            case = follows.astype(np.int8) + follows[:, self.prior]
+            inside = np.ones_like(follows)
+            product = np.ones((len(x), edges, len(t)))
+            for first, last in zip(self.levels[:-1], self.levels[1:], strict=True):
+                here = np.arange(first, last)
+                product[:, here] = product[:, self.parent[here]] * factor[case[:, here], here]
+                inside[:, here] = inside[:, self.parent[here]] & follows[:, here]
+            slope = gain[case, np.arange(edges)]
+            for c in range(many):
+                value = self.value[self.leaf[at_leaf]][:, c][None] if chosen is None else self.value[self.leaf[at_leaf]].T[chosen[start : start + step]]
+                sums = np.zeros_like(product)
+                sums[:, at_leaf] = product[:, at_leaf] * value[:, :, None]
+                for first, last in zip(self.levels[-2::-1], self.levels[:0:-1], strict=True):
+                    up = self.parent[first:last:2]
+                    sums[:, up] += sums[:, first:last:2] + sums[:, first + 1 : last : 2]
+                each = np.einsum("req,req->re", slope, sums)
+                phi[start : start + step, used, c] = np.add.reduceat(each[:, order], starts, axis=1)
+                out[start : start + step, c] = (inside[:, at_leaf] * value).sum(axis=1)
         return phi, out
 
 
-def leaf_table(nodes: pd.DataFrame, features: int, trees: int) -> LeafTable:
-    """Leaf boxes of the given trees.
-
-    ``nodes`` has one row per node: tree, id, left, right (-1 for a leaf), feature, threshold,
-    stats (class weights). ``trees`` is the number of trees in the whole forest.
-    """
-    lows, highs, shares, values, depth = [], [], [], [], 1
-    for _, tree in nodes.groupby("tree", sort=True):
-        by_id = {n.id: n for n in tree.itertuples(index=False)}
-        cover = {i: float(np.sum(n.stats)) for i, n in by_id.items()}
-        open_nodes = [(0, np.full(features, -np.inf), np.full(features, np.inf), np.ones(features))]
-        while open_nodes:
-            node_id, low, high, share = open_nodes.pop()
-            node = by_id[node_id]
-            if node.left < 0:
-                lows.append(low)
-                highs.append(high)
-                shares.append(share)
-                values.append(np.asarray(node.stats, dtype=float) / (cover[node_id] * trees))
-                depth = max(depth, int((share < 1.0).sum()))
-                continue
-            for child, goes_left in ((node.left, True), (node.right, False)):
-                child_low, child_high, child_share = low.copy(), high.copy(), share.copy()
-                if goes_left:
-                    child_high[node.feature] = min(child_high[node.feature], node.threshold)
-                else:
-                    child_low[node.feature] = max(child_low[node.feature], node.threshold)
-                child_share[node.feature] *= cover[child] / cover[node_id]
-                open_nodes.append((child, child_low, child_high, child_share))
-    return LeafTable(np.array(lows), np.array(highs), np.array(shares), np.array(values), depth)
+def tree_table(tree: pd.DataFrame, features: int, trees: int) -> TreeTable:
+    """Edges of one tree from its nodes: id, left, right (-1 for a leaf), feature, threshold, stats (class weights)."""
+    tree = tree.sort_values("id")
+    left, right, split = (tree[c].to_numpy(np.int64) for c in ("left", "right", "feature"))
+    limit = tree["threshold"].to_numpy(np.float64)
+    stats = np.stack(tree["stats"].to_numpy()).astype(np.float64)
+    cover = stats.sum(axis=1)
+    place = {int(i): k for k, i in enumerate(tree["id"])}
+    position = np.vectorize(lambda i: place.get(int(i), -1), otypes=[np.int64])
+    left, right = position(left), position(right)
+    # per level: rows of ``tree``, their positions, and the last edge on their path for each feature
+    at, where, last = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros((1, features), np.int64)
+    columns: dict[str, list[np.ndarray]] = {"node": [at], "parent": [at], "feature": [at], "low": [np.full(1, -np.inf)], "high": [np.full(1, np.inf)], "share": [np.ones(1)], "prior": [at]}
+    levels, depth, size = [1], 1, 1
+    while True:
+        inner = np.flatnonzero(left[at] >= 0)
+        if not len(inner):
+            break
+        low, high, share = (np.concatenate(columns[c]) for c in ("low", "high", "share"))
+        nodes = np.stack([left[at[inner]], right[at[inner]]], axis=1).ravel()
+        above = np.repeat(inner, 2)
+        feature, threshold = split[at[above]], limit[at[above]]
+        prior = last[above, feature]
+        goes_left = np.arange(len(nodes)) % 2 == 0
+        # an edge without an earlier one of its feature starts from the root's open box
+        columns["node"].append(nodes), columns["parent"].append(where[above]), columns["feature"].append(feature), columns["prior"].append(prior)
+        columns["low"].append(np.where(goes_left, low[prior], np.maximum(low[prior], threshold)))
+        columns["high"].append(np.where(goes_left, np.minimum(high[prior], threshold), high[prior]))
+        columns["share"].append(share[prior] * cover[nodes] / cover[at[above]])
+        last = last[above]
+        where = np.arange(size, size + len(nodes))
+        last[np.arange(len(nodes)), feature] = where
+        at = nodes
+        size += len(nodes)
+        levels.append(size)
+        depth = max(depth, int((last > 0).sum(axis=1).max()))
+    joined = {c: np.concatenate(v) for c, v in columns.items()}
+    node = joined["node"]
+    is_leaf = left[node] < 0
+    leaf = np.where(is_leaf, np.cumsum(is_leaf) - 1, -1)
+    ends = node[is_leaf]
+    return TreeTable(
+        joined["parent"], joined["feature"], joined["low"], joined["high"], joined["share"], joined["prior"], leaf,
+        stats[ends] / (cover[ends] * trees)[:, None], cover[ends] / cover[node[0]], np.array(levels), depth,
+    )
 
 
 def saved_nodes(spark: SparkSession, model) -> DataFrame:
@@ -121,69 +170,63 @@ def saved_nodes(spark: SparkSession, model) -> DataFrame:
     )
 
 
-def leaf_tables(spark: SparkSession, model, limit: int = BROADCAST_CELLS) -> list[LeafTable]:
-    """Leaf tables of a forest, each within ``limit`` cells (a single tree may exceed it only
+def tree_tables(spark: SparkSession, model, limit: int = BROADCAST_EDGES) -> list[list[TreeTable]]:
+    """Tables of a forest's trees in groups of at most ``limit`` edges (a single tree may exceed it only
     if the tree alone does). Node rows are read one group of trees at a time."""
     nodes = saved_nodes(spark, model).persist()
     try:
         if nodes.filter(F.col("categories") > 0).limit(1).count():
             raise ValueError("categorical splits are not supported; encode categories as numbers")
-        sizes = nodes.filter("left < 0").groupBy("tree").agg(F.count(F.lit(1)).alias("n")).orderBy("tree").collect()
+        sizes = nodes.groupBy("tree").agg(F.count(F.lit(1)).alias("n")).orderBy("tree").collect()
         features, trees = model.numFeatures, model.getNumTrees
         groups: list[list[int]] = [[]]
         filled = 0
         for row in sizes:
-            cells = row["n"] * features
-            if groups[-1] and filled + cells > limit:
+            if groups[-1] and filled + row["n"] > limit:
                 groups.append([])
                 filled = 0
             groups[-1].append(row["tree"])
-            filled += cells
-        return [
-            leaf_table(nodes.filter(F.col("tree").isin(group)).drop("categories").toPandas(), features, trees)
-            for group in groups
-        ]
+            filled += row["n"]
+        out = []
+        for group in groups:
+            rows = nodes.filter(F.col("tree").isin(group)).drop("categories").toPandas()
+            out.append([tree_table(tree, features, trees) for _, tree in rows.groupby("tree", sort=True)])
+        return out
     finally:
         nodes.unpersist()
 
 
-def add_contributions(df: DataFrame, tables: Sequence[LeafTable], all_classes: bool = False) -> DataFrame:
+def add_contributions(df: DataFrame, groups: Sequence[Sequence[TreeTable]], all_classes: bool = False) -> DataFrame:
     """Append ``phi`` (flat array), ``base`` and ``explained`` (arrays) for rows with a
     ``vector`` array and a ``class`` code.
 
     With ``all_classes`` the arrays cover every class, feature-major; otherwise the row's own
-    class only. One narrow pass per leaf table, no shuffle.
+    class only. One narrow pass for all trees, no shuffle.
     """
     out = df.withColumns(
         {c: F.lit(None).cast("array<double>") for c in ("phi", "base", "explained")}
     )
-    schema = out.schema
-    for table in tables:
-        shared = df.sparkSession.sparkContext.broadcast(table)
-
-        def explain(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            leaves = shared.value
-            base = leaves.base()
-            for batch in batches:
-                if batch.empty:
-                    yield batch
-                    continue
-                phi, value = leaves.explain(np.stack(batch["vector"].to_numpy()))
-                if all_classes:
-                    parts = (phi.reshape(len(batch), -1), np.tile(base, (len(batch), 1)), value)
-                else:
-                    chosen = batch["class"].to_numpy(dtype=int)
-                    at = np.arange(len(batch))
-                    parts = (phi[at, :, chosen], base[chosen][:, None], value[at, chosen][:, None])
-                for name, part in zip(("phi", "base", "explained"), parts, strict=True):
-                    before = batch[name]
-                    if before.notna().all():
-                        part = part + np.stack(before.to_numpy())
-                    batch[name] = list(part)
+    shared = [df.sparkSession.sparkContext.broadcast(list(tables)) for tables in groups]
+
+    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        base = sum(table.base() for tables in shared for table in tables.value)
+        for batch in batches:
+            if batch.empty:
                 yield batch
+                continue
+            x = np.stack(batch["vector"].to_numpy())
+            chosen = None if all_classes else batch["class"].to_numpy(dtype=int)
+            phi, value = 0.0, 0.0
+            for tables in shared:
+                for table in tables.value:
+                    more, explained = table.explain(x, chosen)
+                    phi, value = phi + more, value + explained
+            bases = np.tile(base, (len(batch), 1)) if all_classes else base[chosen][:, None]
+            for name, part in (("phi", phi.reshape(len(batch), -1)), ("base", bases), ("explained", value)):
+                batch[name] = list(part)
+            yield batch
 
-        out = out.mapInPandas(explain, schema)
-    return out
+    return out.mapInPandas(explain, out.schema)
 
 
 def tree_shap(
@@ -197,7 +240,7 @@ def tree_shap(
     the contributions add up to the probability of the predicted class.
     """
     scored = _scored(trained, df, keys)
-    tables = leaf_tables(df.sparkSession, forest_of(trained.model))
+    tables = tree_tables(df.sparkSession, forest_of(trained.model))
     out = add_contributions(scored, tables)
     return out.select(
         *keys, "class", "prediction", "probability", F.get("base", F.lit(0)).alias("base_value"),
@@ -209,7 +252,7 @@ def tree_shap_all_classes(
     trained: Trained, df: DataFrame, names: Sequence[str], keys: Sequence[str] = ("patient_id",)
 ) -> DataFrame:
     """Contributions to every class: keys, ``class``, ``feature``, ``value``."""
-    tables = leaf_tables(df.sparkSession, forest_of(trained.model))
+    tables = tree_tables(df.sparkSession, forest_of(trained.model))
     out = add_contributions(_scored(trained, df, keys), tables, all_classes=True)
     classes = len(trained.classes)
     return out.select(*keys, F.posexplode("phi").alias("pos", "value")).select(

@@ -15,10 +15,8 @@ from statistics import mean, pstdev
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
-    GBTClassifier,
     LinearSVC,
     LogisticRegression,
-    MultilayerPerceptronClassifier,
     OneVsRest,
     RandomForestClassifier,
 )
@@ -31,7 +29,7 @@ from pyspark.sql import functions as F
 from medlattice import schema as S
 from medlattice.functions.hashing import key_hash
 from medlattice.functions.scalar import literal_array
-from medlattice.operators import encode
+from medlattice.operators import boosting, encode, perceptron
 from medlattice.operators.evaluate import classification_metrics
 from medlattice.operators.kernel import RandomFourierFeatures, scale_gamma
 from medlattice.operators.split import stratified_folds
@@ -43,19 +41,19 @@ STUDY = {
     "LogisticRegression": {"disease": {"maxIter": 1000}, "diet": {"maxIter": 1000}, "lifestyle": {"maxIter": 1000}},
     "SVM": {"disease": {"maxIter": 100}, "diet": {"maxIter": 100}, "lifestyle": {"maxIter": 100}},
     "XGBoost": {
-        "disease": {"maxIter": 100, "maxDepth": 10, "stepSize": 0.1},
-        "diet": {"maxIter": 150, "maxDepth": 12, "stepSize": 0.1},
-        "lifestyle": {"maxIter": 150, "maxDepth": 10, "stepSize": 0.1},
+        "disease": {"rounds": 100, "depth": 10, "rate": 0.1},
+        "diet": {"rounds": 150, "depth": 12, "rate": 0.1},
+        "lifestyle": {"rounds": 150, "depth": 10, "rate": 0.1},
     },
     "LightGBM": {
-        "disease": {"maxIter": 100, "maxDepth": 10, "stepSize": 0.1},
-        "diet": {"maxIter": 150, "maxDepth": 12, "stepSize": 0.1},
-        "lifestyle": {"maxIter": 150, "maxDepth": 12, "stepSize": 0.1},
+        "disease": {"rounds": 100, "depth": 10, "rate": 0.1},
+        "diet": {"rounds": 150, "depth": 12, "rate": 0.1},
+        "lifestyle": {"rounds": 150, "depth": 12, "rate": 0.1},
     },
     "NeuralNetwork": {
-        "disease": {"hidden": (128, 64, 32), "maxIter": 500},
-        "diet": {"hidden": (256, 128, 64), "maxIter": 300},
-        "lifestyle": {"hidden": (256, 128, 64), "maxIter": 300},
+        "disease": {"hidden": (128, 64, 32), "epochs": 500},
+        "diet": {"hidden": (256, 128, 64), "epochs": 300},
+        "lifestyle": {"hidden": (256, 128, 64), "epochs": 300},
     },
     "RandomForest": {
         "disease": {"numTrees": 120, "maxDepth": 15},
@@ -64,6 +62,10 @@ STUDY = {
     },
 }
 
+# What the two boosting presets grow by where the study names no value.
+DEPTH_WISE = {"penalty": 1.0, "least_hessian": 1.0, "least_rows": 1, "hessian": 2.0}
+LEAF_WISE = {"leaves": 31, "penalty": 0.0, "least_hessian": 1e-3, "least_rows": 20, "prior": True}
+
 # The production forests.
 PRODUCTION_FOREST = {
     "disease": {"numTrees": 120, "maxDepth": 15},
@@ -75,13 +77,16 @@ PRODUCTION_FOREST_COMMON = {
 }
 SURROGATE_FOREST = {"numTrees": 150, "maxDepth": 15}
 
+#: share of the training rows that early stopping holds out
+HELD_OUT = 0.1
+
 #: quick settings for tests and regular checks: the same estimators, fewer iterations
 QUICK = {
     "LogisticRegression": {"maxIter": 20},
     "SVM": {"maxIter": 5, "components": 48},
-    "XGBoost": {"maxIter": 2, "maxDepth": 4, "stepSize": 0.3},
-    "LightGBM": {"maxIter": 2, "maxDepth": 3, "stepSize": 0.3},
-    "NeuralNetwork": {"hidden": (16,), "maxIter": 20},
+    "XGBoost": {"rounds": 6, "depth": 4, "rate": 0.3},
+    "LightGBM": {"rounds": 6, "depth": 8, "rate": 0.3, "leaves": 12},
+    "NeuralNetwork": {"hidden": (16,), "epochs": 20, "rate": 0.01},
     "RandomForest": {"numTrees": 20, "maxDepth": 5},
 }
 
@@ -129,16 +134,15 @@ def logistic(rows: int, **params) -> LogisticRegression:
     )
 
 
-def boosted(parallelism: int = 4, **params) -> OneVsRest:
-    """Boosted trees, one binary booster per class."""
-    booster = GBTClassifier(seed=42, maxMemoryInMB=TREE_MEMORY_MB, **params)
-    return OneVsRest(classifier=booster, labelCol="label", featuresCol="features", parallelism=parallelism)
+def growth(algorithm: str, classes: int, **params) -> boosting.Growth:
+    """How the trees of a boosting preset grow: level by level, or the leaf of the largest gain next."""
+    preset = DEPTH_WISE if algorithm == "XGBoost" else {**LEAF_WISE, "hessian": classes / (classes - 1)}
+    return boosting.Growth(**{**preset, **params})
 
 
-def perceptron(slots: int, classes: int, hidden: Sequence[int], **params) -> MultilayerPerceptronClassifier:
-    return MultilayerPerceptronClassifier(
-        labelCol="label", featuresCol="features", layers=[slots, *hidden, classes], seed=42, **params
-    )
+def boosted(algorithm: str, classes: int, **params) -> boosting.SoftmaxBooster:
+    """Boosted trees on the softmax loss, one tree per class and round."""
+    return boosting.SoftmaxBooster(classes, growth(algorithm, classes, **params))
 
 
 def kernel_machine(gamma: float, rows: int, components: int = 256, parallelism: int = 4, **params) -> list:
@@ -162,17 +166,16 @@ def feature_stages(task: str, train: DataFrame, kind: str | None = None) -> list
     return builders[kind]()
 
 
-def _classifier(algorithm: str, encoded: DataFrame, classes: int, params: dict) -> list:
+def _classifier(algorithm: str, encoded: DataFrame, classes: int, params: dict, key: str) -> list:
     params = dict(params)
     if algorithm == "RandomForest":
         return [forest(**params)]
     if algorithm == "LogisticRegression":
         return [logistic(encoded.count(), **params)]
     if algorithm in ("XGBoost", "LightGBM"):
-        return [boosted(**params)]
+        return [boosted(algorithm, classes, **params)]
     if algorithm == "NeuralNetwork":
-        slots = len(encoded.select("features").first()["features"])
-        return [perceptron(slots, classes, **params)]
+        return [perceptron.MiniBatchPerceptron(classes, perceptron.Training(**params), key, HELD_OUT)]
     if algorithm == "SVM":
         return kernel_machine(scale_gamma(encoded), encoded.count(), **params)
     raise ValueError(f"unknown algorithm {algorithm}")
@@ -196,7 +199,7 @@ def encode_training(
     rows = train.filter(F.col(target).isNotNull())
     features = encode.fit_features(feature_stages(task, rows, kind), rows)
     labelled = encode.label_indexer(target, S.CLASSES[task]).transform(features.transform(spread(rows, key)))
-    return features, labelled.select("label", "features", *keep)
+    return features, labelled.select("label", "features", *[c for c in dict.fromkeys([key, *keep]) if c in labelled.columns])
 
 
 def train(
@@ -212,7 +215,7 @@ def train(
     features, encoded = encode_training(df, task, kind, key=key)
     encoded = encoded.persist()
     try:
-        fitted = fit_encoded(features, encoded, task, algorithm, params, started)
+        fitted = fit_encoded(features, encoded, task, algorithm, params, started, key)
     finally:
         encoded.unpersist()
     if folds < 2:
@@ -239,7 +242,7 @@ def cross_validate(
 
 def fit_encoded(
     features: PipelineModel, encoded: DataFrame, task: str, algorithm: str, params: dict | None = None,
-    started: float | None = None,
+    started: float | None = None, key: str = "patient_id",
 ) -> Trained:
     """Fit one algorithm on rows that are encoded (and cached) already."""
     started = time.perf_counter() if started is None else started
@@ -247,7 +250,7 @@ def fit_encoded(
     classes = S.CLASSES[task]
     if algorithm == "SVM":
         encoded, classes = _present_classes(encoded, classes)
-    fitted = Pipeline(stages=_classifier(algorithm, encoded, len(classes), params)).fit(encoded).stages
+    fitted = Pipeline(stages=_classifier(algorithm, encoded, len(classes), params, key)).fit(encoded).stages
     model = PipelineModel(stages=[*features.stages, *fitted, encode.label_decoder(classes)])
     return Trained(task, algorithm, model, classes, time.perf_counter() - started)
 
@@ -313,7 +316,7 @@ def train_grid(
         held_out = features.transform(test_df).select("features", F.col(target).alias("truth")).persist()
 
         def run(algorithm: str, task=task, features=features, encoded=encoded, held_out=held_out) -> tuple:
-            fitted = fit_encoded(features, encoded, task, algorithm, params(task, algorithm))
+            fitted = fit_encoded(features, encoded, task, algorithm, params(task, algorithm), key=key)
             if folds > 1:
                 scores = cross_validate(train_df, task, algorithm, params(task, algorithm), folds=folds, key=key)
                 fitted = replace(fitted, cv_mean=mean(scores), cv_std=pstdev(scores))
@@ -364,60 +367,34 @@ def feature_importances(trained: Trained, sample: DataFrame, top: int | None = N
 
 
 def fit_perceptron_early_stopping(
-    df: DataFrame, task: str, hidden: Sequence[int], max_iter: int = 300, step: int = 20, patience: int = 2,
-    tolerance: float = 1e-4, validation_share: float = 0.1, kind: str | None = None, key: str = "patient_id",
-) -> tuple[Trained, list[float]]:
-    """Perceptron that stops when a held-out share of the training rows no longer improves.
-
-    Training continues from the previous weights in steps; the weights of the best step win.
-    Returns the model and the held-out accuracy after each step.
-    """
+    df: DataFrame, task: str, params: dict | None = None, validation_share: float = HELD_OUT, kind: str | None = None, key: str = "patient_id",
+) -> tuple[Trained, list[tuple[float, float | None]]]:
+    """Perceptron that stops when a held-out share of the training rows no longer improves, with the best weights.
+    Returns the model and (training loss, held-out accuracy) of each epoch."""
     started = time.perf_counter()
-    features, encoded = encode_training(df, task, kind, [key])
-    held_out = key_hash(key, 7) % 10000 < round(validation_share * 10000)
-    encoded = encoded.withColumn("held_out", held_out).persist()
-    try:
-        fit_rows, check_rows = encoded.filter(~F.col("held_out")), encoded.filter("held_out")
-        slots = len(encoded.select("features").first()["features"])
-        best, best_score, waited, weights, history = None, -1.0, 0, None, []
-        for _ in range(0, max_iter, step):
-            estimator = perceptron(slots, len(S.CLASSES[task]), hidden, maxIter=step)
-            if weights is not None:
-                estimator = estimator.setInitialWeights(weights)
-            fitted = estimator.fit(fit_rows)
-            weights = fitted.weights
-            score = classification_metrics(fitted.transform(check_rows)).first()["accuracy"]
-            history.append(score)
-            if score > best_score + tolerance:
-                best, best_score, waited = fitted, score, 0
-            else:
-                waited += 1
-                if waited >= patience:
-                    break
-    finally:
-        encoded.unpersist()
-    model = PipelineModel(stages=[*features.stages, best, encode.label_decoder(S.CLASSES[task])])
+    features, encoded = encode_training(df, task, kind, key=key)
+    how = perceptron.Training(**(study_params(task, "NeuralNetwork") if params is None else params))
+    fitted, history = perceptron.fit(encoded, len(S.CLASSES[task]), how, key, validation_share)
+    model = PipelineModel(stages=[*features.stages, fitted, encode.label_decoder(S.CLASSES[task])])
     return Trained(task, "NeuralNetwork", model, S.CLASSES[task], time.perf_counter() - started), history
 
 
 def fit_booster_early_stopping(
-    df: DataFrame, task: str, positive: str, validation_share: float = 0.1, key: str = "patient_id", **params
-):
-    """One class against the rest, boosting stopped by a held-out share. Returns the model."""
-    features, encoded = encode_training(df, task, keep=[key])
-    code = float(S.CLASSES[task].index(positive))
-    binary = encoded.withColumns(
-        {
-            "label": (F.col("label") == code).cast("double"),
-            "held_out": key_hash(key, 7) % 10000 < round(validation_share * 10000),
-        }
-    )
-    booster = GBTClassifier(seed=42, validationIndicatorCol="held_out", maxMemoryInMB=TREE_MEMORY_MB, **params)
-    binary = binary.persist()
+    df: DataFrame, task: str, algorithm: str = "LightGBM", patience: int = 10, validation_share: float = 0.1,
+    kind: str | None = None, key: str = "patient_id", **params,
+) -> tuple[Trained, list[tuple[float, float | None]]]:
+    """Boosted trees of all classes that stop when the loss of a held-out share of the training rows has not improved for
+    ``patience`` rounds; the trees of the best round are kept. Returns the model and both losses after each round."""
+    started = time.perf_counter()
+    features, encoded = encode_training(df, task, kind, [key])
+    encoded = encoded.withColumn("held_out", key_hash(key, 7) % 10000 < round(validation_share * 10000)).persist()
+    classes = S.CLASSES[task]
     try:
-        return PipelineModel(stages=[*features.stages, booster.fit(binary)])
+        fitted, history = boosting.fit(encoded, len(classes), growth(algorithm, len(classes), **params), "held_out", patience)
     finally:
-        binary.unpersist()
+        encoded.unpersist()
+    model = PipelineModel(stages=[*features.stages, fitted, encode.label_decoder(classes)])
+    return Trained(task, algorithm, model, classes, time.perf_counter() - started), history
 
 
 # --- clustering -----------------------------------------------------------------------------

@@ -437,18 +437,20 @@ def cross_validation(spark, d):
 
 @query
 def early_stopping(spark, d):
-    """Held-out accuracy after each step of a perceptron that stops early."""
+    """Loss and held-out accuracy of each epoch of the study's perceptron, which stops early."""
     train, _ = _split(spark, d)
-    _, history = models.fit_perceptron_early_stopping(train, "lifestyle", (16,), max_iter=60, step=20)
-    return spark.createDataFrame(list(enumerate(history, 1)), "step int, held_out_accuracy double")
+    _, history = models.fit_perceptron_early_stopping(train, "lifestyle")
+    rows = [(i, cost, score) for i, (cost, score) in enumerate(history, 1)]
+    return spark.createDataFrame(rows, "epoch int, loss double, held_out_accuracy double")
 
 
 @query
 def early_stopping_boosting(spark, d):
-    """Trees kept when boosting stops on a held-out share."""
+    """Both losses over all classes after each round of leaf-wise boosting that stops early."""
     train, _ = _split(spark, d)
-    fitted = models.fit_booster_early_stopping(train, "disease", "Healthy", maxIter=10, maxDepth=3, stepSize=0.3)
-    return spark.createDataFrame([(fitted.stages[-1].getNumTrees,)], "trees int")
+    _, history = models.fit_booster_early_stopping(train, "disease", **models.study_params("disease", "LightGBM"))
+    rows = [(i, cost, held) for i, (cost, held) in enumerate(history, 1)]
+    return spark.createDataFrame(rows, "round int, loss double, held_out_loss double")
 
 
 @query
@@ -855,9 +857,9 @@ def tree_shap_two_features(spark, d):
         [(0, i, *shape[i], stats[i]) for i in sorted(shape)],
         columns=["tree", "id", "left", "right", "feature", "threshold", "stats"],
     )
-    table = attribution.leaf_table(nodes, features=2, trees=1)
+    table = attribution.tree_table(nodes, features=2, trees=1)
     rows = data.select("patient_id", F.lit(1).alias("class"), F.array("bmi", "glucose").alias("vector"))
-    out = attribution.add_contributions(rows, [table])
+    out = attribution.add_contributions(rows, [[table]])
     return out.select(
         "patient_id", rounded(F.col("base")[0]).alias("base_value"), rounded(F.col("explained")[0]).alias("explained_value"),
         rounded(F.col("phi")[0]).alias("bmi"), rounded(F.col("phi")[1]).alias("glucose"),

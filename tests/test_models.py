@@ -22,7 +22,7 @@ def parts(patients):
     return data.filter("is_train").drop("is_train"), data.filter("not is_train").drop("is_train")
 
 
-@pytest.mark.parametrize("algorithm", ["RandomForest", "LogisticRegression", "NeuralNetwork", "XGBoost", "SVM"])
+@pytest.mark.parametrize("algorithm", ["RandomForest", "LogisticRegression", "NeuralNetwork", "XGBoost", "LightGBM", "SVM"])
 def test_every_algorithm_learns_and_reloads(spark, parts, algorithm):
     train, test = parts
     params = models.quick_params("lifestyle", algorithm)
@@ -54,10 +54,17 @@ def test_cross_validation(parts):
     assert 0.5 < fitted.cv_mean <= 1.0 and fitted.cv_std >= 0.0
 
 
-def test_early_stopping_keeps_the_best_step(parts):
-    fitted, history = models.fit_perceptron_early_stopping(parts[0], "lifestyle", (8,), max_iter=30, step=10, patience=1)
-    assert 1 <= len(history) <= 3
+def test_early_stopping_of_both_kinds(spark, parts):
+    fitted, history = models.fit_perceptron_early_stopping(parts[0], "lifestyle", {"hidden": (8,), "epochs": 6, "rate": 0.02, "patience": 2})
+    assert 1 <= len(history) <= 6 and all(0 <= score <= 1 for _, score in history)
     assert models.evaluate(fitted, parts[1])["accuracy"] > 0.3
+    boosted, losses = models.fit_booster_early_stopping(parts[0], "lifestyle", rounds=12, depth=4, rate=0.9, leaves=8, patience=2)
+    best = min(range(len(losses)), key=lambda i: losses[i][1]) + 1
+    assert boosted.model.stages[-2].num_rounds == best and len(losses) <= best + 2
+    path = scratch_path(spark, "boosted")
+    store.save_model(boosted, path)
+    again = store.load_trained(spark, path, "lifestyle", "LightGBM")
+    assert models.evaluate(again, parts[1]) == models.evaluate(boosted, parts[1]) and models.evaluate(boosted, parts[1])["accuracy"] > 0.6
 
 
 def test_importances_sum_to_one(patients, parts):
@@ -156,18 +163,35 @@ def test_shapley_equals_brute_force(seed):
     rng = np.random.default_rng(seed)
     features, classes = 4, 3
     trees = [random_tree(rng, features, classes, 5) for _ in range(3)]
-    table = attribution.leaf_table(as_frame(trees), features, len(trees))
+    tables = [attribution.tree_table(tree, features, len(trees)) for _, tree in as_frame(trees).groupby("tree")]
     rows = rng.normal(size=(12, features))
-    phi, value = table.explain(rows)
+    parts = [table.explain(rows, None) for table in tables]
+    phi, value, base = sum(p for p, _ in parts), sum(v for _, v in parts), sum(table.base() for table in tables)
+    chosen = rng.integers(0, classes, len(rows))
+    own = sum(table.explain(rows, chosen)[0] for table in tables)
+    assert own[:, :, 0] == pytest.approx(phi[np.arange(len(rows)), :, chosen], abs=1e-12)
     for i, row in enumerate(rows):
         for c in range(classes):
             assert phi[i, :, c] == pytest.approx(brute_force(trees, row, features, c), abs=1e-12)
-            assert value[i, c] == pytest.approx(table.base()[c] + phi[i, :, c].sum(), abs=1e-12)
+            assert value[i, c] == pytest.approx(base[c] + phi[i, :, c].sum(), abs=1e-12)
+
+
+def test_deep_trees_and_stumps():
+    """More edges than the rows of a block hold, features that come back on the path, and a tree of one leaf."""
+    rng = np.random.default_rng(9)
+    trees = [random_tree(rng, 3, 2, 9), {0: {"left": -1, "right": -1, "feature": -1, "threshold": None, "stats": np.array([1.0, 3.0])}}]
+    rows = rng.normal(size=(5, 3))
+    for tree in trees:
+        table = attribution.tree_table(as_frame([tree]), 3, 1)
+        phi, value = table.explain(rows, None)
+        for i, row in enumerate(rows):
+            assert phi[i, :, 1] == pytest.approx(brute_force([tree], row, 3, 1), abs=1e-12)
+            assert value[i, 1] == pytest.approx(table.base()[1] + phi[i, :, 1].sum(), abs=1e-12)
 
 
 def test_blocks_and_tree_groups_add_up(spark, patients, surrogate, monkeypatch):
-    whole = attribution.leaf_tables(spark, models.forest_of(surrogate.model))
-    parts = attribution.leaf_tables(spark, models.forest_of(surrogate.model), limit=400)
+    whole = attribution.tree_tables(spark, models.forest_of(surrogate.model))
+    parts = attribution.tree_tables(spark, models.forest_of(surrogate.model), limit=100)
     assert len(whole) == 1 and len(parts) > 1
     rows = surrogate.model.transform(patients.limit(50)).select(
         "patient_id", F.col("prediction").cast("int").alias("class"), vector_to_array("features").alias("vector")
