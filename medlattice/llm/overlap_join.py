@@ -468,6 +468,25 @@ def connected(lists: DataFrame, nodes: DataFrame, percent: int, split: Callable[
         least, hubs = hubs, hubs * MORE
 
 
+def prefix_lists(whole: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """(nodes (node, n, tokens), lists (token, score, node, n, inner)) of whole sets (node, n, tokens): the shingles that two
+    of them or more hold, and the shortest lists, in which each set meets all its partners."""
+    shared = _shared_tokens(whole.select(F.explode("tokens").alias("token"), "node"))
+    by_node = shared.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("size", "token"))).alias("known"))
+    known = by_node.join(whole.groupBy("node").agg(F.first("n").alias("n")), "node")
+    # unshared shingles are the shortest lists of all: they stand first
+    prefix = F.expr(f"cast(n - ceil({percent} * n / 100D) + 1 - (n - size(known)) as int)")
+    inner = F.expr(f"cast(n - ceil({2 * percent} * n / {100 + percent}D) + 1 - (n - size(known)) as int)")
+    score = F.aggregate("known", F.lit(0.0), lambda a, e: a + e["size"]) / F.col("n")
+    known = known.withColumns({"prefix": prefix, "inner": inner, "score": score}).where("prefix > 0")
+    known = cut_lineage(known, "overlap-known")
+    nodes = known.select("node", "n", F.array_sort(F.transform("known", lambda e: e["token"])).alias("tokens"))
+    lists = known.select("node", "n", "score", F.col("inner").alias("within"), F.posexplode(F.slice("known", 1, F.col("prefix"))).alias("at", "e"))
+    lists = cut_lineage(lists.select(F.col("e.token").alias("token"), "score", "node", "n", (F.col("at") < F.col("within")).alias("inner")), "overlap-lists")
+
+    return nodes, lists
+
+
 def links(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(``doc_id``, ``h``, ``node``, ``n`` of every row, (node, root) of all linked nodes)."""
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
@@ -482,19 +501,7 @@ def links(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tuple[Data
     lenders, _ = broadcast_if_small(live.select("key", "no_id", "h"), "overlap-lenders", BROADCAST_ROWS)
     lent = named.select("doc_id", "text", *row_key("doc_id", "h")).join(lenders, ["key", "no_id", "h"], "left_semi").select("doc_id", "h", "text")
     whole = cut_lineage(_sets(lent, k, percent, True).where("tokens IS NOT NULL").select("node", "n", "tokens"), "overlap-whole")
-    shared = _shared_tokens(whole.select(F.explode("tokens").alias("token"), "node"))
-    by_node = shared.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("size", "token"))).alias("known"))
-    known = by_node.join(whole.groupBy("node").agg(F.first("n").alias("n")), "node")
-    # unshared shingles are the shortest lists of all: they stand first
-    prefix = F.expr(f"cast(n - ceil({percent} * n / 100D) + 1 - (n - size(known)) as int)")
-    inner = F.expr(f"cast(n - ceil({2 * percent} * n / {100 + percent}D) + 1 - (n - size(known)) as int)")
-    score = F.aggregate("known", F.lit(0.0), lambda a, e: a + e["size"]) / F.col("n")
-    known = known.withColumns({"prefix": prefix, "inner": inner, "score": score}).where("prefix > 0")
-    known = cut_lineage(known, "overlap-known")
-    nodes = known.select("node", "n", F.array_sort(F.transform("known", lambda e: e["token"])).alias("tokens"))
-    lists = known.select("node", "n", "score", F.col("inner").alias("within"), F.posexplode(F.slice("known", 1, F.col("prefix"))).alias("at", "e"))
-    lists = cut_lineage(lists.select(F.col("e.token").alias("token"), "score", "node", "n", (F.col("at") < F.col("within")).alias("inner")), "overlap-lists")
-
+    nodes, lists = prefix_lists(whole, percent)
     return rows, connected(lists, nodes, percent)
 
 
