@@ -80,7 +80,7 @@ SURROGATE_FOREST = {"numTrees": 150, "maxDepth": 15}
 #: share of the training rows that early stopping holds out
 HELD_OUT = 0.1
 
-#: quick settings for tests and regular checks: the same estimators, fewer iterations
+#: quick settings for tests: the same estimators, fewer iterations; no registered query uses them
 QUICK = {
     "LogisticRegression": {"maxIter": 20},
     "SVM": {"maxIter": 5, "components": 48},

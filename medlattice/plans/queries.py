@@ -114,7 +114,7 @@ def results_document(spark, d):
 def model_reload(spark, d):
     """Rows whose prediction changes when the saved pipeline is loaded again (expected 0)."""
     data = dataset.patients(spark, d)
-    fitted = models.train_forest(data, "diet", models.quick_params("diet", "RandomForest"))
+    fitted = models.train_forest(data, "diet")
     path = scratch_path(spark, "model")
     store.save_model(fitted, path)
     before = fitted.model.transform(data).select("patient_id", F.col("predicted_class").alias("before"))
@@ -390,7 +390,7 @@ def kfold_assign(spark, d):
     return split.stratified_folds(dataset.patients(spark, d).select("patient_id", "disease"), "disease")
 
 
-# --- models: quick settings, whole tables ---------------------------------------------------
+# --- models: settings of study and production, whole tables ---------------------------------------------------
 
 
 def _split(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -405,7 +405,7 @@ def _report(spark: SparkSession, fitted: models.Trained, test: DataFrame) -> Dat
 def _forest_query(task: str) -> Query:
     def run(spark, d):
         train, test = _split(spark, d)
-        return _report(spark, models.train_forest(train, task, models.quick_params(task, "RandomForest")), test)
+        return _report(spark, models.train_forest(train, task), test)
 
     return run
 
@@ -413,7 +413,7 @@ def _forest_query(task: str) -> Query:
 def _study_query(algorithm: str, task: str) -> Query:
     def run(spark, d):
         train, test = _split(spark, d)
-        return _report(spark, models.train(train, task, algorithm, models.quick_params(task, algorithm)), test)
+        return _report(spark, models.train(train, task, algorithm), test)
 
     return run
 
@@ -432,7 +432,7 @@ for _name, _algorithm, _task in (
 def cross_validation(spark, d):
     """Stratified three-fold accuracy next to the test metrics."""
     train, test = _split(spark, d)
-    return _report(spark, models.train(train, "diet", "LogisticRegression", {"maxIter": 20}, folds=3), test)
+    return _report(spark, models.train(train, "diet", "LogisticRegression", folds=3), test)
 
 
 @query
@@ -455,20 +455,20 @@ def early_stopping_boosting(spark, d):
 
 @query
 def model_grid(spark, d):
-    """Six algorithms on three tasks."""
+    """Three of the study's algorithms on its three tasks; the other three have queries of their own."""
     train, test = _split(spark, d)
-    return models.train_grid(train, test, params=models.quick_params, parallelism=4)
+    return models.train_grid(train, test, algorithms=("LogisticRegression", "NeuralNetwork", "RandomForest"), parallelism=3)
 
 
 _FITTED: dict[tuple, object] = {}
 
 
 def _surrogate(spark: SparkSession, d: str) -> models.Trained:
-    """One small surrogate per session and folder, shared by the explanation queries."""
+    """One surrogate per session and folder, shared by the explanation queries."""
     key = ("surrogate", spark.sparkContext.applicationId, d)
     if key not in _FITTED:
         data = dataset.patients(spark, d)
-        _FITTED[key] = models.train_surrogate(data, models.quick_params("disease", "RandomForest"))
+        _FITTED[key] = models.train_surrogate(data)
     return _FITTED[key]
 
 
