@@ -109,9 +109,9 @@ class FillModel:
         return FillModel({**self.values, **other.values})
 
 
-def fit_median(df: DataFrame, columns: Sequence[str] = S.MEDIAN_FILLED) -> FillModel:
-    """Exact medians (mean of the middle two for an even count)."""
-    return FillModel(quantile_values(df, columns, 0.5))
+def fit_median(df: DataFrame, columns: Sequence[str] = S.MEDIAN_FILLED, approx: bool = False) -> FillModel:
+    """Exact medians (mean of the middle two for an even count), or those of one scan within a stated rank error."""
+    return FillModel(quantile_values(df, columns, 0.5, approx))
 
 
 def fit_mean(df: DataFrame, columns: Sequence[str] = S.NUMERIC) -> FillModel:

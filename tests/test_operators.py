@@ -90,6 +90,64 @@ def test_quantiles_match_sorting(spark, n):
     assert got[0.5] == pytest.approx(statistics.median(values), rel=1e-12, abs=1e-12)
 
 
+def test_outliers_and_infinities_crowd_no_task(spark, monkeypatch):
+    """Equal-width cells would hold all of these rows but one in a single cell."""
+    from medlattice.operators import quantiles
+
+    rng = random.Random(3)
+    rows = [rng.gauss(0, 1) for _ in range(4000)] + [1e9, -1e300, float("inf"), float("inf"), float("-inf")] + [0.25] * 2000
+    df = spark.createDataFrame([(v,) for v in rows], "x double").repartition(6)
+    want = sorted(rows)
+
+    def exact(p):
+        at = p * (len(want) - 1)
+        low = int(at)
+        return want[low] if at == low else want[low] * (1 - at + low) + want[low + 1] * (at - low)
+
+    probs = [0.0, 0.01, 0.3, 0.5, 0.77, 1.0]
+    for inside, accuracy in ((quantiles.INSIDE, quantiles.ACCURACY), (40, 50)):
+        monkeypatch.setattr(quantiles, "INSIDE", inside)
+        monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
+        got = {r["p"]: r["quantile"] for r in exact_quantiles(df, ["x"], probs).collect()}
+        assert got == pytest.approx({p: exact(p) for p in probs})
+
+
+def test_approximate_quantiles_keep_their_rank_error(spark):
+    from bisect import bisect_left, bisect_right
+
+    from medlattice.operators.quantiles import approximate_quantiles, from_cells, sketch_cells, values_long
+
+    rng = random.Random(4)
+    rows = [rng.lognormvariate(0, 3) * rng.choice((-1, 1)) for _ in range(5000)] + [0.0, -0.0, float("inf"), 5e-324, 1e308] + [7.5] * 500
+    want = sorted(rows)
+    df = spark.createDataFrame([(v,) for v in rows], "x double")
+    probs = [0.0, 0.1, 0.5, 0.9, 1.0]
+    one, many = ({r["p"]: (r["quantile"], r["rank_error"]) for r in approximate_quantiles(df.repartition(n), ["x"], probs).collect()} for n in (1, 16))
+    assert one == many
+    for p, (value, error) in one.items():
+        low, high = bisect_left(want, value), bisect_right(want, value)
+        assert low - error * len(want) - 1 <= p * (len(want) - 1) <= high + error * len(want) + 1 and error < 0.01
+    # sketches of parts add up to the sketch of the whole
+    parts = [sketch_cells(values_long(part, ["x"]), ["column"]) for part in df.randomSplit([0.3, 0.7], 1)]
+    added = parts[0].unionByName(parts[1]).groupBy("column", "cell").agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"))
+    assert {r["p"]: (r["quantile"], r["rank_error"]) for r in from_cells(added, ["column"], probs).collect()} == one
+
+
+def test_sketch_of_a_stream(spark, tmp_path):
+    """The same cells as a running count of a stream."""
+    from medlattice.operators.quantiles import from_cells, sketch_cells, values_long
+
+    df = spark.range(1000).select((F.col("id") * 1.5 - 300).alias("x"))
+    df.repartition(4).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("x double").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    query = sketch_cells(values_long(stream, ["x"]), ["column"]).writeStream.outputMode("complete").format("memory").queryName("cells").start()
+    query.processAllAvailable()
+    query.stop()
+    batch = sketch_cells(values_long(df, ["x"]), ["column"])
+    assert sorted(map(tuple, spark.table("cells").collect())) == sorted(map(tuple, batch.collect()))
+    assert abs(from_cells(spark.table("cells"), ["column"], [0.5]).first()["quantile"] - 449.25) < 2
+
+
 def test_grouped_quantiles_with_null_group(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 5.0), (None, None), ("b", float("nan"))], "g string, x double")
     got = {r["g"]: r["quantile"] for r in exact_quantiles(df, ["x"], [0.5], ["g"]).collect()}
