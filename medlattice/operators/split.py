@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medlattice.functions.hashing import MODULUS, key_hash
-from medlattice.session import broadcast_if_small
+from medlattice.session import broadcast_if_small, cut_lineage
 
 #: ranges the hash space is cut into; a hot label is spread over all of them
 HASH_RANGES = 4096
@@ -113,25 +113,24 @@ def stratified_folds(
 
 
 def rank_by_hash(df: DataFrame, key: str = "patient_id", seed: int = 42) -> DataFrame:
-    """Append ``position``: the 1-based place of every row in hash order.
+    """Append ``position``: the 1-based place of every row in hash order; rows are written in that order.
 
-    No task ever holds all rows: hash ranges are counted, the counts give each range its start
-    position, and only single ranges are sorted.
+    One exchange: rows are ranged by sampled bounds of (hash, key) and sorted in their range; how many rows the ranges
+    before hold is one number per partition. The number of ranges is the session's, not a constant.
     """
-    hashed = df.withColumn("_hash", key_hash(key, seed)).withColumn("_range", _hash_range(F.col("_hash")))
-    counts = hashed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    # At most HASH_RANGES rows reach this window, and as many are broadcast.
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(
-        F.col("_range").alias("_start_range"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
-    )
-    joined = hashed.join(F.broadcast(starts), F.col("_range") == F.col("_start_range"))
-    within = Window.partitionBy("_range").orderBy("_hash", key)
-    return joined.withColumn("position", F.col("_before") + F.row_number().over(within)).drop(
-        "_hash", "_range", "_before", "_start_range"
-    )
+    hashed = df.withColumn("_hash", key_hash(key, seed)).repartitionByRange("_hash", key).sortWithinPartitions("_hash", key)
+    # partition number above the row's place in it
+    placed = cut_lineage(hashed.withColumn("_at", F.monotonically_increasing_id()), "hash-order").drop("_hash")
+    part = F.shiftright("_at", 33)
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    # one row per partition reaches this window and is broadcast
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(F.col("_part"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    joined = placed.join(F.broadcast(starts), part == F.col("_part"))
+    place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1).cast("long"))
+    return joined.withColumn("position", F.col("_before") + place + 1).drop("_at", "_part", "_before")
 
 
 def seeded_shuffle(df: DataFrame, key: str = "patient_id", seed: int = 42) -> DataFrame:
-    """Rows in hash order with their position; for export only."""
-    return rank_by_hash(df, key, seed).orderBy("position")
+    """Rows with their position in hash order, in the partitions and the order they were written in."""
+    return rank_by_hash(df, key, seed)

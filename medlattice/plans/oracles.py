@@ -518,6 +518,20 @@ SELECT patient_id, string_agg('• ' || CASE feature {labels} END || CASE WHEN v
   v.verdict, v.failed_rules FROM patients JOIN ({_domain('patients')}) v USING (patient_id)"""
     out["stream_scoring"] = out["stream_batch_scoring"] = p(scored)
 
+    broken = "patient_id % 53 = 0 OR patient_id % 59 = 0 OR patient_id % 61 = 0"
+    out["csv_quarantine"] = out["stream_quarantine"] = p(
+        f"SELECT count(*) AS lines, count(*) FILTER (NOT ({broken})) AS good, count(*) FILTER ({broken}) AS bad FROM patients")
+    out["stream_batches"] = p("SELECT true AS batch_per_file, CAST(count(*) AS BIGINT) AS rows FROM patients")
+    trained = f"{mix('patient_id', 42)} % 10000 < 8000"
+    out["run_document"] = p(f"""SELECT count(*) FILTER ({trained}) AS train_samples, count(*) FILTER (NOT ({trained})) AS test_samples, count(*) AS total_samples,
+  CAST({len(S.NUMERIC) + len(S.CATEGORICAL)} AS INTEGER) AS features, CAST({len(ALGORITHM_SKILL)} AS BIGINT) AS models FROM patients""")
+    out["approximate_median"] = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", true AS within" for c in LINEITEM_MEASURES)
+    whole = "usable AS (SELECT * FROM dirty WHERE " + _complete() + ")"
+    filled = {c: f"COALESCE({c}, (SELECT median({c}) FROM usable))" for c in S.MEDIAN_FILLED} | {c: f"COALESCE({c}, {_mode(c, 'usable')})" for c in S.MODE_FILLED}
+    out["clean_chain"] = p("SELECT patient_id, " + ", ".join(f"{filled.get(c, c)} AS {c}" for c in S.REQUIRED) + " FROM usable", f"{DIRTY},\n{whole}")
+    out["results_document"] = p(f"""SELECT task, algorithm, {_R4}, round(training_time_seconds, 3) AS training_time_seconds, CAST(NULL AS DOUBLE) AS cv_accuracy_mean,
+  CAST(NULL AS DOUBLE) AS cv_accuracy_std, num_classes FROM model_results""", grid)
+
     # dataset builder
     out["weighted_assign"] = p("SELECT patient_id, disease FROM patients")
     out["patients"] = p(f"SELECT patient_id, {_COLS}, metabolic_risk, cardio_risk, lifestyle_burden FROM patients")

@@ -16,7 +16,7 @@ from medlattice.functions import rules
 from medlattice.functions.hashing import draw
 from medlattice.functions.scalar import clip, decode, pick, rounded
 from medlattice.operators import attribution, clean, compare, encode, evaluate, explain, models, profile, ranking, split
-from medlattice.operators.quantiles import exact_quantiles
+from medlattice.operators.quantiles import approximate_quantiles, exact_quantiles, values_long
 from medlattice.plans import dataset
 from medlattice.plans.oracles import CENTROIDS, LINEAR_COEFFICIENTS, LINEITEM_MEASURES
 from medlattice.plans.profiles import PROFILES, SLOTS
@@ -24,6 +24,7 @@ from medlattice.session import read_table, scratch_path, tuned
 from medlattice.sources import files, store
 from medlattice.sources import results as documents
 from medlattice.streaming import patient_stream as streams
+from medlattice.streaming import run_log
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -107,7 +108,7 @@ def results_document(spark, d):
     """Long results as JSON lines, written and read back."""
     path = scratch_path(spark, "results-json")
     documents.write_results(_results(spark, d), path)
-    return documents.read_results(spark, path)
+    return _tidy(documents.read_results(spark, path))
 
 
 @query
@@ -931,6 +932,80 @@ def stream_model_scoring(spark, d):
     )
 
 
+@query
+def csv_quarantine(spark, d):
+    """Lines of a file with broken cells, short and long lines: all, those that fit, and the others."""
+    good, bad = files.read_patients_csv_checked(spark, _broken_lines(spark, d), S.STREAM)
+    both = good.select(F.lit(True).alias("fits")).unionByName(bad.select(F.lit(False).alias("fits")))
+    return both.agg(F.count(F.lit(1)).alias("lines"), F.count_if("fits").alias("good"), F.count_if(~F.col("fits")).alias("bad"))
+
+
+@query
+def stream_quarantine(spark, d):
+    """Rows per verdict of a scored stream whose malformed lines have a partition of their own."""
+    sink, log = scratch_path(spark, "quarantine-out"), scratch_path(spark, "quarantine-log")
+    streams.score_stream(spark, _broken_lines(spark, d), sink, log, files_per_trigger=_FILES_PER_BATCH, quarantine=True).awaitTermination()
+    malformed = F.col("verdict") == "malformed"
+    return spark.read.parquet(sink).agg(F.count(F.lit(1)).alias("lines"), F.count_if(~malformed).alias("good"), F.count_if(malformed).alias("bad"))
+
+
+def _broken_lines(spark: SparkSession, d: str) -> str:
+    """Patient lines, of which every 53rd has a word for its age, every 59th a cell too few and every 61st one too many."""
+    path = scratch_path(spark, "broken-lines")
+    k = F.col("patient_id")
+    cells = [F.when(k % 53 == 0, "n/a").otherwise(F.col(c).cast("string")) if c == "age" else F.col(c).cast("string") for c in S.STREAM.names[:-1]]
+    line = F.concat_ws(",", *cells, F.when(k % 59 != 0, F.col(S.STREAM.names[-1]).cast("string")), F.when(k % 61 == 0, "more"))
+    lines = dataset.patients(spark, d).select(line.alias(",".join(S.STREAM.names)))
+    # no cell holds a separator, so lines are written as they are
+    lines.write.option("header", True).option("quote", "").option("escape", "").option("sep", "\x01").option("maxRecordsPerFile", _STREAM_FILE_ROWS).csv(path)
+    return path
+
+
+@query
+def stream_batches(spark, d):
+    """What the batch log of a stream adds up to: one batch for each file, and all rows."""
+    source = _stream_files(spark, d)
+    count = spark.read.text(source).select(F.input_file_name()).distinct().count()
+    log = run_log.BatchLog(spark).start()
+    try:
+        stream = streams.read_patient_stream(spark, source, 1)
+        log.wait(streams.write_stream(stream, scratch_path(spark, "logged-out"), scratch_path(spark, "logged-log")))
+    finally:
+        log.stop()
+    return log.table().agg((F.count(F.lit(1)) == count).alias("batch_per_file"), F.sum("rows").alias("rows"))
+
+
+@query
+def run_document(spark, d):
+    """Metadata of the last complete of two runs; one that stopped before its manifest is not read."""
+    train, test = _split(spark, d)
+    results, root = _results(spark, d), scratch_path(spark, "runs")
+    metadata = documents.run_metadata(train, test, len(S.NUMERIC) + len(S.CATEGORICAL), timestamp="2000-01-01 00:00:00")
+    for _ in range(2):
+        documents.write_run(documents.nested_document(results, ["disease"], metadata), metadata, root)
+    documents.write_document(documents.nested_document(results, ["diet"]), f"{root}/run-000009-stopped/document")
+    path, stored = documents.last_run(spark, root)
+    inside = documents.read_metadata(spark, path)
+    models_read = documents.read_nested(spark, path, ["disease"]).count()
+    same = stored.select("train_samples", "test_samples", "total_samples", "features").join(
+        inside.select("train_samples", "test_samples", "total_samples", "features"), ["train_samples", "test_samples", "total_samples", "features"]
+    )
+    return same.withColumn("models", F.lit(models_read).cast("long"))
+
+
+@query
+def approximate_median(spark, d):
+    """Per measure: whether the exact median is within the stated rank error of the sketch's."""
+    data = read_table(spark, d, "lineitem")
+    near = approximate_quantiles(data, LINEITEM_MEASURES, [0.5]).select("column", "quantile", "rank_error")
+    ranks = values_long(data, LINEITEM_MEASURES).join(F.broadcast(near), "column").groupBy("column").agg(
+        F.count_if(F.col("value") < F.col("quantile")).alias("below"), F.count_if(F.col("value") <= F.col("quantile")).alias("upto"),
+        F.count(F.lit(1)).alias("n"), F.first("rank_error").alias("rank_error"),
+    )
+    off = F.greatest(F.col("below") - F.col("n") / 2, F.col("n") / 2 - F.col("upto"), F.lit(0.0))
+    return ranks.select("column", (off <= F.col("rank_error") * F.col("n") + 1).alias("within"))
+
+
 # --- dataset builder ------------------------------------------------------------------------
 
 

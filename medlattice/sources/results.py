@@ -9,12 +9,16 @@ A document holds one entry per algorithm, so building one gathers a few rows onl
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medlattice.operators.compare import METRICS
-from medlattice.schema import MODEL_RESULTS, TARGETS
+from medlattice.schema import MODEL_RESULTS, RUN_METADATA, TARGETS
 
+_MANIFEST = "version long, folder string"
 _FLAT = "map<string,struct<accuracy:double,precision:double,recall:double,f1:double,training_time:double>>"
 _NESTED_MODEL = (
     "struct<accuracy:double,precision:double,recall:double,f1_score:double,cv_accuracy_mean:double,"
@@ -50,16 +54,65 @@ def flat_document(results: DataFrame, task: str) -> DataFrame:
     return results.filter(F.col("task") == task).agg(F.to_json(_models(entry)).alias("value"))
 
 
-def nested_document(results: DataFrame, tasks=tuple(TARGETS)) -> DataFrame:
-    """One-row ``value`` text column: the nested document of the given tasks."""
+def nested_document(results: DataFrame, tasks=tuple(TARGETS), metadata: DataFrame | None = None) -> DataFrame:
+    """One-row ``value`` text column: the nested document of the given tasks, with the run's metadata if given."""
     fields = [c for c in MODEL_RESULTS.names if c in results.columns and c not in ("task", "algorithm")]
     per_task = results.filter(F.col("task").isin(*tasks)).groupBy("task").agg(
         F.struct(F.max("num_classes").alias("num_classes"), _models(F.struct(*fields)).alias("models")).alias("body")
     )
     kept = [F.first(F.when(F.col("task") == t, F.col("body")), ignorenulls=True).alias(t) for t in tasks]
+    if metadata is not None:
+        row = metadata.first()
+        kept.append(F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in RUN_METADATA if f.name in metadata.columns]).alias("metadata"))
     return per_task.agg(F.to_json(F.struct(*kept)).alias("value"))
 
 
+def run_metadata(train: DataFrame, test: DataFrame, features: int, algorithm: str | None = None, timestamp: str | None = None) -> DataFrame:
+    """One ``RUN_METADATA`` row of a training run."""
+    counts = train.select(F.lit(1).alias("train"), F.lit(0).alias("test")).unionByName(test.select(F.lit(0).alias("train"), F.lit(1).alias("test")))
+    n = counts.agg(F.coalesce(F.sum("train"), F.lit(0)), F.coalesce(F.sum("test"), F.lit(0))).first()
+    when = timestamp or time.strftime("%Y-%m-%d %H:%M:%S")
+    return train.sparkSession.createDataFrame([(n[0], n[1], n[0] + n[1], features, algorithm, when)], RUN_METADATA)
+
+
+def write_run(document: DataFrame, metadata: DataFrame, root: str) -> int:
+    """Document and metadata as the next version under ``root``; returns its number.
+
+    Each run writes to a folder of its own and its manifest last, so a run that stops half way is never read.
+    """
+    spark = document.sparkSession
+    known = _manifests(spark, root)
+    version = 1 + max((r["version"] for r in known), default=0)
+    folder = f"run-{version:06d}-{uuid.uuid4().hex}"
+    write_document(document, f"{root}/{folder}/document")
+    metadata.coalesce(1).write.json(f"{root}/{folder}/metadata")
+    spark.createDataFrame([(version, folder)], _MANIFEST).coalesce(1).write.json(f"{root}/{folder}/manifest")
+    return version
+
+
+def _manifests(spark: SparkSession, root: str) -> list:
+    pattern = f"{root}/*/manifest"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    done = [str(s.getPath()) for s in found or () if _complete(spark, f"{s.getPath()}/_SUCCESS")]
+    return spark.read.schema(_MANIFEST).json(done).collect() if done else []
+
+
+def _complete(spark: SparkSession, mark: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(mark)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
+def last_run(spark: SparkSession, root: str) -> tuple[str, DataFrame]:
+    """(path of the document, metadata row) of the last complete run under ``root``."""
+    known = _manifests(spark, root)
+    if not known:
+        raise FileNotFoundError(f"no complete run under {root}")
+    # two runs that took the same number are told apart by their folders, alike for every reader
+    last = max(known, key=lambda r: (r["version"], r["folder"]))
+    return f"{root}/{last['folder']}/document", spark.read.schema(RUN_METADATA).json(f"{root}/{last['folder']}/metadata")
+
+
 def write_document(document: DataFrame, path: str) -> None:
     document.coalesce(1).write.mode("overwrite").text(path)
 

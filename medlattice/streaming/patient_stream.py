@@ -17,7 +17,7 @@ from medlattice.functions import rules
 from medlattice.operators.clean import domain_check, nan_to_null
 from medlattice.operators.models import with_probability
 from medlattice.operators.ranking import confidence
-from medlattice.sources.files import CSV_OPTIONS, read_patients_csv
+from medlattice.sources.files import BAD_LINE, CSV_OPTIONS, read_patients_csv, with_bad_line
 from medlattice.sources.store import load_model
 
 MODEL_COLUMNS = {
@@ -27,13 +27,15 @@ MODEL_COLUMNS = {
 
 
 def read_patient_stream(
-    spark: SparkSession, path: str, files_per_trigger: int | None = 1, schema: T.StructType = S.STREAM
+    spark: SparkSession, path: str, files_per_trigger: int | None = 1, schema: T.StructType = S.STREAM, bad_lines: bool = False
 ) -> DataFrame:
     """Stream over a folder of CSV files with a header; each new file is read once.
 
-    Producers add files and never append to one that was already picked up.
+    Producers add files and never append to one that was already picked up. With ``bad_lines`` a line that does not
+    fit the schema keeps its text in the column ``BAD_LINE``.
     """
-    reader = spark.readStream.schema(schema).options(**CSV_OPTIONS)
+    options = {**CSV_OPTIONS, "columnNameOfCorruptRecord": BAD_LINE} if bad_lines else CSV_OPTIONS
+    reader = spark.readStream.schema(with_bad_line(schema) if bad_lines else schema).options(**options)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return nan_to_null(reader.csv(path))
@@ -130,14 +132,18 @@ def run_for(query: StreamingQuery, seconds: float) -> bool:
 
 def score_stream(
     spark: SparkSession, source: str, sink: str, checkpoint: str, model_path: str | None = None,
-    files_per_trigger: int | None = 1, once: bool = True,
+    files_per_trigger: int | None = 1, once: bool = True, quarantine: bool = False,
 ) -> StreamingQuery:
     """Score a folder of CSV files into Parquet partitioned by verdict.
 
-    Falls back to rule scores with null predictions when no model is stored at ``model_path``.
+    Falls back to rule scores with null predictions when no model is stored at ``model_path``. With ``quarantine``
+    lines that do not fit the schema go to a partition of their own, verdict ``malformed``, with their text in
+    ``BAD_LINE``: the same pass, so each line is in the sink exactly once.
     """
-    stream = read_patient_stream(spark, source, files_per_trigger)
+    stream = read_patient_stream(spark, source, files_per_trigger, bad_lines=quarantine)
     scored = score_patients(stream, model_or_none(spark, model_path))
+    if quarantine:
+        scored = scored.withColumn("verdict", F.when(F.col(BAD_LINE).isNotNull(), "malformed").otherwise(F.col("verdict")))
     return write_stream(scored, sink, checkpoint, once, partition="verdict")
 
 
