@@ -14,15 +14,32 @@ repeated rows are scanned each; an empty table gives an empty result; other colu
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Wording of published licenses and license notes, normalised, as patterns.
 CUES = (
     "licen", "copyright", "permission is hereby", "redistribut", "warrant", "all rights reserved", "public domain", "endorse or promote",
-    "no event shall", "cc0", "(c) 19", "(c) 20",
+    "no event shall", "cc0", "(c) 19", "(c) 20", "is free software",
+)
+#: identifiers of ``SPDX-License-Identifier`` notes that are told apart
+SPDX_IDS = (
+    "Apache-2.0", "MIT", "ISC", "0BSD", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only",
+    "GPL-3.0-or-later", "LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later",
+    "MPL-2.0", "EPL-1.0", "EPL-2.0", "BSL-1.0", "Unlicense", "Zlib", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0",
 )
+
+
+def _spdx(name: str) -> tuple[str, str]:
+    """Identifier and pattern of the note that names one license."""
+    words = re.sub(r"[^a-z0-9]+", " ", name.lower())
+    return f"spdx:{name}", f"spdx license identifier {words}"
+
+
 SENTENCES = (
+    *map(_spdx, SPDX_IDS),
     ("spdx", r"spdx license identifier .*"),
     ("apacheGrant", r"((this (file|work|project|software|text|document) is )?licensed|.*licenses this (file|work|project|software) to you) under the apache license,? version 2( 0)?( the license)?"),
     ("apacheUse", r"you may not use this file except in compliance with the license"),
@@ -43,13 +60,27 @@ SENTENCES = (
     ("gplGrant3", r"(this (file|work|project|software|text|document) is )?licensed under the gnu general public license version 3( or later| only)?"),
     ("gplGrant2", r"(this (file|work|project|software|text|document) is )?licensed under the gnu general public license version 2( or later| only)?"),
     ("gplFree", r"this program is free software you can redistribute it and or modify it under the terms of the gnu general public license .*"),
-    ("gplHope", r"this program is distributed in the hope that it will be useful but without any warranty( .*)?"),
+    ("agplFree", r"this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license .*"),
+    ("lgplFree", r"this (library|program) is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license .*"),
+    ("freeSoftware", r"this (program|library|file) is free software"),
+    ("gplTerms", r"you can redistribute it and or modify it under the terms of the gnu general public license( .*)?"),
+    ("lgplTerms", r"you can redistribute it and or modify it under the terms of the gnu (lesser|library) general public license( .*)?"),
+    ("gplVersion2", r"(either )?version 2 of the license( or at your option any later version| only)?"),
+    ("lgplVersion21", r"(either )?version 2 1 of the license( or at your option any later version)?"),
+    ("gplHope", r"this (program|library) is distributed in the hope that it will be useful but without any warranty( .*)?"),
     ("gplImplied", r"without even the implied warranty of .*"),
     ("gplSee", r"see the gnu (lesser |affero )?general public license for more details"),
-    ("gplCopy", r"you should have received a copy of the gnu general public license .*"),
+    ("gplCopy", r"you should have received a copy of the gnu (lesser |library |affero )?general public license .*"),
     ("gplIfNot", r"if not see (http|https) www gnu org licenses.*"),
     ("lgplGrant", r".*licensed under the gnu lesser general public license.*"),
-    ("mplGrant", r"this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("mplGrant", r"this source code form is subject to the terms of the mozilla public license v( 2 0)?"),
+    ("mplCopy", r"if a copy of the mpl was not distributed with this file you can obtain one at .*"),
+    ("iscPermission", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that .*"),
+    ("iscAsIs", r"the software is provided as is and the author disclaims all warranties .*"),
+    ("unlicense", r"this is free and unencumbered software released into the public domain"),
+    ("eplGrant", r".*made available under the terms of the eclipse public license( v)?( [12] 0)?( .*)?"),
+    ("boostGrant", r"(.*distributed under the )?boost software license version 1 0.*"),
+    ("boostPermission", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation .*"),
     ("ccByNc", r"(this (file|work|project|text|document) is )?licensed under (a )?(cc by nc|creative commons attribution noncommercial)( 4 0)?( international)?( license)?"),
     ("ccBySa", r"(this (file|work|project|text|document) is )?licensed under (a )?(cc by sa|creative commons attribution sharealike)( 4 0)?( international)?( license)?"),
     ("ccBy", r"(this (file|work|project|text|document) is )?licensed under (a )?(cc by|creative commons attribution)( 4 0)?( international)?( license)?"),
@@ -58,7 +89,7 @@ SENTENCES = (
     ("holder", r"(copyright|c) (c )?[0-9]{4}.*"),
 )
 #: sentences of one line: what follows on the next line is not part of them
-NOTES = ("spdx", "holder", "lgplGrant", "cc0")
+NOTES = ("spdx", "holder", "lgplGrant", "cc0", *[_spdx(name)[0] for name in SPDX_IDS])
 #: words that begin a sentence where a line before them has no stop
 STARTS = (
     r"copyright[^\p{L}\p{N}\n]*(?:c[^\p{L}\p{N}\n]*)?[0-9]{4}", r"all\s+rights\s+reserved", r"permission\s+is\s+hereby\s+granted",
@@ -79,8 +110,18 @@ RULES = (
     ("GPL", ("gplFree", "gplHope", "gplImplied", "gplSee", "gplCopy", "gplIfNot")),
     ("GPL", ("gplFree", "gplHope", "gplImplied", "gplSee", "gplCopy")),
     ("GPL", ("gplFree", "gplHope", "gplCopy")),
+    ("GPL-2.0", ("freeSoftware", "gplTerms", "gplVersion2", "gplHope", "gplImplied", "gplSee", "gplCopy")),
+    ("GPL-2.0", ("freeSoftware", "gplTerms", "gplVersion2")),
+    ("LGPL-2.1", ("freeSoftware", "lgplTerms", "lgplVersion21", "gplHope", "gplImplied", "gplSee", "gplCopy")),
+    ("LGPL-2.1", ("freeSoftware", "lgplTerms", "lgplVersion21")),
+    ("AGPL-3.0", ("agplFree", "gplHope", "gplImplied", "gplSee", "gplCopy", "gplIfNot")),
+    ("AGPL-3.0", ("agplFree", "gplHope", "gplImplied", "gplSee", "gplCopy")),
+    ("LGPL-3.0", ("lgplFree", "gplHope", "gplImplied", "gplSee", "gplCopy")),
+    ("ISC", ("iscPermission", "iscAsIs")),
+    ("BSL-1.0", ("boostGrant", "boostPermission")),
     ("BSD-2-Clause", ("bsdPermission", "bsdSource", "bsdBinary")),
     ("MIT", ("mitPermission", "mitNotice")),
+    ("MPL-2.0", ("mplGrant", "mplCopy")),
     ("Apache-2.0", ("apacheGrant",)),
     ("MIT", ("mitGrant",)),
     ("BSD", ("bsdGrant",)),
@@ -93,6 +134,14 @@ RULES = (
     ("CC-BY-SA-4.0", ("ccBySa",)),
     ("CC-BY-4.0", ("ccBy",)),
     ("CC0-1.0", ("cc0",)),
+    ("AGPL-3.0", ("agplFree",)),
+    ("LGPL-3.0", ("lgplFree",)),
+    ("ISC", ("iscPermission",)),
+    ("Unlicense", ("unlicense",)),
+    ("EPL", ("eplGrant",)),
+    ("BSL-1.0", ("boostGrant",)),
+    ("BSL-1.0", ("boostPermission",)),
+    *[(name, (_spdx(name)[0],)) for name in SPDX_IDS],
     ("SPDX", ("spdx",)),
     ("AllRightsReserved", ("reserved",)),
 )
@@ -147,7 +196,7 @@ def scan(docs: DataFrame) -> DataFrame:
     # every identifier stands between bars, so a rule is a run of them; a license is <name>
     trace = F.concat(F.lit("|"), F.array_join(F.transform("ids", lambda i: F.concat(i, F.lit("|"))), "|"))
     for name, wanted in RULES:
-        trace = F.regexp_replace(trace, "".join(rf"\|{i}\|" for i in wanted), f"|<{name}>|")
+        trace = F.replace(trace, F.lit("".join(f"|{i}|" for i in wanted)), F.lit(f"|<{name}>|"))
     marked = ids.select("doc_id", "ids", F.when(F.size("ids") > 0, trace).otherwise(F.lit("")).alias("trace"))
     return marked.select(
         "doc_id", F.array_join("ids", ",").alias("sentence_ids"),

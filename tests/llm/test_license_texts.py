@@ -81,6 +81,43 @@ GPL = """    This program is free software: you can redistribute it and/or modif
     You should have received a copy of the GNU General Public License
     along with this program.  If not, see <https://www.gnu.org/licenses/>.
 """
+GPL2 = """This program is free software; you can redistribute it and/or
+modify it under the terms of the GNU General Public License
+as published by the Free Software Foundation; either version 2
+of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program; if not, write to the Free Software
+Foundation, Inc., 51 Franklin Street, Boston, MA 02110-1301, USA.
+"""
+LGPL21 = GPL2.replace("This program", "This library").replace("General Public License", "Lesser General Public License").replace("version 2\n", "version 2.1\n")
+AGPL = GPL.replace("GNU General", "GNU Affero General").replace("GNU\n", "GNU\n").replace("GNU General Public License for", "GNU Affero General Public License for")
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+ISC = """Copyright 2020 Jane Doe
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS.
+"""
+BOOST = """Distributed under the Boost Software License, Version 1.0.
+"""
+EPL = """This program and the accompanying materials are made available under the
+terms of the Eclipse Public License 2.0 which is available at
+https://www.eclipse.org/legal/epl-2.0/
+"""
+GPL2_IDS = "freeSoftware,gplTerms,gplVersion2,gplHope,gplImplied,gplSee,gplCopy"
 APACHE_IDS = "holder,apacheGrant,apacheUse,apacheCopy,apacheAsIs,apacheSee"
 BSD_IDS = "holder,reserved,bsdPermission,bsdSource,bsdBinary"
 
@@ -97,6 +134,17 @@ CASES = [
     (commented(APACHE, " *"), APACHE_IDS, "Apache-2.0", 0),
     (commented(APACHE, "#").replace("\n", "\r\n") + "import os\r\n", APACHE_IDS, "Apache-2.0", 0),
     (GPL, "gplFree,gplHope,gplImplied,gplSee,gplCopy,gplIfNot", "GPL", 0),
+    (GPL2, GPL2_IDS, "GPL-2.0", 0),
+    (commented(GPL2, "#"), GPL2_IDS, "GPL-2.0", 0),
+    (LGPL21, "freeSoftware,lgplTerms,lgplVersion21,gplHope,gplImplied,gplSee,gplCopy", "LGPL-2.1", 0),
+    (AGPL, "agplFree,gplHope,gplImplied,gplSee,gplCopy,gplIfNot", "AGPL-3.0", 0),
+    (ISC, "holder,iscPermission,iscAsIs", "ISC", 0),
+    (BOOST, "boostGrant", "BSL-1.0", 0),
+    (EPL, "eplGrant", "EPL", 0),
+    ("This is free and unencumbered software released into the public domain.", "unlicense", "Unlicense", 0),
+    ("// SPDX-License-Identifier: Apache-2.0\nimport x\n", "spdx:Apache-2.0", "Apache-2.0", 0),
+    ("/* SPDX-License-Identifier: GPL-2.0-or-later */", "spdx:GPL-2.0-or-later", "GPL-2.0-or-later", 0),
+    ("# SPDX-License-Identifier: MIT OR Apache-2.0", "spdx", "SPDX", 0),
     ("Some prose\n" + MIT.split("\n\n", 1)[1] + "More prose", "holder,mitPermission,mitNotice,asIs,noLiability", "MIT", 0),
     ("Neither the name of X nor Y may be used to endorse or promote products of it.", "bsdEndorse", "", 0),
     ("Neither the name of X nor Y may be used to endorse\nor promote products of it.", "bsdEndorse", "", 0),
@@ -105,6 +153,11 @@ CASES = [
 ]
 
 
+def test_mozilla_header(spark):
+    row = l.scan(spark.createDataFrame([(1, MPL), (2, commented(MPL, "//"))], "doc_id long, text string")).collect()
+    assert all(r["sentence_ids"].startswith("mplGrant") and r["licenses"] == "MPL-2.0" for r in row)
+
+
 @pytest.mark.parametrize("case", CASES)
 def test_published_texts(spark, case):
     text, ids, licenses, unknown = case
