@@ -20,9 +20,11 @@ empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import numpy as np
@@ -56,39 +58,64 @@ NAMES = frozenset(
 #: words that leave a name what it is; with any other word (has-sidebar, entry-header, social-impact) it is none
 NEUTRAL = frozenset(
     "site page global main primary secondary top bottom left right sticky fixed box block bar container wrapper wrap inner outer area "
-    "section list item items link links button buttons icon icons form posts post media id js".split()
+    "section list item items link links button buttons icon icons form posts post media id js slot slots unit units zone space placement "
+    "google dfp leaderboard rectangle holder reader readers user users visitor privacy legal policy articles stories thread count title".split()
 )
+#: names that an id of a section has for what it is, not from its title
+CERTAIN = frozenset("comment comments commentlist disqus respond replies sidebar newsletter advert adverts advertisement advertising ads cookie cookies breadcrumbs".split())
 HEADERS = frozenset(("header", "masthead"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 _WORD = re.compile(r"[a-z]+")
 
 
+@dataclass(slots=True)
+class _Part:
+    """An open region, or a part with a name to drop; numbers grow, so a part's number is above its parent's."""
+
+    number: int
+    parent: _Part | None
+    #: the outermost article around it, itself included
+    article: _Part | None = None
+
+
+@dataclass(slots=True)
+class _Line:
+    """A block: its text, the tags met, the innermost region and the innermost part with a name around it."""
+
+    text: str
+    tags: int
+    region: _Part | None
+    named: _Part | None
+
+
 class _Lines(HTMLParser):
-    """Collects ``lines``: (text, tags, chain of open regions, open parts with a name to drop). A line that
-    is dropped for what it is has no text."""
+    """Collects ``lines``. A line that is dropped for what it is has no text. Elements point to their parents, so a page is
+    read in time proportional to its length, however deep it nests."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple[tuple[int, str], ...], tuple[int, ...]]] = []
-        self._parts: list[str] = []
+        self.lines: list[_Line] = []
+        self.regions: list[_Part] = []
+        self._texts: list[str] = []
         self._tags = 0
-        # block elements, and whether each starts a dropped part or a part with a name
-        self._open: list[tuple[str, bool, bool]] = []
-        self._chain: tuple[tuple[int, str], ...] = ()
+        # block elements, whether each is dropped, and the region and named part around it
+        self._open: list[tuple[str, bool, _Part | None, _Part | None]] = []
+        self._opened: Counter[str] = Counter()
+        self._region: _Part | None = None
+        self._named: _Part | None = None
         self._dropped = 0
-        self._named: tuple[int, ...] = ()
         self._next = 0
 
     def end_line(self) -> None:
-        text = " ".join("".join(self._parts).split())
-        self._parts.clear()
+        text = " ".join("".join(self._texts).split())
+        self._texts.clear()
         if text or self._tags:
-            self.lines.append((text, self._tags, self._chain, self._named))
+            self.lines.append(_Line(text, self._tags, self._region, self._named))
             self._tags = 0
 
     def _in_article(self) -> bool:
-        return any(kind in ARTICLES for _, kind in self._chain)
+        return self._region is not None and self._region.article is not None
 
     def _drops(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         if tag in DROPPED or (tag == "header" and not self._in_article()):
@@ -110,18 +137,18 @@ class _Lines(HTMLParser):
         names = NAMES - HEADERS if self._in_article() else NAMES
         for name, value in attrs:
             # ids of sections and headings are made from their titles
-            if value and (name == "class" or name == "id" and tag != "section" and tag not in HEADINGS):
+            if value and (name == "class" or name == "id" and tag not in HEADINGS):
                 for token in value.lower().split():
                     words = _WORD.findall(token)
-                    if not names.isdisjoint(words) and all(word in names or word in NEUTRAL for word in words):
+                    known = CERTAIN if name == "id" and tag == "section" else names
+                    if not known.isdisjoint(words) and all(word in names or word in NEUTRAL for word in words):
                         return True
         return False
 
     def _pop(self) -> str:
-        name, dropped, named = self._open.pop()
+        name, dropped, self._region, self._named = self._open.pop()
+        self._opened[name] -= 1
         self._dropped -= dropped
-        if named:
-            self._named = self._named[:-1]
         return name
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -129,7 +156,7 @@ class _Lines(HTMLParser):
         if tag in INLINE:
             return
         if tag in VOID:
-            self._parts.append(" ")
+            self._texts.append(" ")
             return
         self.end_line()
         while self._open and (self._open[-1][0] == "p" or self._open[-1][0] == tag and tag in UNCLOSED):
@@ -138,13 +165,18 @@ class _Lines(HTMLParser):
         # elements that may stay unclosed are kept only while they drop their content
         if tag in UNCLOSED and not drops and not named:
             return
-        self._open.append((tag, drops, named))
+        self._open.append((tag, drops, self._region, self._named))
+        self._opened[tag] += 1
         self._dropped += drops
         self._next += 1
         if named:
-            self._named += (self._next,)
+            self._named = _Part(self._next, self._named)
         if tag in REGIONS:
-            self._chain += ((self._next, tag),)
+            region = _Part(len(self.regions), self._region, self._region.article if self._region else None)
+            if tag in ARTICLES and region.article is None:
+                region.article = region
+            self.regions.append(region)
+            self._region = region
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -156,18 +188,14 @@ class _Lines(HTMLParser):
         if tag in INLINE or tag in VOID:
             return
         self.end_line()
-        if not any(name == tag for name, _, _ in self._open):
+        if not self._opened[tag]:
             return
-        while self._open:
-            name = self._pop()
-            if name in REGIONS:
-                self._chain = self._chain[:-1]
-            if name == tag:
-                break
+        while self._open and self._pop() != tag:
+            pass
 
     def handle_data(self, data: str) -> None:
         if not self._dropped:
-            self._parts.append(data)
+            self._texts.append(data)
 
 
 def _smoothed(ratio: np.ndarray) -> np.ndarray:
@@ -175,33 +203,58 @@ def _smoothed(ratio: np.ndarray) -> np.ndarray:
     return np.convolve(np.pad(ratio, RADIUS, mode="edge"), weight / weight.sum(), mode="valid")
 
 
-def _kept_lines(raw: list[tuple[str, int, tuple[tuple[int, str], ...], tuple[int, ...]]]) -> list[tuple[str, int, tuple[tuple[int, str], ...]]]:
+def _kept_lines(raw: list[_Line]) -> list[_Line]:
     """Lines without the text of parts dropped for their names; textless lines in a row are one."""
     held: Counter[int] = Counter()
     parts: Counter[int] = Counter()
-    for text, _, _, named in raw:
-        if text:
-            for part in named:
-                held[part] += len(text)
-                parts[part] += 1
-    total = sum(len(text) for text, _, _, _ in raw)
-    most = {part for part, n in held.items() if n >= HOLDS * total and parts[part] > 1}
-    lines: list[tuple[str, int, tuple[tuple[int, str], ...]]] = []
-    for text, tags, chain, named in raw:
-        if not most.issuperset(named):
-            text = ""
-        if text or (lines and lines[-1][0]):
-            lines.append((text, tags, chain))
+    inner: dict[int, _Part] = {}
+    for line in raw:
+        if line.text and line.named:
+            held[line.named.number] += len(line.text)
+            parts[line.named.number] += 1
+            inner[line.named.number] = line.named
+    # a part holds what the parts within it hold: from the innermost out
+    heap = [-n for n in inner]
+    heapq.heapify(heap)
+    while heap:
+        part = inner[-heapq.heappop(heap)]
+        if part.parent:
+            up = part.parent.number
+            if up not in inner:
+                inner[up] = part.parent
+                heapq.heappush(heap, -up)
+            held[up] += held[part.number]
+            parts[up] += parts[part.number]
+    total = sum(len(line.text) for line in raw)
+    lines: list[_Line] = []
+    for line in raw:
+        # what holds for the innermost part holds for those around it
+        name = line.named.number if line.named else None
+        if name is not None and not (held[name] >= HOLDS * total and parts[name] > 1):
+            line = _Line("", line.tags, line.region, line.named)
+        if line.text or (lines and lines[-1].text):
+            lines.append(_Line(line.text, line.tags, line.region, line.named))
         elif lines:
-            last = lines[-1]
-            lines[-1] = (last[0], last[1] + tags, last[2])
+            lines[-1].tags += line.tags
     return lines
 
 
-def _region_of_all(chains: list[tuple[tuple[int, str], ...]]) -> tuple[int, str] | None:
-    """The innermost region that all chains share."""
-    shared = set(chains[0]).intersection(*chains[1:])
-    return max(shared, default=None)
+def _gathered(regions: list[_Part], lines: list[tuple[_Part | None, int]]) -> np.ndarray:
+    """Per region the sum of the weights of the lines in it, those of the regions within it included."""
+    sums = np.zeros(len(regions), np.int64)
+    for region, weight in lines:
+        if region:
+            sums[region.number] += weight
+    for region in reversed(regions):
+        if region.parent:
+            sums[region.parent.number] += sums[region.number]
+    return sums
+
+
+def _last(marks: np.ndarray) -> int | None:
+    """The innermost of nested regions that are marked: the last in page order."""
+    found = np.flatnonzero(marks)
+    return int(found[-1]) if len(found) else None
 
 
 def main_text(html: str | None) -> str:
@@ -210,30 +263,30 @@ def main_text(html: str | None) -> str:
     parser.feed(html or "")
     parser.close()
     parser.end_line()
-    lines = _kept_lines(parser.lines)
-    if not any(text for text, _, _ in lines):
+    regions, lines = parser.regions, _kept_lines(parser.lines)
+    if not any(line.text for line in lines):
         return ""
-    plain = np.array([len(text) / max(1, tags) for text, tags, _ in lines])
+    plain = np.array([len(line.text) / max(1, line.tags) for line in lines])
     ratio = _smoothed(plain)
     chosen = ratio > ratio.std()
     dense = chosen | (plain > min(ratio.std(), PROSE))
-    votes: Counter[tuple[int, str]] = Counter()
-    total = 0
-    for (text, _, chain), take in zip(lines, chosen, strict=True):
-        if take and text:
-            total += len(text)
-            for region in chain:
-                votes[region] += len(text)
-    if not total:
-        text, _, chain = max(lines, key=lambda line: len(line[0]))
-        total, votes = len(text), Counter(dict.fromkeys(chain, len(text)))
-    holding = [region for region, n in votes.items() if n >= HOLDS * total]
-    region = max(holding, default=None)
-    if region:
-        chain = next(chain for _, _, chain in lines if region in chain)
-        article = next((r for r in chain[: chain.index(region) + 1] if r[1] in ARTICLES), None)
-        region = article or _region_of_all([chain for (text, _, chain), take in zip(lines, dense, strict=True) if take and text] or [chain])
-    return "\n\n".join(text for text, _, chain in lines if text and (region is None or region in chain))
+    voting = [(line.region, len(line.text)) for line, take in zip(lines, chosen, strict=True) if take and line.text]
+    if not voting:
+        most = max(lines, key=lambda line: len(line.text))
+        voting = [(most.region, len(most.text))]
+    region = _last(_gathered(regions, voting) >= HOLDS * sum(n for _, n in voting))
+    if region is not None and regions[region].article:
+        region = regions[region].article.number
+    elif region is not None:
+        held = [(line.region, 1) for line, take in zip(lines, dense, strict=True) if take and line.text]
+        if held:
+            region = _last(_gathered(regions, held) == len(held))
+    if region is None:
+        return "\n\n".join(line.text for line in lines if line.text)
+    inside = np.zeros(len(regions), bool)
+    for part in regions:
+        inside[part.number] = part.number == region or part.parent is not None and inside[part.parent.number]
+    return "\n\n".join(line.text for line in lines if line.text and line.region and inside[line.region.number])
 
 
 def extracted(pages: DataFrame) -> DataFrame:

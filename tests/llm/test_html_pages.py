@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import pytest
 
 from medlattice.llm.html_extract import main_text
@@ -23,6 +25,26 @@ CASES = [
     (f"<article><p>{LONG}</p><p>{LONG}</p><div class='cookie-banner'>{OTHER}</div><div class='share-buttons'>{OTHER}</div><div id=comments><p>{OTHER}</p></div></article>", [LONG, LONG]),
 ]
 
+#: adverts, notices, reader comments and links to other pages, by class and by id
+ASIDE = [
+    "<div class=ad-slot>{}</div>", "<div class='google-ad-unit'>{}</div>", "<div class=reader-comments><p>{}</p></div>", "<div class=privacy-notice>{}</div>",
+    "<div class=related-articles>{}</div>", "<section id=comments><p>{}</p></section>", "<section id=newsletter>{}</section>", "<div id=user-comments><div><p>{}</p></div></div>",
+]
+
+
+@pytest.mark.parametrize("aside", ASIDE)
+@pytest.mark.parametrize("frame", ["<article><p>{0}</p>{1}<p>{0}</p></article>", "<body><div class=content><p>{0}</p>{1}<p>{0}</p></div></body>", "<body><div id=main><p>{0}</p><p>{0}</p></div>{1}</body>"])
+def test_what_is_not_the_article_goes(aside, frame):
+    assert main_text(frame.format(LONG, aside.format(OTHER))) == f"{LONG}\n\n{LONG}"
+
+
+def test_hostile_pages_take_time_in_proportion():
+    """Deep nesting, unclosed elements, stray end tags and named parts within each other."""
+    pages = ["<div>" * 40_000 + LONG, "<section class=x>" * 20_000 + LONG + "</p>" * 20_000, "<div class=ad>" * 20_000 + LONG, "<td><li>" * 20_000 + LONG + "</article>" * 20_000]
+    started = time.perf_counter()
+    assert [main_text(p) for p in pages] == [LONG, LONG, "", LONG]
+    assert time.perf_counter() - started < 20
+
 
 @pytest.mark.parametrize("case", CASES)
 def test_pages(case):
