@@ -60,6 +60,8 @@ RULES = (
     Rule("payment_key", r"sk_live_[A-Za-z0-9]{16,}"),
 )
 
+_NONE = "cast(array() AS array<struct<start: int, number: int, kind: string, end: int>>)"
+
 #: (clause AND clause ...), a clause being (set of trigrams OR set of trigrams ...)
 Query = tuple[tuple[frozenset[str], ...], ...]
 
@@ -176,13 +178,25 @@ def _verified(rule: Rule, number: int) -> Column:
     literal = _sql(rule.pattern)
     match, group = (f"regexp_extract_all(text, '{literal}', {g})" for g in (0, rule.group))
     pieces = f"split(text, '{literal}', -1)"
-    found = F.expr(
-        f"aggregate(zip_with(zip_with({match}, {group}, (m, g) -> struct(length(m) AS len, length(g) >= {rule.least} AS ok)), {pieces},"
-        f" (m, p) -> struct(length(p) AS gap, m.len AS len, m.ok AS ok)),"
-        f" struct(0 AS at, cast(array() AS array<struct<start: int, number: int, kind: string, end: int>>) AS spans),"
+    parts = (
+        f"zip_with(zip_with({match}, {group}, (m, g) -> struct(length(m) AS len, length(g) >= {rule.least} AS ok)), {pieces},"
+        f" (m, p) -> struct(length(p) AS gap, m.len AS len, m.ok AS ok))"
+    )
+    # Appending copies what is there, so parts are added up in runs of about the square root of their number, each from
+    # where the runs before it end.
+    length = "aggregate(run, 0, (t, x) -> t + x.gap + coalesce(x.len, 0))"
+    begins = f"aggregate(runs, array(0), (s, run) -> array_append(s, element_at(s, -1) + {length}))"
+    spans = (
+        f"aggregate(run, struct(begins[i] AS at, {_NONE} AS spans),"
         f" (s, x) -> struct(s.at + x.gap + coalesce(x.len, 0) AS at, CASE WHEN x.ok THEN array_append(s.spans, named_struct('start', s.at + x.gap,"
         f" 'number', {number}, 'kind', '{rule.kind}', 'end', s.at + x.gap + x.len)) ELSE s.spans END AS spans), s -> s.spans)"
     )
+    cut = "transform(sequence(0, cast((size(parts) - 1) div width AS int)), k -> slice(parts, k * width + 1, width))"
+    inner = f"transform(array({begins}), begins -> flatten(transform(runs, (run, i) -> {spans})))[0]"
+    found = F.expr(
+        f"transform(array({parts}), parts -> transform(array(greatest(1, cast(ceil(sqrt(size(parts))) AS int))), width ->"
+        f" transform(array({cut}), runs -> {inner})[0])[0])[0]"
+    )
     wanted = F.array_contains("rules", number) if trigram_query(rule.pattern) else F.lit(True)
     return F.when(wanted & F.col("text").rlike(rule.pattern), found)
 
@@ -202,7 +216,6 @@ def _scanned(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     return joined.withColumns(spans).drop("rules")
 
 
-_NONE = "cast(array() AS array<struct<start: int, number: int, kind: string, end: int>>)"
 _TEXT = "array_join(transform({}, s -> concat(s.kind, ':', s.start, ':', s.end)), ',')"
 
 
@@ -225,10 +238,16 @@ def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     found = _scanned(packed(docs, "doc_id", "text"), rules)
     every = F.sort_array(F.concat(*[F.col(f"spans_{i}") for i in range(len(rules))]))
     rows = found.select("row", "text", every.alias("every"))
-    text = F.expr(
-        "aggregate(every, struct(0 AS at, '' AS out), (s, x) -> CASE WHEN x.start >= s.at THEN"
-        " struct(x.end AS at, concat(s.out, substring(text, s.at + 1, x.start - s.at), '[', x.kind, ']') AS out)"
-        " ELSE struct(greatest(s.at, x.end) AS at, s.out AS out) END, s -> concat(s.out, substring(text, s.at + 1)))"
+    # as for the spans: runs of about the square root of their number, each with the piece of the text that it covers
+    cut = "transform(sequence(0, cast((size(every) - 1) div width AS int)), k -> slice(every, k * width + 1, width))"
+    ends = "aggregate(runs, array(0), (s, run) -> array_append(s, greatest(element_at(s, -1), array_max(transform(run, x -> x.end)))))"
+    out = (
+        "aggregate(run, struct(ends[i] AS at, '' AS out), (s, x) -> CASE WHEN x.start >= s.at THEN"
+        " struct(x.end AS at, concat(s.out, substring(piece, s.at - ends[i] + 1, x.start - s.at), '[', x.kind, ']') AS out)"
+        " ELSE struct(greatest(s.at, x.end) AS at, s.out AS out) END, s -> s.out)"
     )
+    outs = f"transform(runs, (run, i) -> transform(array(substring(text, ends[i] + 1, ends[i + 1] - ends[i])), piece -> {out})[0])"
+    inner = f"transform(array({ends}), ends -> concat(array_join({outs}, ''), substring(text, element_at(ends, -1) + 1)))[0]"
+    text = F.expr(f"transform(array(greatest(1, cast(ceil(sqrt(size(every))) AS int))), width -> transform(array({cut}), runs -> {inner})[0])[0]")
     new = F.when(F.size("every") > 0, text).otherwise(F.col("text"))
     return rows.select(F.col("row").withField("text", new).alias("row")).select("row.*")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -81,3 +82,14 @@ def test_awkward_and_empty(awkward, nothing):
     assert s.spans(awkward).count() == awkward.count() and s.spans(nothing).count() == 0
     assert s.redacted(awkward).columns == awkward.columns
     assert s.redacted(awkward).where(F.col("text").isNull()).count() == 2
+
+
+def test_many_matches_take_time_in_proportion(spark):
+    text = "".join(f"password = abcdefghijklmnop{i}\n" for i in range(20_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    started = time.perf_counter()
+    found, clean = s.spans(docs).first(), s.redacted(docs).first()["text"]
+    assert found["n_assign"] == 20_000 and clean == "[assign]\n" * 20_000
+    first, last = found["spans"].split(",")[0], found["spans"].split(",")[-1]
+    assert first == "assign:0:28" and last.endswith(f":{len(text) - 1}")
+    assert time.perf_counter() - started < 90
