@@ -46,6 +46,8 @@ WORDS, PERCENT = 5, 80
 EXTRA = 8
 #: lists longer than this count as equally long; nodes of one search block; lenders broadcast at most
 LONG, BLOCK, BROADCAST_ROWS = 4096, 2048, 200_000
+#: shingles of the nodes searched at once, which bounds a task's memory whatever the texts' lengths are
+BLOCK_SHINGLES = 1 << 18
 #: growth of the queries of a list from round to round; edges of forests merged in one step at most
 MORE, FEW_EDGES = 8, 1 << 20
 #: weight of a binary search against a step of the merge, when lists are divided
@@ -294,7 +296,7 @@ def _searched(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     grouped = query.unionByName(other).repartition("hub", "block").sortWithinPartitions("hub", "block", "side")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, size, wanted, held, names = None, 0, None, [], []
+        key, size, wanted, held, names, cells = None, 0, None, [], [], 0
         a: list[int] = []
         b: list[int] = []
 
@@ -312,11 +314,13 @@ def _searched(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
                 if not side:
                     if key:
                         search()
-                    key, size, wanted = (hub, block), n, tokens.copy()
+                    key, size, wanted, cells = (hub, block), n, tokens.copy(), 0
                 else:
                     held.append((n, tokens.copy())), names.append(node)
-                    if len(held) >= BLOCK:
+                    cells += len(tokens)
+                    if cells >= BLOCK_SHINGLES:
                         search()
+                        cells = 0
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
             a.clear(), b.clear()
         if key:
