@@ -30,6 +30,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from medlattice.operators.forest import ForestModel, Tree
 from medlattice.operators.models import Trained, forest_of, with_probability
 from medlattice.session import scratch_path
 
@@ -157,6 +158,13 @@ def tree_table(tree: pd.DataFrame, features: int, trees: int) -> TreeTable:
     )
 
 
+def _node_rows(tree: Tree) -> pd.DataFrame:
+    """A tree's nodes as ``tree_table`` takes them."""
+    feature, threshold, left, stats = tree
+    right = np.where(left >= 0, left + 1, -1)
+    return pd.DataFrame({"id": np.arange(len(left)), "left": left, "right": right, "feature": feature, "threshold": threshold, "stats": list(stats)})
+
+
 def saved_nodes(spark: SparkSession, model) -> DataFrame:
     """Node rows of a tree ensemble, read back from its saved form."""
     path = scratch_path(spark, "forest")
@@ -173,6 +181,9 @@ def saved_nodes(spark: SparkSession, model) -> DataFrame:
 def tree_tables(spark: SparkSession, model, limit: int = BROADCAST_EDGES) -> list[list[TreeTable]]:
     """Tables of a forest's trees in groups of at most ``limit`` edges (a single tree may exceed it only
     if the tree alone does). Node rows are read one group of trees at a time."""
+    if isinstance(model, ForestModel):
+        features = model.getOrDefault(model.numFeatures)
+        return [[tree_table(_node_rows(model.trees[i]), features, model.getNumTrees) for i in group] for group in model.groups(limit)]
     nodes = saved_nodes(spark, model).persist()
     try:
         if nodes.filter(F.col("categories") > 0).limit(1).count():

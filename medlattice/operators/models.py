@@ -18,7 +18,6 @@ from pyspark.ml.classification import (
     LinearSVC,
     LogisticRegression,
     OneVsRest,
-    RandomForestClassifier,
 )
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -29,7 +28,7 @@ from pyspark.sql import functions as F
 from medlattice import schema as S
 from medlattice.functions.hashing import key_hash
 from medlattice.functions.scalar import literal_array
-from medlattice.operators import boosting, encode, perceptron
+from medlattice.operators import boosting, encode, forest, perceptron
 from medlattice.operators.evaluate import classification_metrics
 from medlattice.operators.kernel import RandomFourierFeatures, scale_gamma
 from medlattice.operators.split import stratified_folds
@@ -77,6 +76,9 @@ PRODUCTION_FOREST_COMMON = {
 }
 SURROGATE_FOREST = {"numTrees": 150, "maxDepth": 15}
 
+#: rows of a partition that iterative fits read again and again
+SPREAD_ROWS = 100_000
+
 #: share of the training rows that early stopping holds out
 HELD_OUT = 0.1
 
@@ -90,11 +92,6 @@ QUICK = {
     "RandomForest": {"numTrees": 20, "maxDepth": 5},
 }
 
-#: bytes of node statistics kept per pass while growing trees; the default of 256 MB splits
-#: deep levels of large forests into many passes over the data
-TREE_MEMORY_MB = 1024
-
-
 def study_params(task: str, algorithm: str) -> dict:
     return dict(STUDY[algorithm][task])
 
@@ -120,12 +117,6 @@ class Trained:
         return with_probability(self.model.transform(df))
 
 
-def forest(**params) -> RandomForestClassifier:
-    return RandomForestClassifier(
-        labelCol="label", featuresCol="features", seed=42, maxMemoryInMB=TREE_MEMORY_MB, cacheNodeIds=True, **params
-    )
-
-
 def logistic(rows: int, **params) -> LogisticRegression:
     """Multinomial logistic regression with unit inverse regularisation on ``rows`` rows."""
     return LogisticRegression(
@@ -169,7 +160,7 @@ def feature_stages(task: str, train: DataFrame, kind: str | None = None) -> list
 def _classifier(algorithm: str, encoded: DataFrame, classes: int, params: dict, key: str) -> list:
     params = dict(params)
     if algorithm == "RandomForest":
-        return [forest(**params)]
+        return [forest.BaggedForest(classes, forest.Growth(**params), key)]
     if algorithm == "LogisticRegression":
         return [logistic(encoded.count(), **params)]
     if algorithm in ("XGBoost", "LightGBM"):
@@ -182,13 +173,19 @@ def _classifier(algorithm: str, encoded: DataFrame, classes: int, params: dict,
 
 
 def spread(rows: DataFrame, key: str = "patient_id", partitions: int | None = None) -> DataFrame:
-    """Rows dealt by their key, as many partitions as the session shuffles to unless stated.
+    """Rows dealt by their key, a partition for each core and for each ``SPREAD_ROWS`` rows unless stated, at most as
+    many as the session shuffles to.
 
-    A fit reads its cached rows many times, and a table of few files would keep few cores busy each time.
+    A fit reads its cached rows many times: a table of few files would keep few cores busy each time, and hundreds of
+    small partitions cost more to start than their rows to read.
     """
     if key not in rows.columns:
         return rows
-    return rows.repartition(partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+    if partitions is None:
+        spark = rows.sparkSession
+        wanted = max(spark.sparkContext.defaultParallelism, -(-rows.count() // SPREAD_ROWS))
+        partitions = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted))
+    return rows.repartition(partitions, key)
 
 
 def encode_training(

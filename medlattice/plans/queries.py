@@ -114,7 +114,7 @@ def results_document(spark, d):
 @query
 def model_reload(spark, d):
     """Rows whose prediction changes when the saved pipeline is loaded again (expected 0)."""
-    data = dataset.patients(spark, d)
+    data = _spread_patients(spark, d)
     fitted = models.train_forest(data, "diet")
     path = scratch_path(spark, "model")
     store.save_model(fitted, path)
@@ -400,7 +400,7 @@ def _split(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _report(spark: SparkSession, fitted: models.Trained, test: DataFrame) -> DataFrame:
-    return spark.createDataFrame([models.result_row(fitted, fitted.model.transform(test))], S.MODEL_RESULTS)
+    return spark.createDataFrame([models.result_row(fitted, fitted.model.transform(models.spread(test)))], S.MODEL_RESULTS)
 
 
 def _forest_query(task: str) -> Query:
@@ -481,13 +481,13 @@ def surrogate_forest(spark, d):
 
 @query
 def batch_predict(spark, d):
-    scored = _surrogate(spark, d).predict(dataset.patients(spark, d))
+    scored = _surrogate(spark, d).predict(_spread_patients(spark, d))
     return scored.select("patient_id", "disease", "predicted_class", rounded(ranking.confidence("probability", "prediction")).alias("confidence"))
 
 
 @query
 def class_probabilities(spark, d):
-    scored = _surrogate(spark, d).predict(dataset.patients(spark, d))
+    scored = _surrogate(spark, d).predict(_spread_patients(spark, d))
     return scored.select("patient_id", *[F.get("probability", F.lit(i)).alias(f"p_{c}") for i, c in enumerate(S.DISEASES)])
 
 
@@ -499,7 +499,7 @@ def feature_importances(spark, d):
 @query
 def probability_check(spark, d):
     """Per patient: one probability per class, all between 0 and 1 and adding up to 1."""
-    scored = _surrogate(spark, d).predict(dataset.patients(spark, d))
+    scored = _surrogate(spark, d).predict(_spread_patients(spark, d))
     total = F.aggregate("probability", F.lit(0.0), lambda acc, v: acc + v)
     within = F.forall("probability", lambda v: (v >= 0) & (v <= 1))
     return scored.select(
@@ -527,7 +527,7 @@ def attribution_check(spark, d):
 def labelled_scoring(spark, d):
     """A labelled table scored with the stored pipeline: the label is kept, and the risk index is the one
     made of the model's own probability of ``Healthy``."""
-    fitted, data = _surrogate(spark, d), dataset.patients(spark, d)
+    fitted, data = _surrogate(spark, d), _spread_patients(spark, d)
     scored = streams.score_patients(data.drop("diet_plan", "lifestyle_plan"), fitted.model)
     healthy = F.get("probability", F.lit(fitted.classes.index("Healthy")))
     own = fitted.predict(data).select("patient_id", (1 - healthy).alias("risk"))
@@ -815,7 +815,7 @@ def explanation_text(spark, d):
 
 
 def _spread_patients(spark: SparkSession, d: str) -> DataFrame:
-    """The patients dealt by their key: attribution is bound by the processor, and the table is one file."""
+    """The patients dealt by their key: scoring by forests and attribution are bound by the processor, and the table is one file."""
     return models.spread(dataset.patients(spark, d))
 
 
