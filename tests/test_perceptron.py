@@ -101,3 +101,15 @@ def test_no_rows(spark):
     df, _, _ = encoded(spark, 10)
     with pytest.raises(ValueError, match="no rows"):
         p.fit(df.limit(0), 3, HOW)
+
+
+@pytest.mark.parametrize("hands", [1, 2, 7, 40])
+def test_one_set_of_weights_reaches_the_driver(spark, hands):
+    rng = np.random.default_rng(hands)
+    states = rng.normal(size=(hands, 6))
+    rows = [(h, 10 + h, h, states[h].tobytes(), 0.5, 1, 1) for h in range(hands)]
+    partial = spark.createDataFrame(rows, p._PARTIAL).repartition(5)
+    found = p._added_up(partial, hands).collect()
+    assert len(found) == 1
+    assert np.allclose(np.frombuffer(found[0]["state"]), states.sum(axis=0))
+    assert (found[0]["rows"], found[0]["steps"], found[0]["held"]) == (sum(r[1] for r in rows), sum(r[2] for r in rows), hands)
