@@ -85,3 +85,16 @@ def test_hash_order_takes_one_exchange_and_any_partitions(spark):
     # reading the positions moves no rows: only the ranges' sizes are exchanged
     plan = split.rank_by_hash(keys)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "rangepartitioning" not in plan
+
+
+def test_a_file_without_rows_is_no_batch(spark):
+    """Where the first split of the patients' file holds no row group, its CSV file holds a header alone."""
+    from medlattice.plans import queries
+
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        found = [tuple(r) for r in queries.queries()["stream_batches"](spark, "/root/testdata/sf0.01").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(found) == 1 and found[0][0] is True and found[0][1] > 0
