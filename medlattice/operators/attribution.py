@@ -6,40 +6,48 @@ The path-dependent Shapley value of feature j in one leaf with value v is
 
 where z_i is the share of training rows that follow feature i's splits on the path and o_i says
 whether the explained row does. The product runs over the features of the path only. It is kept as
-its values at the nodes of a Gauss-Legendre quadrature, which is exact for it:
+its values at the nodes of a Gauss-Legendre quadrature, which is exact for it.
 
-* Down a tree each edge multiplies the product of its parent: the factor of its feature replaces the
-  one that an earlier edge with the same feature has put in. The factors are a table of three cases
-  per edge: the row fails both edges, this one only, or none.
-* Up the tree the leaves' products times values are summed, so an edge holds the sum over its leaves.
-  What feature j gets from an edge is this sum times (o_j - z_j) over its factor, less the same of
-  the earlier edge with j, whose leaves these are too.
-
-A level of a tree is one block of (rows, edges, nodes) arrays, so the cost of a row is linear in the
-edges and half their features, not in leaves times path lengths. Only compact edge tables travel.
+* Rows are taken down a tree in cases: two rows that have followed the splits of the same features so far are alike in
+  all that is below, whatever their values. A leaf has few cases, so its products are made per case, not per row.
+* Up the tree the tables of two subtrees are added up for the pairs of cases that occur, as long as these are few; then the
+  table's sums are added to the rows. So the cost per row is a few look-ups per split, the less the more rows are taken
+  together. Only compact edge tables travel.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import cache, reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medlattice.operators.forest import ForestModel, Tree
 from medlattice.operators.models import Trained, forest_of, with_probability
-from medlattice.session import scratch_path
+from medlattice.session import cut_lineage, scratch_path
 
 #: edges broadcast at a time; a single larger tree is broadcast alone
 BROADCAST_EDGES = 2_000_000
 
-#: cells of a tree's (rows, edges, nodes) block worked on at a time inside a task
+#: cells of a (rows, features) block worked on at a time inside a task
 BLOCK_CELLS = 1_000_000
 
+#: pairs of cases that are looked up to join two subtrees; rows that a joined case has at least, on average
+CASE_CELLS, ROWS_A_CASE = 1 << 20, 4
+
+#: rows that a task explains together; tables of this many rows at most are not dealt by trees
+TASK_ROWS, FEW_ROWS = 32_768, 1_000
+
+#: rows whose sums are added at a time
+SLICE_ROWS = 2_048
+
+_RESULTS = ("phi", "base", "explained")
+
 
 @dataclass(frozen=True)
 class TreeTable:
@@ -68,47 +76,109 @@ class TreeTable:
     def explain(self, rows: np.ndarray, chosen: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
         """(contributions[row, feature, class], explained[row, class]) of the classes in ``chosen`` (row), or of all."""
         n, width = rows.shape
-        edges, classes = len(self.parent), self.value.shape[1]
-        many = classes if chosen is None else 1
-        phi, out = np.zeros((n, width, many)), np.zeros((n, many))
-        if edges == 1:
-            out[:] = self.value[0] if chosen is None else self.value[0][chosen][:, None]
-            return phi, out
-        t, w = np.polynomial.legendre.leggauss(max(1, (self.depth + 1) // 2))
-        t, w = (t + 1.0) / 2.0, w / 2.0
-        z, z0 = self.share[:, None], self.share[self.prior][:, None]
-        both, one = z0 * (1 - t) + t, z * (1 - t) + t
-        factor = np.stack([np.broadcast_to(z / z0, both.shape), z * (1 - t) / both, one / both])
-        before = w * (1 - z0) / both
-        gain = np.stack([np.zeros_like(both), -w / (1 - t) - before, w * (1 - z) / one - before])
-        order = np.argsort(self.feature[1:], kind="stable") + 1
-        used, starts = np.unique(self.feature[order], return_index=True)
-        at_leaf = np.flatnonzero(self.leaf >= 0)
-        step = max(1, BLOCK_CELLS // (edges * len(t)))
+        many = self.value.shape[1] if chosen is None else 1
+        first = np.full(len(self.parent), -1)
+        first[self.parent[1::2]] = np.arange(1, len(self.parent), 2)
+        sums = np.zeros((n, (width + 1) * many))
+        step = max(1, BLOCK_CELLS // (width + 1))
         for start in range(0, n, step):
-            x = rows[start : start + step]
-            seen = x[:, self.feature]
-            follows = (seen > self.low) & (seen <= self.high)
-            follows[:, 0] = True
-            case = follows.astype(np.int8) + follows[:, self.prior]
-            inside = np.ones_like(follows)
-            product = np.ones((len(x), edges, len(t)))
-            for first, last in zip(self.levels[:-1], self.levels[1:], strict=True):
-                here = np.arange(first, last)
-                product[:, here] = product[:, self.parent[here]] * factor[case[:, here], here]
-                inside[:, here] = inside[:, self.parent[here]] & follows[:, here]
-            slope = gain[case, np.arange(edges)]
-            for c in range(many):
-                value = self.value[self.leaf[at_leaf]][:, c][None] if chosen is None else self.value[self.leaf[at_leaf]].T[chosen[start : start + step]]
-                sums = np.zeros_like(product)
-                sums[:, at_leaf] = product[:, at_leaf] * value[:, :, None]
-                for first, last in zip(self.levels[-2::-1], self.levels[:0:-1], strict=True):
-                    up = self.parent[first:last:2]
-                    sums[:, up] += sums[:, first:last:2] + sums[:, first + 1 : last : 2]
-                each = np.einsum("req,req->re", slope, sums)
-                phi[start : start + step, used, c] = np.add.reduceat(each[:, order], starts, axis=1)
-                out[start : start + step, c] = (inside[:, at_leaf] * value).sum(axis=1)
-        return phi, out
+            block = slice(start, start + step)
+            _Walk(self, first, rows[block], None if chosen is None else chosen[block], sums[block]).run()
+        return sums[:, : width * many].reshape(n, width, many), sums[:, width * many :]
+
+
+class _Walk:
+    """One tree and a block of rows. ``state`` numbers the cases that occur at a node: the bits of the features whose splits
+    a row has followed so far, above them its class. A subtree's result is a case per row and a table of their sums."""
+
+    def __init__(self, table: TreeTable, first: np.ndarray, rows: np.ndarray, chosen: np.ndarray | None, sums: np.ndarray) -> None:
+        self.table, self.first, self.sums = table, first, sums
+        self.columns = np.ascontiguousarray(rows.T)
+        self.width, self.each = rows.shape[1], chosen is not None
+        # a value that is no number follows no split
+        seen = (~np.isnan(rows)) @ (1 << np.arange(self.width))
+        self.start = seen if chosen is None else seen + (chosen.astype(np.int64) << self.width)
+
+    def run(self) -> None:
+        state, rows = np.unique(self.start, return_inverse=True)
+        self._add(self._below(0, rows, state, {}))
+
+    def _add(self, result: tuple[np.ndarray, np.ndarray] | None) -> None:
+        if result is not None:
+            rows, table = result
+            # in slices that stay in a core's cache
+            for at in range(0, len(rows), SLICE_ROWS):
+                part = slice(at, at + SLICE_ROWS)
+                self.sums[part] += table.take(rows[part], axis=0)
+
+    def _below(self, at: int, rows: np.ndarray, state: np.ndarray, share: dict[int, float]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Result of the subtree at ``at`` for rows of these cases, None if it was added to the sums already."""
+        left = self.first[at]
+        if left < 0:
+            return rows, self._leaf(at, state, share)
+        feature = self.table.feature[left]
+        bit = 1 << int(feature)
+        goes = rows << 1
+        goes |= self.columns[feature] <= self.table.high[left]
+        met = np.zeros(2 * len(state), bool)
+        met[goes] = True
+        met = np.flatnonzero(met)
+        had, on_left = state[met >> 1], (met & 1).astype(bool)
+        sides = []
+        for edge, follows in ((left, on_left), (left + 1, ~on_left)):
+            known, place = np.unique(np.where(follows, had, had & ~bit), return_inverse=True)
+            sides.append((edge, known, place, {**share, int(feature): self.table.share[edge]}))
+        number = np.empty(2 * len(state), np.int64)
+        if self.first[left] < 0 and self.first[left + 1] < 0:
+            number[met] = np.arange(len(met))
+            return number[goes], sum(self._leaf(edge, known, path)[place] for edge, known, place, path in sides)
+        results = []
+        for edge, known, place, path in sides:
+            number[met] = place
+            results.append(self._below(edge, number[goes], known, path))
+        return self._joined(*results)
+
+    def _joined(self, a: tuple[np.ndarray, np.ndarray] | None, b: tuple[np.ndarray, np.ndarray] | None) -> tuple[np.ndarray, np.ndarray] | None:
+        """Both results as one, as long as their rows fall in few cases together."""
+        if a is not None and b is not None and len(a[1]) * len(b[1]) <= min(CASE_CELLS, 16 * len(a[0])):
+            both = a[0] * len(b[1])
+            both += b[0]
+            met = np.zeros(len(a[1]) * len(b[1]), bool)
+            met[both] = True
+            met = np.flatnonzero(met)
+            if len(met) * ROWS_A_CASE <= len(both):
+                number = np.empty(len(a[1]) * len(b[1]), np.int64)
+                number[met] = np.arange(len(met))
+                return number[both], a[1][met // len(b[1])] + b[1][met % len(b[1])]
+        self._add(a)
+        self._add(b)
+        return None
+
+    def _leaf(self, at: int, state: np.ndarray, share: dict[int, float]) -> np.ndarray:
+        """What the leaf adds to each feature and class, and to the explained value, for each case."""
+        value = self.table.value[self.table.leaf[at]]
+        value = value[state >> self.width][:, None] if self.each else np.broadcast_to(value, (len(state), len(value)))
+        parts = np.zeros((len(state), self.width + 1))
+        inside = np.ones(len(state), bool)
+        if share:
+            t, w = _nodes(max(1, (len(share) + 1) // 2))
+            features, z = np.array(list(share)), np.array(list(share.values()))
+            case, place = np.unique(state & ((1 << self.width) - 1), return_inverse=True)
+            follows = (case[:, None] >> features) & 1
+            factor = (z[:, None] * (1 - t))[None] + follows[:, :, None] * t
+            product = factor.prod(axis=1) * w
+            found = np.zeros((len(case), self.width))
+            found[:, features] = (follows - z) * (product[:, None] / factor).sum(axis=2)
+            parts[:, :-1], inside = found[place], follows.all(axis=1)[place]
+        parts[:, -1] = inside
+        return (parts[:, :, None] * value[:, None]).reshape(len(state), -1)
+
+
+@cache
+def _nodes(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes and weights of the quadrature on [0, 1]."""
+    t, w = np.polynomial.legendre.leggauss(count)
+    return (t + 1.0) / 2.0, w / 2.0
 
 
 def tree_table(tree: pd.DataFrame, features: int, trees: int) -> TreeTable:
@@ -212,39 +282,75 @@ def add_contributions(df: DataFrame, groups: Sequence[Sequence[TreeTable]], all_
     ``vector`` array and a ``class`` code.
 
     With ``all_classes`` the arrays cover every class, feature-major; otherwise the row's own
-    class only. One narrow pass for all trees, no shuffle.
+    class only. A tree's cost per row falls with the rows that a task explains together: a table of fewer blocks of
+    ``TASK_ROWS`` rows than cores is dealt by trees too, each task with a share of the trees, whose results are added up
+    per row. Any other table takes one narrow pass for all trees.
     """
-    out = df.withColumns(
-        {c: F.lit(None).cast("array<double>") for c in ("phi", "base", "explained")}
-    )
-    shared = [df.sparkSession.sparkContext.broadcast(list(tables)) for tables in groups]
-
-    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        base = sum(table.base() for tables in shared for table in tables.value)
-        for batch in batches:
-            if batch.empty:
-                yield batch
-                continue
+    spark = df.sparkSession
+    out = df.withColumns({c: F.lit(None).cast("array<double>") for c in _RESULTS})
+    shared = [spark.sparkContext.broadcast(list(tables)) for tables in groups]
+    rows, trees = df.count(), sum(len(tables) for tables in groups)
+    blocks = -(-rows // TASK_ROWS)
+    # three tasks a core, so that none is waited for long
+    wanted = 3 * spark.sparkContext.defaultParallelism
+    parts = min(trees, -(-wanted // blocks)) if rows > FEW_ROWS else 1
+    if parts == 1:
+        return out.mapInPandas(_explainer(shared, all_classes, 0, 1), out.schema)
+    numbered = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()), "explained-rows")
+    dealt = numbered.select("_row", "vector", "class").repartition(blocks, "_row")
+    dealt = dealt.withColumns({c: F.lit(None).cast("array<double>") for c in _RESULTS})
+    found = [dealt.mapInPandas(_explainer(shared, all_classes, part, parts), dealt.schema).withColumn("_part", F.lit(part)) for part in range(parts)]
+    # always added up in the same order
+    whole = reduce(DataFrame.unionAll, found).groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_part", *_RESULTS))).alias("parts"))
+    whole = whole.select("_row", *[_added("parts", c).alias(c) for c in _RESULTS])
+    return numbered.join(whole, "_row").select(*out.columns)
+
+
+def _added(parts: str, name: str) -> Column:
+    """The arrays ``name`` of all parts, added up place by place."""
+    arrays = F.transform(parts, lambda p: p[name])
+    return F.aggregate(F.slice(arrays, 2, F.size(arrays)), F.get(arrays, F.lit(0)), lambda acc, more: F.zip_with(acc, more, lambda a, b: a + b))
+
+
+def _explainer(shared: list, all_classes: bool, part: int, parts: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Fills ``phi``, ``base`` and ``explained`` in by every ``parts``-th tree, from ``part`` on."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tables = [table for group in shared for table in group.value][part::parts]
+        base = sum(table.base() for table in tables)
+        for batch in _in_blocks(batches):
             x = np.stack(batch["vector"].to_numpy())
             chosen = None if all_classes else batch["class"].to_numpy(dtype=int)
             phi, value = 0.0, 0.0
-            for tables in shared:
-                for table in tables.value:
-                    more, explained = table.explain(x, chosen)
-                    phi, value = phi + more, value + explained
+            for table in tables:
+                more, explained = table.explain(x, chosen)
+                phi, value = phi + more, value + explained
             bases = np.tile(base, (len(batch), 1)) if all_classes else base[chosen][:, None]
-            for name, part in (("phi", phi.reshape(len(batch), -1)), ("base", bases), ("explained", value)):
-                batch[name] = list(part)
+            for name, found in (("phi", phi.reshape(len(batch), -1)), ("base", bases), ("explained", value)):
+                batch[name] = list(found)
             yield batch
 
-    return out.mapInPandas(explain, out.schema)
+    return run
+
+
+def _in_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The same rows in blocks of about ``TASK_ROWS``, none empty."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += len(batch)
+        if size >= TASK_ROWS:
+            yield pd.concat(held, ignore_index=True)
+            held, size = [], 0
+    if size:
+        yield pd.concat(held, ignore_index=True)
 
 
 def tree_shap(
     trained: Trained, df: DataFrame, names: Sequence[str], keys: Sequence[str] = ("patient_id",)
 ) -> DataFrame:
-    """Contributions to the predicted class for every row of ``df``, in the partitions ``df`` has: the work
-    is bound by the processor, so a table of few files is best spread by its caller.
+    """Contributions to the predicted class for every row of ``df``. The work is bound by the processor, so a large
+    table of few files is best spread by its caller.
 
     Columns: keys, ``class``, ``prediction``, ``probability`` (array), ``base_value``,
     ``explained_value`` and ``contributions`` as array of (feature, value). The base value and

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import time
 from itertools import combinations
 from math import factorial
 
@@ -202,6 +203,37 @@ def test_blocks_and_tree_groups_add_up(spark, patients, surrogate, monkeypatch):
     assert all(a[k] == pytest.approx(b[k], abs=1e-12) for k in a) and len(a) == 50
 
 
+def test_rows_that_are_alike_share_their_products():
+    """A tree is walked in cases, not row by row: 20,000 rows take no long time, and a value that is no number follows no split."""
+    rng = np.random.default_rng(3)
+    tree = random_tree(rng, 4, 3, 12)
+    table = attribution.tree_table(as_frame([tree]), 4, 1)
+    rows = rng.normal(size=(20_000, 4))
+    rows[7, 2] = np.nan
+    started = time.perf_counter()
+    phi, value = table.explain(rows, None)
+    assert time.perf_counter() - started < 20
+    for i in (0, 1, 19_999):
+        assert phi[i, :, 1] == pytest.approx(brute_force([tree], rows[i], 4, 1), abs=1e-12)
+    assert value.sum(axis=1)[7] == 0 and np.isfinite(phi).all()
+
+
+def test_tables_dealt_by_trees(spark, patients, surrogate, monkeypatch):
+    """The same contributions when tasks have a share of the trees each; equal rows stay, each on its own."""
+    tables = attribution.tree_tables(spark, models.forest_of(surrogate.model))
+    rows = surrogate.model.transform(patients.limit(40)).select(
+        "patient_id", F.col("prediction").cast("int").alias("class"), vector_to_array("features").alias("vector")
+    )
+    rows = rows.union(rows).persist()
+    for every in (False, True):
+        monkeypatch.setattr(attribution, "FEW_ROWS", 1000)
+        a = sorted(map(tuple, attribution.add_contributions(rows, tables, every).select("patient_id", "phi", "base", "explained").collect()))
+        monkeypatch.setattr(attribution, "FEW_ROWS", 0)
+        b = sorted(map(tuple, attribution.add_contributions(rows, tables, every).select("patient_id", "phi", "base", "explained").collect()))
+        assert len(a) == len(b) == 80
+        assert all(x[0] == y[0] and all(p == pytest.approx(q, abs=1e-12) for p, q in zip(x[1:], y[1:], strict=True)) for x, y in zip(a, b, strict=True))
+
+
 def test_local_accuracy(patients, surrogate):
     out = attribution.tree_shap(surrogate, patients, S.ORDINAL_FEATURES)
     total = F.aggregate("contributions", F.lit(0.0), lambda acc, e: acc + e["value"])
