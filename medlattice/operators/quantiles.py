@@ -68,7 +68,8 @@ def _bracketed(values: DataFrame, keys: Sequence[str], probs: Sequence[float], s
     for i in range(len(probs)):
         counts += [F.count_if(F.col("value") < F.col("lo")[i]).alias(f"b{i}"), F.count_if((F.col("value") >= F.col("lo")[i]) & (F.col("value") <= F.col("hi")[i])).alias(f"n{i}")]
     placed = _join_null_safe(values, marks, keys)
-    counted = placed.groupBy(*keys).agg(F.first("total").alias("total"), F.first("lo").alias("lo"), F.first("hi").alias("hi"), *counts)
+    # the marks join again: kept by the aggregation, their arrays would have every value sorted for it
+    counted = _join_null_safe(placed.groupBy(*keys).agg(*counts), marks, keys)
     brackets = F.array(*[
         F.struct(
             F.lit(float(p)).alias("p"), (F.lit(float(p)) * (F.col("total") - 1)).alias("position"), F.col("lo")[i].alias("lo"), F.col("hi")[i].alias("hi"),
