@@ -260,3 +260,13 @@ def test_single_patient_record(spark, surrogate):
     assert len(record["contributions"]) == 11 and len(record["explanation"].split("\n")) == 5
     magnitudes = [abs(c["value"]) for c in record["contributions"]]
     assert magnitudes == sorted(magnitudes, reverse=True)
+
+
+def test_clustered_rows_are_dealt_by_their_number(spark, monkeypatch):
+    """A table of one file is no single task when it is large; one that fits a task is left as it is."""
+    from medlattice.plans import queries
+
+    assert queries._cluster_input(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == 1
+    monkeypatch.setattr(models, "SPREAD_ROWS", 40)
+    dealt = queries._cluster_input(spark, "/root/testdata/sf0.001")
+    assert dealt.rdd.getNumPartitions() == -(-dealt.count() // 40) > 1
