@@ -85,14 +85,25 @@ def descent(size: int, how: Fitting) -> Generator[np.ndarray, tuple[float, np.nd
 
 def fit(rows: DataFrame, slots: int, classes: int, how: Fitting) -> np.ndarray:
     """Weights (slots and an offset, classes) from rows with ``label`` and the array ``x``."""
-    penalty = np.append(np.full(slots, how.penalty), 0.0)
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((3, slots))
+        for batch in batches:
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, slots)
+            total += np.stack([np.full(slots, len(x)), x.sum(axis=0), (x * x).sum(axis=0)])
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+
+    # steps are taken in slots of deviation 1, the penalty stays that of the slots as they are
+    count, first, second = added_up(rows, moments).reshape(3, slots)
+    spread = np.sqrt(np.maximum(second / count - (first / count) ** 2, 0.0))
+    scale = np.append(np.where(spread > 1e-12, spread, 1.0), 1.0)
+    penalty = np.append(np.full(slots, how.penalty), 0.0) / scale**2
     asked = {c: descent(slots + 1, how) for c in range(classes)}
     weights = np.zeros((slots + 1, classes))
     wanted = {c: next(one) for c, one in asked.items()}
     while wanted:
         open_ = sorted(wanted)
         trial = np.stack([wanted[c] for c in open_], axis=1)
-        shared = rows.sparkSession.sparkContext.broadcast((np.array(open_), trial))
+        shared = rows.sparkSession.sparkContext.broadcast((np.array(open_), trial / scale[:, None]))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             total, (codes, at) = None, shared.value
@@ -110,7 +121,7 @@ def fit(rows: DataFrame, slots: int, classes: int, how: Fitting) -> np.ndarray:
         found = added_up(rows, run)
         shared.destroy()
         n, many = found[0], len(open_)
-        slopes = found[1 + many :].reshape(slots + 1, many)
+        slopes = found[1 + many :].reshape(slots + 1, many) / scale[:, None]
         wanted = {}
         for i, c in enumerate(open_):
             at = trial[:, i]
@@ -118,7 +129,7 @@ def fit(rows: DataFrame, slots: int, classes: int, how: Fitting) -> np.ndarray:
                 wanted[c] = asked[c].send((found[1 + i] / n + 0.5 * float(penalty @ at**2), slopes[:, i] / n + penalty * at))
             except StopIteration as done:
                 weights[:, c] = done.value
-    return weights
+    return weights / scale[:, None]
 
 
 class LinearMachines(Estimator):
