@@ -3,13 +3,16 @@
 Two texts link when the sets of their ``k``-word shingles have a Jaccard similarity of ``SIMILAR`` or more.
 
 * Texts with the same shingle set are merged first into one node, so exact copies cost nothing later.
-* Candidates: ``BANDS`` SimHash prints per node, each of the minima of ``ROWS`` seeded orders of its shingles. Two nodes at
-  similarity s have equal minima, and so equal prints, in a band with probability s^ROWS, in one band or more with
-  1 - (1 - s^ROWS)^BANDS: 0.9999 at 0.8. One print of a whole text does not do: at 0.8 two of them differ in ten of 64 bits.
-* Grid join as in ``simhash``: the popcounts of a print's segments are its cell, at Manhattan distance 0.
-* A cell is no source of all its pairs: its most central node is compared with the others, then more nodes with what is
-  left in other components, until each pair of a cell was compared or is connected (``overlap_join.connected``).
-* The nodes of cells that are open after the first round are dealt anew, by their rarest shared shingles (the prefix of
+* Candidates come from the grid join of ``simhash``: popcounts of a print's segments, cells, Manhattan bound, exact distance.
+  Linked prints form classes, and the nodes of a class are candidates.
+* The first print of a node is the SimHash of all its shingles. At ``RADIUS`` or fewer differing bits, as in ``simhash``, it
+  finds the closest texts for certain, but at 0.8 two of them differ in ten of 64 bits.
+* So there are ``BANDS`` more, each the SimHash of the minima of ``ROWS`` seeded orders of the shingles, which are compared at
+  ``BAND_RADIUS``. Two nodes at similarity s have equal minima, and so equal prints, in a band with probability s^ROWS, in
+  one band or more with 1 - (1 - s^ROWS)^BANDS: 0.9999 at 0.8. Other minima change a print by 12 bits or so.
+* A class is no source of all its pairs: its most central node is compared with the others, then more nodes with what is
+  left in other components, until each pair of a class was compared or is connected (``overlap_join.connected``).
+* The nodes of classes that are open after the first round are dealt anew, by their rarest shared shingles (the prefix of
   ``overlap_join``), which linked nodes share for certain. So one passage in many different texts does not make them all meet.
 * The exact similarity of the two shingle sets decides.
 
@@ -29,10 +32,12 @@ from pyspark.sql import functions as F
 
 from medlattice.llm import overlap_join
 from medlattice.llm.common import cut_lineage, in_slices, in_small_batches, packed, row_key, utf8
-from medlattice.llm.simhash import _counts, fingerprints
+from medlattice.llm.simhash import fingerprints, links
 from medlattice.session import broadcast_if_small
 
 SIMILAR, ROWS, BANDS, BROADCAST_ROWS = 0.8, 5, 24, 200_000
+#: bits that two prints of a band may differ in, and groups of segments of their grid: two cells for each print
+BAND_RADIUS, BAND_GROUPS = 1, 2
 _SLICE = 1 << 20
 _ORDERS = np.random.default_rng(42).integers(0, 1 << 64, (2, ROWS * BANDS), np.uint64)
 _ORDERS[1] |= np.uint64(1)
@@ -58,22 +63,32 @@ def band_prints(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def with_prints(docs: DataFrame, k: int) -> DataFrame:
-    """``doc_id``, ``h`` (hash of the text), ``node`` (hash of its shingle set), ``n`` (size of the set) and ``bands`` of every row."""
+    """``doc_id``, ``h`` (hash of the text), ``node`` (hash of its shingle set), ``n`` (size of the set) and
+    ``prints`` (of all shingles, then of the bands) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in in_slices(batch, "text", _SLICE):
                 sets = overlap_join.shingle_sets(*utf8(part.column("text")), k)
                 node = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
-                flat = pa.array(band_prints(sets).view(np.int64).ravel())
-                bands = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BANDS), flat)
+                flat = pa.array(np.column_stack([fingerprints(sets), band_prints(sets)]).view(np.int64).ravel())
+                prints = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * (1 + BANDS)), flat)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("h"), pa.array(node), pa.array([len(s) for s in sets], pa.int64()), bands],
-                    names=["doc_id", "h", "node", "n", "bands"],
+                    [part.column("doc_id"), part.column("h"), pa.array(node), pa.array([len(s) for s in sets], pa.int64()), prints],
+                    names=["doc_id", "h", "node", "n", "prints"],
                 )
 
     wanted = in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
-    return wanted.mapInArrow(run, "doc_id long, h long, node long, n long, bands array<long>")
+    return wanted.mapInArrow(run, "doc_id long, h long, node long, n long, prints array<long>")
+
+
+def classes(dealt: DataFrame) -> DataFrame:
+    """``token`` (the class of a print), ``node`` and ``n`` of every row of ``dealt`` (node, n, band, fp). A class holds the prints of one
+    band that are connected by pairs within its radius: ``simhash.RADIUS`` in band 0, the whole texts, else ``BAND_RADIUS``."""
+    points = cut_lineage(dealt.select("band", "fp").distinct(), "near-points")
+    edges = links(points.where("band = 0")).unionByName(links(points.where("band > 0"), BAND_RADIUS, groups=BAND_GROUPS))
+    rooted, _ = broadcast_if_small(overlap_join.component_roots(edges).withColumnRenamed("node", "fp"), "near-classes", BROADCAST_ROWS)
+    return dealt.join(rooted, "fp", "left").select(F.expr("xxhash64(band, coalesce(root, fp))").alias("token"), "node", "n")
 
 
 def _dealt_anew(lists: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
@@ -87,14 +102,14 @@ def components(docs: DataFrame, k: int, similar: float = SIMILAR) -> DataFrame:
     percent = round(100 * similar)
     printed = cut_lineage(with_prints(docs, k), "near-prints")
     lent = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")).alias("lent")
-    nodes = printed.groupBy("node").agg(lent, F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-    nodes = cut_lineage(nodes.select("node", "lent.doc_id", "lent.h", "first_id", "n", "bands"), "near-nodes")
+    nodes = printed.groupBy("node").agg(lent, F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("prints").alias("prints"))
+    nodes = cut_lineage(nodes.select("node", "lent.doc_id", "lent.h", "first_id", "n", "prints"), "near-nodes")
 
-    # cells of one node have no pair
-    dealt = nodes.where("n > 0").select("node", "n", F.posexplode("bands").alias("band", "fp")).select(F.expr(f"xxhash64(band, {_counts('fp')})").alias("token"), "node", "n")
-    dealt = cut_lineage(dealt, "near-dealt")
+    # classes of one node have no pair
+    dealt = nodes.where("n > 0").select("node", "n", F.posexplode("prints").alias("band", "fp"))
+    dealt = cut_lineage(classes(dealt), "near-tokens")
     sizes = dealt.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    met = cut_lineage(dealt.join(sizes, "token"), "near-cells")
+    met = cut_lineage(dealt.join(sizes, "token"), "near-met")
     central = cut_lineage(met.groupBy("node").agg(F.sum("m").cast("double").alias("score")), "near-central")
     lists = met.join(central, "node").select("token", "score", "node", "n", F.lit(True).alias("inner"))
 

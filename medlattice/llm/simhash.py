@@ -191,13 +191,20 @@ def _cells(dealt: DataFrame, radius: int, limit: int) -> DataFrame:
     return cut_lineage(ordered.mapInArrow(run, "a long, b long, big boolean, choice int, cell long"), "simhash-cells")
 
 
-def links(points: DataFrame, radius: int = RADIUS, limit: int = CELL) -> DataFrame:
-    """Edges (a, b) that connect all linked fingerprints of ``points`` (column ``fp``, all different)."""
-    groups = [_bits(64 * g // GROUPS, 64 // GROUPS) for g in range(GROUPS)]
-    masks = _masks(groups, GROUPS - radius)
+def links(points: DataFrame, radius: int = RADIUS, limit: int = CELL, groups: int = GROUPS) -> DataFrame:
+    """Edges (a, b) that connect all linked fingerprints of ``points`` (column ``fp``, all different).
+
+    With a column ``band`` only the fingerprints of one band meet, and (band, fp) are all different. The fewer ``groups``
+    there are beyond ``radius``, the fewer cells a point is dealt to.
+    """
+    bits = [_bits(64 * g // groups, 64 // groups) for g in range(groups)]
+    masks = _masks(bits, groups - radius)
+    n = len(masks)
     choices = F.array(*[F.struct(F.lit(i).alias("choice"), F.lit(m).cast("long").alias("mask")) for i, m in enumerate(masks)])
-    dealt = points.select("fp", F.expr(_counts("fp")).alias("counts"), F.explode(choices).alias("c")).select(
-        F.col("c.choice").alias("choice"), F.col("counts").bitwiseAND(F.col("c.mask")).alias("cell"), "fp"
+    choice = (F.col("band") * n + F.col("c.choice")).cast("int").alias("choice")
+    named = points.select("fp", (F.col("band") if "band" in points.columns else F.lit(0)).alias("band"))
+    dealt = named.select("fp", "band", F.expr(_counts("fp")).alias("counts"), F.explode(choices).alias("c")).select(
+        choice, F.col("counts").bitwiseAND(F.col("c.mask")).alias("cell"), "fp"
     )
     found = _cells(dealt, radius, limit)
     edges = found.where("NOT big").select("a", "b")
@@ -207,19 +214,17 @@ def links(points: DataFrame, radius: int = RADIUS, limit: int = CELL) -> DataFra
         # finer cells for the crowded ones: bits instead of counts, first of the whole, then of what is open
         big = found.where("big").select("a", "choice").distinct()
         if level == 1:
-            again = big.select(F.col("a").alias("fp")).distinct()
-            fine = again.select("fp", F.explode(choices).alias("c")).select(
-                F.col("c.choice").alias("choice"), F.col("fp").bitwiseAND(F.col("c.mask")).alias("cell"), "fp"
-            )
+            again = big.select(F.col("a").alias("fp"), F.expr(f"choice div {n}").alias("band")).distinct()
+            fine = again.select("fp", "band", F.explode(choices).alias("c")).select(choice, F.col("fp").bitwiseAND(F.col("c.mask")).alias("cell"), "fp")
         else:
             rows = []
             for i, m in enumerate(masks):
                 open_ = [b for b in range(64) if not (m >> b) & 1]
-                small = [sum(1 << b for b in open_[g * len(open_) // GROUPS : (g + 1) * len(open_) // GROUPS]) for g in range(GROUPS)]
-                rows += [(i, i * len(masks) + j, _signed((m | s) & (1 << 64) - 1)) for j, s in enumerate(_masks(small, GROUPS - radius))]
-            finer = points.sparkSession.createDataFrame(rows, "choice int, finer int, mask long")
-            fine = big.join(F.broadcast(finer), "choice").select(
-                F.col("finer").alias("choice"), F.col("a").bitwiseAND(F.col("mask")).alias("cell"), F.col("a").alias("fp")
+                small = [sum(1 << b for b in open_[g * len(open_) // groups : (g + 1) * len(open_) // groups]) for g in range(groups)]
+                rows += [(i, j, _signed((m | s) & (1 << 64) - 1)) for j, s in enumerate(_masks(small, groups - radius))]
+            finer = points.sparkSession.createDataFrame(rows, "coarse int, finer int, mask long")
+            fine = big.join(F.broadcast(finer), F.expr(f"choice % {n} = coarse")).select(
+                (F.col("choice") * n + F.col("finer")).alias("choice"), F.col("a").bitwiseAND(F.col("mask")).alias("cell"), F.col("a").alias("fp")
             )
         found = _cells(fine, radius, limit if level == 1 else 1 << 16)
         edges = edges.unionByName(found.where("NOT big").select("a", "b"))

@@ -85,6 +85,20 @@ def test_one_hub_does_not_settle_a_cell(spark):
     assert kept(spark, rows) == survivors(rows)
 
 
+def test_candidates_come_through_manhattan_bound_and_exact_distance(spark):
+    """Prints of whole texts meet at 4 bits, those of a band at 1; equal popcounts of other bits are no candidates."""
+    base = 0x1234567812345678
+    whole = {1: base, 2: base ^ 0xF0, 3: base ^ 0xFF0, 4: base ^ 0x1F << 40, 5: 0x5555555555555555, 6: 0x55555555555555AA}
+    first = {1: 7, 2: 6, 3: 4 << 30, 4: 7 << 40, 5: 0x5555, 6: 0x555A}
+    second = {1: 6, 2: 9 << 50, 3: 9 << 40, 4: 8 << 30, 5: 9 << 20, 6: 9 << 10}
+    rows = [(node, 10, band, fp) for band, prints in enumerate((whole, first, second)) for node, fp in prints.items()]
+    got: dict[int, set[int]] = {}
+    for r in near_copies.classes(spark.createDataFrame(rows, "node long, n long, band int, fp long")).collect():
+        got.setdefault(r["token"], set()).add(r["node"])
+    # 1 and 3 are connected by 2; 4 is five bits from 1; 5 and 6 have the same counts at eight and four bits
+    assert sorted(map(sorted, got.values())) == sorted([[1, 2, 3], [4], [5], [6], [1, 2], [3], [4], [5], [6], *([i] for i in range(1, 7))])
+
+
 def test_supplied_texts(spark, small, small_docs):
     want = survivors([(i, t) for i, t, _ in small])
     assert {r["doc_id"] for r in p.near_duplicates(spark, small_docs, "").collect()} == want and len(want) < len(small)

@@ -79,6 +79,28 @@ def test_links_connect_exactly(spark, crowd, limit):
     assert sorted(map(sorted, ours.values())) == sorted(map(sorted, theirs.values()))
 
 
+@pytest.mark.parametrize("limit", [s.CELL, 3])
+@pytest.mark.parametrize(("radius", "groups"), [(4, 8), (1, 2)])
+def test_bands_do_not_meet(spark, crowd, limit, radius, groups):
+    near = sorted({p ^ 1 << b for p in crowd for b in (0, 33)} | set(crowd))
+    bands = [near[::2], near[1::2], crowd]
+    rows = [(band, signed(p)) for band, points in enumerate(bands) for p in points]
+    got: dict[int, set[int]] = {}
+    for edge in s.links(spark.createDataFrame(rows, "band int, fp long"), radius, limit, groups).collect():
+        got.setdefault(edge["a"], set()).add(edge["b"])
+    # each class of a band is connected by its own edges, and no edge leaves a band
+    of = [{signed(p) for p in points} for points in bands]
+    assert all(any(a in b and x in b for b in of) for a, found in got.items() for x in found)
+    for points in bands:
+        rooted = {r["node"]: r["root"] for r in s.roots(s.links(spark.createDataFrame([(signed(p),) for p in points], "fp long"), radius, limit, groups)).collect()}
+        ours: dict[int, set[int]] = {}
+        theirs: dict[int, set[int]] = {}
+        for p, root in slow_components(points, radius).items():
+            ours.setdefault(rooted.get(signed(p), signed(p)), set()).add(p)
+            theirs.setdefault(root, set()).add(p)
+        assert sorted(map(sorted, ours.values())) == sorted(map(sorted, theirs.values()))
+
+
 def test_manhattan_is_a_lower_bound(crowd):
     many = np.array(crowd, np.uint64)
     for one in many[:50]:
