@@ -113,3 +113,23 @@ def test_awkward_and_empty(awkward, nothing):
     assert r.removed(nothing).count() == 0
     twice = awkward.where("doc_id = 5").unionByName(awkward.where("doc_id = 5"))
     assert all(x["n_removed"] == x["n_bytes"] for x in r.removed(twice).collect())
+
+
+def test_kept_texts_and_spans(spark):
+    """What is left comes back as text, with the spans that were cut, also where a span begins or ends inside a character."""
+    rng = random.Random(8)
+    shared = noise(rng, 500, "mnopqr é")
+    # é (c3 a9) and è (c3 a8) share their first byte, which the repeat takes along
+    texts = ["own words " + shared + "é tail", "other words " + shared + "è tail", "before\x82" + shared, None, "", "kept as it is, é 😀", shared[:150]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept, spans = {}, {}
+    for row in r.without_repeats(docs).collect():
+        data = (texts[row["doc_id"]] or "").encode()
+        gone = {i for lo, hi in row["spans"] for i in range(lo, hi)}
+        kept[row["doc_id"]], spans[row["doc_id"]] = bytes(row["kept"]), row["spans"]
+        assert bytes(b for i, b in enumerate(data) if i not in gone) == row["kept"] and len(data) == row["n_bytes"]
+    assert sorted((len((texts[d] or "").encode()), sum(hi - lo for lo, hi in spans[d]), len(spans[d]), sha256(kept[d]).hexdigest()) for d in kept) == sorted(brute(texts))
+    found = {x["doc_id"]: x["kept_text"] for x in r.removed(docs).collect()}
+    assert found == {d: k.decode(errors="replace") for d, k in kept.items()}
+    assert [found[d] for d in (3, 4, 5, 6)] == ["", "", texts[5], texts[6]]
+    assert "\ufffd" in found[0] and "\ufffd" in found[1] and found[2] == "before\x82"
