@@ -8,11 +8,14 @@ where z_i is the share of training rows that follow feature i's splits on the pa
 whether the explained row does. The product runs over the features of the path only. It is kept as
 its values at the nodes of a Gauss-Legendre quadrature, which is exact for it.
 
-* Rows are taken down a tree in cases: two rows that have followed the splits of the same features so far are alike in
-  all that is below, whatever their values. A leaf has few cases, so its products are made per case, not per row.
-* Up the tree the tables of two subtrees are added up for the pairs of cases that occur, as long as these are few; then the
-  table's sums are added to the rows. So the cost per row is a few look-ups per split, the less the more rows are taken
-  together. Only compact edge tables travel.
+* What a leaf gives depends only on which features of its path a row follows, so its products are made once for each such
+  set, not per row.
+* A tree is cut into subtrees that see few different rows: all values between two of the subtree's splits are alike, as are
+  all outside its box. A subtree's sums are made once for each case of these that occurs; a row takes them by one look-up. So
+  the cost per row is a look-up per subtree, not per split, the less the more rows are taken together.
+* Few rows, or paths of many features, are taken down the tree in cases: two rows that have followed the splits of the same
+  features so far are alike in all that is below. Up the tree the tables of two subtrees are added up for the pairs of
+  cases that occur, as long as these are few. Only compact edge tables travel.
 """
 
 from __future__ import annotations
@@ -40,11 +43,17 @@ BLOCK_CELLS = 1_000_000
 #: pairs of cases that are looked up to join two subtrees; rows that a joined case has at least, on average
 CASE_CELLS, ROWS_A_CASE = 1 << 20, 4
 
+#: cases that the splits of a subtree can tell apart; sets of followed features whose sums are held at once
+SUBTREE_CASES, FOLLOWED_SETS = 1 << 16, 1 << 18
+
+#: rows of a block, and features of a path at most, that are explained by subtrees
+SUBTREE_ROWS, SUBTREE_FEATURES = 4_096, 12
+
 #: rows that a task explains together; tables of this many rows at most are not dealt by trees
-TASK_ROWS, FEW_ROWS = 32_768, 1_000
+TASK_ROWS, FEW_ROWS = 65_536, 1_000
 
-#: rows whose sums are added at a time
-SLICE_ROWS = 2_048
+#: rows whose sums are added at a time; values of joint bins of features
+SLICE_ROWS, JOINT_BINS = 2_048, 4_096
 
 _RESULTS = ("phi", "base", "explained")
 
@@ -83,7 +92,17 @@ class TreeTable:
         step = max(1, BLOCK_CELLS // (width + 1))
         for start in range(0, n, step):
             block = slice(start, start + step)
-            _Walk(self, first, rows[block], None if chosen is None else chosen[block], sums[block]).run()
+            some, codes = rows[block], None if chosen is None else chosen[block]
+            if len(some) < SUBTREE_ROWS or self.depth > SUBTREE_FEATURES:
+                _Walk(self, first, some, codes, sums[block]).run()
+            elif codes is None:
+                _Subtrees(self, first, some, None, sums[block]).run()
+            else:
+                # rows of a class behind each other, as a look-up stays in the part of a table that is its class's
+                order = np.argsort(codes, kind="stable")
+                found = np.zeros((len(some), width + 1))
+                _Subtrees(self, first, some[order], codes[order], found).run()
+                sums[block][order] = found
         return sums[:, : width * many].reshape(n, width, many), sums[:, width * many :]
 
 
@@ -174,6 +193,166 @@ class _Walk:
         return (parts[:, :, None] * value[:, None]).reshape(len(state), -1)
 
 
+class _Subtrees:
+    """One tree and a block of rows. A value is known by its *bin*, the number of the tree's splits of its feature below it;
+    a value that is no number has the bin behind the last. The box of a node is kept in bins."""
+
+    def __init__(self, table: TreeTable, first: np.ndarray, rows: np.ndarray, chosen: np.ndarray | None, sums: np.ndarray) -> None:
+        self.table, self.first, self.chosen, self.sums = table, first, chosen, sums
+        self.rows, self.width = rows.shape
+        size, width, feature = len(table.parent), self.width, table.feature
+        # the last edge of each feature on a node's path
+        self.last = np.zeros((size, width), np.int64)
+        for a, b in zip(table.levels[:-1], table.levels[1:], strict=True):
+            self.last[a:b] = self.last[table.parent[a:b]]
+            self.last[np.arange(a, b), feature[a:b]] = np.arange(a, b)
+        left = np.arange(1, size, 2)
+        cuts = [np.unique(table.high[left][feature[left] == f]) for f in range(width)]
+        self.counts = np.array([len(c) for c in cuts])
+        self.offsets = np.cumsum(self.counts) - self.counts
+        self.low, self.high = np.full(size, -1), np.zeros(size, np.int64)
+        empty, bins = np.zeros(width, bool), []
+        for f, c in enumerate(cuts):
+            bins.append(np.searchsorted(c, rows[:, f], side="left"))
+            missing = np.isnan(rows[:, f])
+            bins[f][missing] = len(c) + 1
+            empty[f] = missing.any()
+            edges = 1 + np.flatnonzero(feature[1:] == f)
+            self.low[edges] = np.where(np.isneginf(table.low[edges]), -1, np.searchsorted(c, table.low[edges]))
+            self.high[edges] = np.where(np.isposinf(table.high[edges]), len(c), np.searchsorted(c, table.high[edges]))
+        self.joint = self._joint(bins)
+        # the splits below each node, and how many ranges of a feature they tell apart, with the one outside its box
+        self.used = np.zeros((size, int(self.counts.sum())), bool)
+        self.used[table.parent[left], self.offsets[feature[left]] + self.high[left]] = True
+        for a, b in zip(table.levels[-2::-1], table.levels[:0:-1], strict=True):
+            at = np.arange(a, b, 2)
+            self.used[table.parent[at]] |= self.used[at] | self.used[at + 1]
+        below = np.stack([self.used[:, a : a + n].sum(axis=1) for a, n in zip(self.offsets, self.counts, strict=True)], axis=1)
+        self.states = below + 1 + ((self.last > 0) | (empty & (below > 0)))
+
+    def _joint(self, bins: list[np.ndarray]) -> list[tuple[list[int], np.ndarray]]:
+        """(features, their bins as one number), so that a look-up serves several features."""
+        out: list[tuple[list[int], np.ndarray]] = []
+        sizes: list[int] = []
+        for f in np.argsort(-self.counts, kind="stable").tolist():
+            size = int(self.counts[f]) + 2
+            at = next((i for i, known in enumerate(sizes) if known * size <= JOINT_BINS), None)
+            if at is None:
+                out.append(([f], bins[f])), sizes.append(size)
+            else:
+                out[at] = ([*out[at][0], f], out[at][1] * size + bins[f])
+                sizes[at] *= size
+        return out
+
+    def run(self) -> None:
+        small = (np.log2(self.states).sum(axis=1) <= np.log2(SUBTREE_CASES) + 1e-9) | (self.first < 0)
+        self.code, self.part = np.empty(self.rows, np.int64), np.empty(self.rows, np.int64)
+        held: list[tuple[int, np.ndarray]] = []
+        sets, stack = 0, [0]
+        while stack:
+            at = stack.pop()
+            if not small[at]:
+                stack += [self.first[at], self.first[at] + 1]
+                continue
+            leaves = self._leaves(at)
+            more = int((1 << (self.last[leaves] > 0).sum(axis=1)).sum())
+            if held and sets + more > FOLLOWED_SETS:
+                self._add(held)
+                held, sets = [], 0
+            held.append((at, leaves))
+            sets += more
+        self._add(held)
+
+    def _leaves(self, at: int) -> np.ndarray:
+        out, level = [], np.array([at])
+        while len(level):
+            below = self.first[level]
+            out.append(level[below < 0])
+            below = below[below >= 0]
+            level = np.concatenate([below, below + 1])
+        return np.concatenate(out)
+
+    def _add(self, held: list[tuple[int, np.ndarray]]) -> None:
+        """Add what the subtrees (root, leaves) give to the rows' sums."""
+        starts, bits, parts = self._sets(np.concatenate([leaves for _, leaves in held]))
+        done = 0
+        for at, leaves in held:
+            mine = slice(done, done + len(leaves))
+            done += len(leaves)
+            cases, place = self._cases(at, leaves, starts[mine], bits[mine])
+            value = self.table.value[self.table.leaf[leaves]]
+            found = parts.take(place.ravel(), axis=0).reshape(len(leaves), -1)
+            if self.chosen is None:
+                table = (found.T @ value).reshape(place.shape[1], -1)
+            else:
+                table = (value.T @ found).reshape(-1, self.width + 1)
+                cases += np.multiply(self.chosen, place.shape[1], out=self.part)
+            # in slices that stay in a core's cache
+            step = max(1, SLICE_ROWS * (self.width + 1) // self.sums.shape[1])
+            for start in range(0, self.rows, step):
+                part = slice(start, start + step)
+                self.sums[part] += table.take(cases[part], axis=0)
+
+    def _sets(self, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first row of each leaf, bit of each feature on its path, what a leaf of value one adds to each feature and to the
+        explained value, a row for each set of followed features)."""
+        on = self.last[leaves] > 0
+        count = on.sum(axis=1)
+        starts = np.cumsum(1 << count) - (1 << count)
+        bits = np.where(on, 1 << np.maximum(np.cumsum(on, axis=1) - 1, 0), 0)
+        out = np.zeros((int((1 << count).sum()), self.width + 1))
+        out[starts + (1 << count) - 1, self.width] = 1.0
+        for k in np.unique(count[count > 0]).tolist():
+            some = np.flatnonzero(count == k)
+            features = np.nonzero(on[some])[1].reshape(-1, k)
+            z = self.table.share[self.last[leaves[some][:, None], features]]
+            t, w = _nodes(max(1, (k + 1) // 2))
+            # (leaf, feature, followed or not, node)
+            factor = z[:, :, None, None] * (1 - t) + np.arange(2)[:, None] * t
+            product = np.broadcast_to(w, (len(some), 1, len(w)))
+            for p in range(k):
+                product = (factor[:, p, :, None] * product[:, None]).reshape(len(some), -1, len(w))
+            weight = (np.arange(2) - z[:, :, None])[..., None] / factor
+            found = (product @ weight.reshape(len(some), 2 * k, -1).transpose(0, 2, 1)).reshape(len(some), -1, k, 2)
+            sets = np.arange(1 << k)
+            for p in range(k):
+                out[starts[some][:, None] + sets, features[:, p][:, None]] = np.where(sets >> p & 1, found[:, :, p, 1], found[:, :, p, 0])
+        return starts, bits, out
+
+    def _cases(self, at: int, leaves: np.ndarray, starts: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(case of each row at the subtree, the set of followed features (leaf, case))."""
+        size, place, luts = 1, starts[:, None], {}
+        for f in np.flatnonzero(self.states[at] > 1).tolist():
+            bins = np.arange(self.counts[f] + 2)
+            cuts = np.flatnonzero(self.used[at, self.offsets[f] : self.offsets[f] + self.counts[f]])
+            edge = self.last[at, f]
+            low, high = (self.low[edge], self.high[edge]) if edge else (-1, self.counts[f])
+            ranges = np.searchsorted(cuts, bins)
+            ranges[(bins <= low) | (bins > high)] = len(cuts) + 1
+            luts[f] = ranges * size
+            # a bin of each range; the last is outside
+            one = np.concatenate([cuts, [high, self.counts[f] + 1]])[: self.states[at, f]]
+            edges = self.last[leaves, f]
+            follows = (one > self.low[edges][:, None]) & (one <= np.where(edges, self.high[edges], self.counts[f] + 1)[:, None])
+            place = ((follows * bits[:, f, None])[:, :, None] + place[:, None]).reshape(len(leaves), -1)
+            size *= len(one)
+        cases = self.code
+        cases[:] = 0
+        for features, joint in self.joint:
+            if any(f in luts for f in features):
+                lut = reduce(np.add.outer, [luts.get(f, np.zeros(self.counts[f] + 2, np.int64)) for f in features]).ravel()
+                cases += lut.take(joint, out=self.part, mode="clip")
+        if size * 32 <= self.rows:
+            return cases, place
+        met = np.zeros(size, bool)
+        met[cases] = True
+        met = np.flatnonzero(met)
+        number = np.zeros(size, np.int64)
+        number[met] = np.arange(len(met))
+        self.code, self.part = number.take(cases, out=self.part, mode="clip"), self.code
+        return self.code, place[:, met]
+
+
 @cache
 def _nodes(count: int) -> tuple[np.ndarray, np.ndarray]:
     """Nodes and weights of the quadrature on [0, 1]."""

@@ -218,6 +218,28 @@ def test_rows_that_are_alike_share_their_products():
     assert value.sum(axis=1)[7] == 0 and np.isfinite(phi).all()
 
 
+def test_subtrees_give_what_leaves_give(monkeypatch):
+    """Rows that no split of a subtree tells apart take its sums by one look-up, for the own class and for all, also where a
+    value is no number; subtrees of any size, down to single leaves, add up to the same."""
+    rng = np.random.default_rng(5)
+    trees = [random_tree(rng, 4, 3, 9) for _ in range(2)]
+    rows = rng.normal(size=(400, 4))
+    rows[::17, 2], rows[5], rows[9, 0] = np.nan, np.nan, np.inf
+    chosen = rng.integers(0, 3, 400)
+    for tree in trees:
+        table = attribution.tree_table(as_frame([tree]), 4, 1)
+        walked = [table.explain(rows, c) for c in (None, chosen)]
+        monkeypatch.setattr(attribution, "SUBTREE_ROWS", 1)
+        for cases, sets, joint in ((1 << 16, 1 << 18, 4096), (40, 50, 1), (1, 1, 30)):
+            for name, value in (("SUBTREE_CASES", cases), ("FOLLOWED_SETS", sets), ("JOINT_BINS", joint)):
+                monkeypatch.setattr(attribution, name, value)
+            for c, (phi, value) in zip((None, chosen), walked, strict=True):
+                found, explained = table.explain(rows, c)
+                assert np.abs(found - phi).max() < 1e-13 and np.abs(explained - value).max() < 1e-13
+        assert table.explain(rows, None)[0][1, :, 1] == pytest.approx(brute_force([tree], rows[1], 4, 1), abs=1e-12)
+        monkeypatch.undo()
+
+
 def test_tables_dealt_by_trees(spark, patients, surrogate, monkeypatch):
     """The same contributions when tasks have a share of the trees each; equal rows stay, each on its own."""
     tables = attribution.tree_tables(spark, models.forest_of(surrogate.model))
