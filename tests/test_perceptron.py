@@ -113,3 +113,23 @@ def test_one_set_of_weights_reaches_the_driver(spark, hands):
     assert len(found) == 1
     assert np.allclose(np.frombuffer(found[0]["state"]), states.sum(axis=0))
     assert (found[0]["rows"], found[0]["steps"], found[0]["held"]) == (sum(r[1] for r in rows), sum(r[2] for r in rows), hands)
+
+
+def test_a_batch_goes_forward_once(monkeypatch):
+    """Loss and gradient of a batch share its outputs, and weights moved in slices are the weights moved at once."""
+    rng = np.random.default_rng(4)
+    layers, how = (3, 5, 4), p.Training()
+    x, y, weights = rng.normal(size=(20, 3)), rng.integers(0, 4, 20), p.initial(layers, 1)
+    outs = p.forward(x, weights, layers)
+    expected = p.loss(x, y, weights, layers, 0.1), p.gradient(x, y, weights, layers, 0.1)
+    monkeypatch.setattr(p, "forward", None)
+    assert p.loss(x, y, weights, layers, 0.1, outs) == expected[0]
+    assert (p.gradient(x, y, weights, layers, 0.1, outs) == expected[1]).all()
+    zero = np.zeros_like(weights)
+    hands = []
+    for cells in (p.STEP_CELLS, 7):
+        monkeypatch.setattr(p, "STEP_CELLS", cells)
+        hands.append(p.Adam(weights, zero, zero, 0, how))
+        hands[-1].step(expected[1])
+        hands[-1].step(expected[1] * 2)
+    assert (hands[0].weights == hands[1].weights).all() and (hands[0].second == hands[1].second).all()
