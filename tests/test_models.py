@@ -41,6 +41,19 @@ def test_every_algorithm_learns_and_reloads(spark, parts, algorithm):
     assert changed.filter("a != b").count() == 0
 
 
+def test_the_grid_has_every_algorithm_on_every_task(spark, monkeypatch):
+    """Six algorithms on three tasks, each scored on the test rows; with few iterations here."""
+    from medlattice.plans import dataset, queries
+
+    rows = dataset.build_patients(spark, 400).persist()
+    monkeypatch.setattr(dataset, "patients", lambda spark, folder: rows)
+    small = {**models.QUICK, "XGBoost": {"rounds": 2, "depth": 3}, "LightGBM": {"rounds": 2, "depth": 3, "leaves": 4}, "SVM": {"maxIter": 2, "components": 16}}
+    monkeypatch.setattr(models, "STUDY", {a: dict.fromkeys(S.TARGETS, params) for a, params in small.items()})
+    found = queries.queries()["model_grid"](spark, "").collect()
+    assert sorted((r["task"], r["algorithm"]) for r in found) == sorted((t, a) for t in S.TARGETS for a in models.ALGORITHMS)
+    assert all(0 < r["accuracy"] <= 1 and r["training_time_seconds"] > 0 for r in found)
+
+
 def test_kernel_machine_without_a_class(parts):
     """A class that is absent from training is not predicted and does not stop the fit."""
     train, test = (p.filter("lifestyle_plan not in ('Alcohol_Reduction', 'Maintenance')") for p in parts)
